@@ -22,13 +22,15 @@ Plan notes (100 TB scale):
   hot user or hot brand does not land on one task.
 * artist and album lists are bounded by the brand / brand×type domains, so
   their per-user window is cheap.  Track lists are not bounded (a user may buy
-  every part), so track ranks use the range strategy of
-  ``rankwise.functions.ranking``.
+  every part): analyses that read only the head of the list use
+  ``track_head(n)`` (partial group limit before the shuffle), full track ranks
+  use the range strategy of ``rankwise.functions.ranking``, and analyses that
+  never read the position use ``track_rows``.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,12 +43,43 @@ SCROBBLE_EVENT = "purchase"
 SCROBBLE_SINCE = "2024-01-25 00:00:00"
 
 
-@dataclass(frozen=True)
 class Views:
-    artists: DataFrame
-    tracks: DataFrame
-    albums: DataFrame
-    users: DataFrame
+    """The four ranked views, each built on first use (building a plan costs
+    driver time, so a query only pays for the views it reads)."""
+
+    def __init__(self, t: Tables, track_strategy: str = "range"):
+        self._t = t
+        self._track_strategy = track_strategy
+
+    @cached_property
+    def artists(self) -> DataFrame:
+        return artists_view(self._t)
+
+    @cached_property
+    def tracks(self) -> DataFrame:
+        return tracks_view(self._t, self._track_strategy)
+
+    def track_head(self, n: int) -> DataFrame:
+        """Track lists cut to positions 1..n.  A ``rank <= n`` filter over a
+        ``row_number`` window lets Spark put a partial group limit before the
+        shuffle (each map task sends at most n rows per user), so even a user
+        with a third of all rows stays small; no full ranking is needed."""
+        return tracks_view(self._t, "window").filter(F.col("rank") <= n)
+
+    @cached_property
+    def track_rows(self) -> DataFrame:
+        """Track lists without the position column: for analyses that never
+        read ``rank`` (the range numbering is an Arrow pass Catalyst cannot
+        prune, unlike a window)."""
+        return track_rows(self._t)
+
+    @cached_property
+    def albums(self) -> DataFrame:
+        return albums_view(self._t)
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return users_view(self._t)
 
 
 def _plays(t: Tables) -> DataFrame:
@@ -70,15 +103,19 @@ def artists_view(t: Tables) -> DataFrame:
     return ranked.select("user_id", "rank", F.col("p_brand").alias("artist"), "playcount")
 
 
+def track_rows(t: Tables) -> DataFrame:
+    return (_plays(t).groupBy("user_id", "p_partkey", "p_brand")
+            .agg(F.sum("q").cast("bigint").alias("playcount"))
+            .select("user_id", F.col("p_partkey").alias("track"),
+                    F.col("p_brand").alias("artist"), "playcount"))
+
+
 def tracks_view(t: Tables, strategy: str = "range") -> DataFrame:
-    agg = (_plays(t).groupBy("user_id", "p_partkey", "p_brand")
-           .agg(F.sum("q").cast("bigint").alias("playcount")))
     ranked = position_within(
-        agg, "user_id",
-        [F.col("playcount").desc_nulls_last(), F.col("p_partkey").asc_nulls_last()],
+        track_rows(t), "user_id",
+        [F.col("playcount").desc_nulls_last(), F.col("track").asc_nulls_last()],
         strategy=strategy)
-    return ranked.select("user_id", "rank", F.col("p_partkey").alias("track"),
-                         F.col("p_brand").alias("artist"), "playcount")
+    return ranked.select("user_id", "rank", "track", "artist", "playcount")
 
 
 def albums_view(t: Tables) -> DataFrame:
@@ -107,4 +144,4 @@ def users_view(t: Tables) -> DataFrame:
 
 
 def views(t: Tables, track_strategy: str = "range") -> Views:
-    return Views(artists_view(t), tracks_view(t, track_strategy), albums_view(t), users_view(t))
+    return Views(t, track_strategy)

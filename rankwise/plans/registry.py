@@ -38,7 +38,7 @@ MIN_SCROBBLES = 1
 
 ANALYSES: dict[str, Analysis] = {
     "q01_top_artists": lambda v: P.top_items(v.artists, "artist", TOP_K),
-    "q02_top_tracks": lambda v: P.top_items(v.tracks, "track", TOP_K),
+    "q02_top_tracks": lambda v: P.top_items(v.track_rows, "track", TOP_K),
     "q03_top_albums": lambda v: P.top_items(v.albums, "album", TOP_K),
     "q04_top1_artist": lambda v: P.rank_holders(v.artists, "artist", 1),
     "q04_mode": lambda v: P.mode_item(v.artists, "artist", 1),
@@ -46,40 +46,40 @@ ANALYSES: dict[str, Analysis] = {
     "q05_stats": lambda v: D.distribution_stats(P.mentions(v.artists, "artist"), "menciones"),
     "q06_long_tail": lambda v: D.long_tail(v.artists, "artist", LONG_TAIL_SHARE, "within"),
     "q06_long_tail_tracks": lambda v: D.long_tail(
-        v.tracks, "track", LONG_TAIL_SHARE, "within",
+        v.track_rows, "track", LONG_TAIL_SHARE, "within",
         names=("canciones_para_80", "total_canciones", "porcentaje")),
     "q06_long_tail_rows": lambda v: D.long_tail(v.artists, "artist", LONG_TAIL_SHARE, "within_rows"),
     "q06_long_tail_reach": lambda v: D.long_tail(v.artists, "artist", LONG_TAIL_SHARE, "reach"),
     "q06_long_tail_reach_tracks": lambda v: D.long_tail(
-        v.tracks, "track", LONG_TAIL_SHARE, "reach",
+        v.track_rows, "track", LONG_TAIL_SHARE, "reach",
         names=("canciones_para_80", "total_canciones", "porcentaje")),
     "q06_curve": lambda v: D.long_tail_curve(v.artists, "artist"),
     "q07_user_artists": lambda v: D.items_per_user(v.artists, "num_artistas"),
-    "q07_user_tracks": lambda v: D.items_per_user(v.tracks, "num_canciones"),
+    "q07_user_tracks": lambda v: D.items_per_user(v.track_rows, "num_canciones"),
     "q07_user_albums": lambda v: D.items_per_user(v.albums, "num_albums"),
-    "q07_stats": lambda v: D.items_per_user_stats(v.artists, v.tracks, v.albums),
-    "q08_unique_counts": lambda v: D.unique_counts(v.artists, v.tracks, v.albums),
+    "q07_stats": lambda v: D.items_per_user_stats(v.artists, v.track_rows, v.albums),
+    "q08_unique_counts": lambda v: D.unique_counts(v.artists, v.track_rows, v.albums),
     "q09_top3_duplicates": lambda v: L.duplicate_top_lists(v.artists, "artist", HEAD_LIST),
     "q09_dup_count": lambda v: L.duplicate_list_count(v.artists, "artist", HEAD_LIST),
-    "q10_concentrated_users": lambda v: L.concentrated_users(v.tracks, CONCENTRATION_HEAD),
-    "q10_concentrated_top2": lambda v: L.concentrated_users(v.tracks, 2),
+    "q10_concentrated_users": lambda v: L.concentrated_users(v.track_head(CONCENTRATION_HEAD), CONCENTRATION_HEAD),
+    "q10_concentrated_top2": lambda v: L.concentrated_users(v.track_head(2), 2),
     "q11_artist_pairs": lambda v: I.frequent_itemsets(v.artists, "artist", 2, PAIRS_K),
     "q12_artist_triples": lambda v: I.frequent_itemsets(v.artists, "artist", 3, TRIPLES_K),
-    "q13_overlap": lambda v: L.top_overlap(v.artists, v.tracks, "artist"),
+    "q13_overlap": lambda v: L.top_overlap(v.artists, v.track_head(1), "artist"),
     "q14_avg_position": lambda v: P.avg_position(v.artists, "artist"),
     "q15_top1_in_global5": lambda v: L.top1_in_global(v.artists, "artist", GLOBAL_TOP),
     "q16_position_stability": lambda v: L.position_stability(v.artists, "artist", 1, 2),
-    "q16_tracks": lambda v: L.position_stability(v.tracks, "artist", 1, 2),
-    "q18_heavy_listeners": lambda v: P.heavy_user_items(v.tracks, "artist", HEAVY_MIN_TRACKS),
-    "q19_cross_popularity": lambda v: P.cross_popularity(v.tracks, v.artists, "artist"),
-    "q20_diverse_artists": lambda v: P.item_diversity(v.artists, v.tracks, "artist"),
+    "q16_tracks": lambda v: L.position_stability(v.track_head(2), "artist", 1, 2),
+    "q18_heavy_listeners": lambda v: P.heavy_user_items(v.track_rows, "artist", HEAVY_MIN_TRACKS),
+    "q19_cross_popularity": lambda v: P.cross_popularity(v.track_rows, v.artists, "artist"),
+    "q20_diverse_artists": lambda v: P.item_diversity(v.artists, v.track_rows, "artist"),
     "q21_missing_flags": lambda v: Q.missing_flags(v.users),
     "q21_missing_data": lambda v: Q.missing_data(v.users, MIN_SCROBBLES),
     "q22_extreme_users": lambda v: D.extreme_users(v.users, "total_scrobbles", P_LOW, P_HIGH),
     "q23_low_coverage": lambda v: P.low_coverage(v.artists, "artist", LOW_COVERAGE),
     "q23_count": lambda v: P.low_coverage_count(v.artists, "artist", LOW_COVERAGE),
-    "q23_low_coverage_tracks": lambda v: P.low_coverage(v.tracks, "track", 20),
-    "q23_count_tracks": lambda v: P.low_coverage_count(v.tracks, "track", 20),
+    "q23_low_coverage_tracks": lambda v: P.low_coverage(v.track_rows, "track", 20),
+    "q23_count_tracks": lambda v: P.low_coverage_count(v.track_rows, "track", 20),
 }
 
 
