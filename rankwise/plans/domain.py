@@ -145,3 +145,25 @@ def users_view(t: Tables) -> DataFrame:
 
 def views(t: Tables, track_strategy: str = "range") -> Views:
     return Views(t, track_strategy)
+
+
+class ListViews:
+    """The same view interface over already ranked tables (the output of
+    ``rankwise.sources.ingest`` or any DataFrames of that shape)."""
+
+    def __init__(self, artists: DataFrame, tracks: DataFrame, albums: DataFrame, users: DataFrame):
+        self.artists = artists
+        self.tracks = tracks
+        self.albums = albums
+        self.users = users
+
+    @property
+    def track_rows(self) -> DataFrame:
+        return self.tracks
+
+    def track_head(self, n: int) -> DataFrame:
+        return self.tracks.filter(F.col("rank") <= n)
+
+
+def list_views(tables: dict[str, DataFrame]) -> ListViews:
+    return ListViews(tables["artists"], tables["tracks"], tables["albums"], tables["users"])
