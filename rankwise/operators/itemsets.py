@@ -1,28 +1,41 @@
 """Frequent item pairs and triples across users' lists (#11, #12).
 
 The reference expanded every user's whole list into all 2- and
-3-combinations with a Python UDF (disabled there, see SURVEY 2.10).  Here:
-
-* a basket is the set of distinct non-NULL items of a user (so the answer
-  does not depend on list order or duplicates);
-* only items that can still be in the answer are expanded.  A pair (or
-  triple) occurs in at most ``support(item)`` baskets for each of its items,
-  so once a lower bound ``L`` of the k-th best count is known, items with
-  support below ``L`` cannot be in the top ``k``.  ``L`` comes from counting
-  exactly among the few most supported items (a bounded seed set), then the
-  full count runs on the items with support >= ``L``.  The result is exact.
-* every step is a join/aggregate inside one plan; the seed item set and the
-  bound are ``limit``-bounded, one-row sides.
+3-combinations with a Python UDF (disabled there, see SURVEY 2.10), which
+emits sum(C(list length, size)) rows.  Here a basket is the set of distinct
+non-NULL items of a user, and counting is split in two exact parts:
+
+dense part (the most supported ``DENSE_ITEMS`` items, ids 0..M-1)
+    each user's basket over those items becomes a few 64-bit words with
+    ``bit_or`` - a partial aggregate, so a user holding a third of all rows
+    still costs one small row per map task.  An Arrow pass turns each batch
+    of user masks into a 0/1 matrix X and adds X^T X (pairs) or, per item i,
+    X_i^T X_i over the users holding i (triples) into a per-task table of at
+    most C(M, size) counts; Spark sums the tables.  The id table has M rows,
+    a fixed bound, so it is broadcast.
+
+sparse part (items outside the dense set)
+    a tuple in the top k occurs at least s* times (the k-th best count), so
+    each of its items has support >= s* >= L, where L is the k-th best count
+    found in the dense part.  Items outside the dense set with support >= L
+    (none, when the item domain is small) are expanded per user with joins,
+    only for users holding such an item, and only tuples that contain one
+    are kept.  The union of both parts is exact.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rankwise.functions.materialize import materialize
 
 USER = "user_id"
+DENSE_ITEMS = 128          # ids per dense block: two 64-bit words per user
+_WORD = 64
 
 
 def baskets(df: DataFrame, item: str = "artist") -> DataFrame:
@@ -30,49 +43,123 @@ def baskets(df: DataFrame, item: str = "artist") -> DataFrame:
     return df.filter(F.col(item).isNotNull()).select(USER, F.col(item).alias("item")).distinct()
 
 
-def _expand(b: DataFrame, size: int) -> DataFrame:
-    """Per user, every strictly increasing ``size``-tuple of its items,
-    counted per tuple."""
-    names = [f"item_{i + 1}" for i in range(size)]
-    out = b.select(USER, F.col("item").alias(names[0]))
-    for i in range(1, size):
-        nxt = b.select(USER, F.col("item").alias(names[i]))
-        out = out.join(nxt, USER).filter(F.col(names[i - 1]) < F.col(names[i]))
-    return out.groupBy(*names).agg(F.count(F.lit(1)).alias("cnt"))
+def _names(size: int) -> list[str]:
+    return [f"item_{i + 1}" for i in range(size)]
 
 
 def _order(size: int):
-    return [F.col("cnt").desc()] + [F.col(f"item_{i + 1}").asc() for i in range(size)]
+    return [F.col("cnt").desc()] + [F.col(n).asc() for n in _names(size)]
+
+
+# ------------------------------------------------------------------ dense
+
+def _cooccurrence_kernel(size: int, m: int, words: int):
+    cols = [f"w{w}" for w in range(words)]
+
+    def run(batches):
+        acc = np.zeros((m, m), dtype=np.int64) if size == 2 else np.zeros((m, m, m), dtype=np.int64)
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            w = np.ascontiguousarray(pdf[cols].to_numpy(dtype=np.int64))
+            bits = np.unpackbits(w.view(np.uint8), axis=1, bitorder="little")[:, :m]
+            x = bits.astype(np.float32)          # batch counts < 2**24: exact
+            if size == 2:
+                acc += np.rint(x.T @ x).astype(np.int64)
+            else:
+                for i in range(m - 2):
+                    s = x[bits[:, i] == 1]
+                    if len(s):
+                        acc[i] += np.rint(s.T @ s).astype(np.int64)
+        if size == 2:
+            i, j = np.nonzero(np.triu(acc, 1))
+            out = {"i1": i, "i2": j, "cnt": acc[i, j]}
+        else:
+            i, j, k = np.nonzero(acc)
+            keep = (i < j) & (j < k)
+            i, j, k = i[keep], j[keep], k[keep]
+            out = {"i1": i, "i2": j, "i3": k, "cnt": acc[i, j, k]}
+        yield pd.DataFrame({c: v.astype(np.int64) for c, v in out.items()})
+
+    return run
+
+
+def _dense_counts(b: DataFrame, ids: DataFrame, size: int, m: int) -> DataFrame:
+    """(item_1 < ... , cnt) for tuples of dense items, from per-user masks."""
+    words = (m + _WORD - 1) // _WORD
+    tagged = b.join(F.broadcast(ids), "item")
+    bit = F.expr(f"shiftleft(CAST(1 AS BIGINT), CAST(iid % {_WORD} AS INT))")
+    masks = tagged.groupBy(USER).agg(*[
+        F.bit_or(F.when((F.col("iid") / _WORD).cast("int") == w, bit).otherwise(F.lit(0).cast("bigint")))
+        .alias(f"w{w}") for w in range(words)])
+    pop = sum((F.bit_count(F.col(f"w{w}")) for w in range(words)), F.lit(0))
+    masks = masks.filter(pop >= size).select(*[f"w{w}" for w in range(words)])
+    id_cols = [f"i{i + 1}" for i in range(size)]
+    schema = T.StructType([T.StructField(c, T.LongType(), False) for c in id_cols]
+                          + [T.StructField("cnt", T.LongType(), False)])
+    counts = (masks.mapInPandas(_cooccurrence_kernel(size, m, words), schema)
+              .groupBy(*id_cols).agg(F.sum("cnt").alias("cnt")))
+    for c in id_cols:
+        counts = counts.join(F.broadcast(ids.select(F.col("iid").alias(c), F.col("item").alias(f"n_{c}"))), c)
+    items = F.array_sort(F.array(*[F.col(f"n_{c}") for c in id_cols]))
+    return counts.select(*[items[i].alias(n) for i, n in enumerate(_names(size))], "cnt")
+
+
+# ----------------------------------------------------------------- sparse
 
-
-def _seed_size(k: int, size: int) -> int:
-    """Smallest t with C(t, size) >= 4k: enough seed tuples for a useful bound."""
-    t = size
-    while math.comb(t, size) < 4 * k:
-        t += 1
-    return t
+def _expand(b: DataFrame, size: int) -> DataFrame:
+    """Per user, every strictly increasing ``size``-tuple of its items
+    (carrying the OR of the ``rest`` flags), counted per tuple."""
+    names = _names(size)
+    out = b.select(USER, F.col("item").alias(names[0]), F.col("rest").alias("_r0"))
+    for i in range(1, size):
+        nxt = b.select(USER, F.col("item").alias(names[i]), F.col("rest").alias(f"_r{i}"))
+        out = out.join(nxt, USER).filter(F.col(names[i - 1]) < F.col(names[i]))
+    any_rest = F.lit(False)
+    for i in range(size):
+        any_rest = any_rest | F.col(f"_r{i}")
+    return out.filter(any_rest).groupBy(*names).agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def frequent_itemsets(df: DataFrame, item: str = "artist", size: int = 2, k: int = 50,
-                      prune: bool = True) -> DataFrame:
+                      prune: bool = True, dense_items: int = DENSE_ITEMS,
+                      cut_lineage: bool = True) -> DataFrame:
     """The ``k`` item ``size``-sets held by most users, ties by the items.
 
     Columns ``item_1 .. item_<size>, cnt`` with ``item_1 < item_2 < ...``.
+    ``prune=False`` expands every basket with joins (the plain definition,
+    kept for checks).  ``cut_lineage`` writes the baskets once to the shared
+    checkpoint folder: the plan reads them in several branches (support,
+    masks, bound, sparse part), and without the cut each branch would
+    re-derive them from the sources.
     """
-    if size < 2:
-        raise ValueError("size must be at least 2")
+    if size not in (2, 3):
+        raise ValueError("size must be 2 or 3")
     b = baskets(df, item)
     if not prune:
-        return _expand(b, size).orderBy(*_order(size)).limit(k)
+        flagged = b.withColumn("rest", F.lit(True))
+        return _expand(flagged, size).orderBy(*_order(size)).limit(k)
+    if cut_lineage:
+        b = materialize(b, "baskets")
 
     support = b.groupBy("item").agg(F.count(F.lit(1)).alias("sup"))
-    seed_items = (support.orderBy(F.col("sup").desc(), F.col("item").asc())
-                  .limit(_seed_size(k, size)).select("item"))
-    seed = _expand(b.join(F.broadcast(seed_items), "item", "left_semi"), size)
-    seed_top = seed.orderBy(*_order(size)).limit(k)
-    # k-th best count among the seed tuples; 0 (no pruning) if fewer than k exist
-    bound = seed_top.agg(F.when(F.count(F.lit(1)) >= k, F.min("cnt")).otherwise(F.lit(0))
-                         .alias("_bound"))
-    keep = (support.crossJoin(F.broadcast(bound)).filter(F.col("sup") >= F.col("_bound"))
-            .select("item"))
-    return _expand(b.join(keep, "item", "left_semi"), size).orderBy(*_order(size)).limit(k)
+    by_support = [F.col("sup").desc(), F.col("item").asc()]
+    ids = (support.orderBy(*by_support).limit(dense_items)
+           .withColumn("iid", (F.row_number().over(Window.orderBy(*by_support)) - 1).cast("int"))
+           .select("item", "iid"))
+    dense = _dense_counts(b, ids, size, dense_items)
+
+    # k-th best dense count: a lower bound of the k-th best count overall
+    bound = (dense.orderBy(*_order(size)).limit(k)
+             .agg(F.when(F.count(F.lit(1)) >= k, F.min("cnt")).otherwise(F.lit(0)).alias("_bound")))
+    rest = (support.crossJoin(F.broadcast(bound)).filter(F.col("sup") >= F.col("_bound"))
+            .join(F.broadcast(ids), "item", "left_anti").select("item"))
+    # users holding a rest item; their tuples with a rest item are counted
+    # by expansion (items under the bound may ride along: their tuples count
+    # less than the k dense tuples already found, so they never enter the top k)
+    rest_users = b.join(rest, "item", "left_semi").select(USER).distinct()
+    cand = (b.join(rest_users, USER, "left_semi")
+            .join(rest.withColumn("rest", F.lit(True)), "item", "left")
+            .withColumn("rest", F.coalesce(F.col("rest"), F.lit(False))))
+    sparse = _expand(cand, size)
+    return dense.unionByName(sparse).orderBy(*_order(size)).limit(k)
