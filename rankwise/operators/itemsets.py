@@ -141,13 +141,21 @@ def frequent_itemsets(df: DataFrame, item: str = "artist", size: int = 2, k: int
         return _expand(flagged, size).orderBy(*_order(size)).limit(k)
     if cut_lineage:
         b = materialize(b, "baskets")
+        # one bounded scalar (at most dense_items + 1) picks the plan: when
+        # every item fits the dense block the sparse part cannot contribute
+        n_items = b.select("item").distinct().limit(dense_items + 1).count()
+    else:
+        n_items = dense_items + 1
+    m = max(size, min(n_items, dense_items))
 
     support = b.groupBy("item").agg(F.count(F.lit(1)).alias("sup"))
     by_support = [F.col("sup").desc(), F.col("item").asc()]
-    ids = (support.orderBy(*by_support).limit(dense_items)
+    ids = (support.orderBy(*by_support).limit(m)
            .withColumn("iid", (F.row_number().over(Window.orderBy(*by_support)) - 1).cast("int"))
            .select("item", "iid"))
-    dense = _dense_counts(b, ids, size, dense_items)
+    dense = _dense_counts(b, ids, size, m)
+    if n_items <= dense_items:
+        return dense.orderBy(*_order(size)).limit(k)
 
     # k-th best dense count: a lower bound of the k-th best count overall
     bound = (dense.orderBy(*_order(size)).limit(k)

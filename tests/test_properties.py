@@ -116,3 +116,13 @@ def test_results_do_not_depend_on_row_order(spark):
 def test_mentions_sum_to_rows(spark):
     df = _random_lists(spark, 10, null_every=5)
     assert P.mentions(df, "artist").agg(F.sum("menciones")).first()[0] == df.count()
+
+
+@pytest.mark.parametrize("dense_items", [3, 6])
+def test_itemset_sparse_part_is_exact(spark, dense_items):
+    """A dense block smaller than the item domain forces the sparse part."""
+    df = _random_lists(spark, 12, users=70, items=15, null_every=13)
+    for size, k in ((2, 10), (3, 12)):
+        a = [tuple(r) for r in I.frequent_itemsets(df, "artist", size, k, dense_items=dense_items).collect()]
+        b = [tuple(r) for r in I.frequent_itemsets(df, "artist", size, k, prune=False).collect()]
+        assert a == b, (size, k)
