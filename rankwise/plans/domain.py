@@ -167,3 +167,25 @@ class ListViews:
 
 def list_views(tables: dict[str, DataFrame]) -> ListViews:
     return ListViews(tables["artists"], tables["tracks"], tables["albums"], tables["users"])
+
+
+def write_views(v: Views, out_dir: str) -> ListViews:
+    """Write the four ranked tables once (the loader's role) and return views
+    over them, so a batch of analyses reads them instead of re-deriving them
+    from the sources for every result.
+
+    Track ranks are full ranks here, so they use the range strategy (a user
+    may hold a third of all rows).  Each file is sorted by ``rank`` inside its
+    partition (no shuffle): Parquet row-group statistics then let the many
+    ``rank <= n`` analyses skip all but the first row groups of each file.
+    """
+    import os
+
+    tables = {"artists": v.artists, "tracks": tracks_view(v._t, "range"), "albums": v.albums,
+              "users": v.users}
+    for name, df in tables.items():
+        if name != "users":
+            df = df.sortWithinPartitions("rank", "user_id")
+        df.write.mode("overwrite").parquet(os.path.join(out_dir, name))
+    spark = v.artists.sparkSession
+    return list_views({n: spark.read.parquet(os.path.join(out_dir, n)) for n in tables})
