@@ -12,8 +12,8 @@ from rankwise.functions.contracts import CONTRACTS, RESULT_SOURCES, check_contra
 from rankwise.plans.export import export_all
 from rankwise.plans.registry import ANALYSES
 from rankwise.sources.ingest import ARTISTS, USERS, normalize, read_raw_csv, rejected_cells
-from rankwise.sources.sinks import (list_results, preview, read_result_jdbc, write_result_jdbc,
-                                    write_result_parquet)
+from rankwise.sources.sinks import (list_results, preview, preview_shape, read_result_jdbc,
+                                    write_result_jdbc, write_result_parquet)
 from rankwise.streaming.ingest_stream import ingest_stream
 
 MALFORMED = '''user_id,rank,artist_name,playcount,extra
@@ -69,6 +69,7 @@ def test_export_parquet_list_and_preview(spark, golden, tmp_path):
     assert list_results(spark, base) == sorted(CONTRACTS)
     pv = preview(spark, "result_1_top_artists", base, n=3)
     assert [tuple(r) for r in pv.collect()] == [("A", 5), ("B", 3), ("C", 3)]
+    assert preview_shape(pv) == (3, 2)
     with pytest.raises(ValueError):
         preview(spark, "result_1_top_artists; DROP TABLE x", base)
 
