@@ -14,7 +14,9 @@ Two strategies give the same numbers:
     the rows of each group inside its slice.  A group that crosses a slice
     border then needs the number of its rows in earlier slices: that offset
     table has at most one row per partition, so broadcasting it is bounded by
-    the partition count, not by the data.
+    the partition count, not by the data.  The numbered slices are written
+    once to the shared checkpoint folder, so the offsets and the rows are
+    computed from the same partitioning, even after an executor loss.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rankwise.functions.materialize import materialize
+
 _PID = "_rw_pid"
 _ROW = "_rw_row"
 _RUN = "_rw_run"
@@ -100,7 +104,10 @@ def _range_position(df: DataFrame, group: str, order: list[Column], out: str) ->
         T.StructField(_RUN, T.LongType(), False),
         T.StructField(_LOCAL, T.LongType(), False),
     ])
-    numbered = keyed.mapInPandas(_run_numbering(group), schema)
+    # written once: the offsets and the rows below must see the very same
+    # range partitioning (a second sampling could move slice borders), and
+    # the Arrow pass then runs once
+    numbered = materialize(keyed.mapInPandas(_run_numbering(group), schema), "ranked-slices")
 
     # one row per non-empty partition: its first and last group and the
     # number of rows the last group has in it

@@ -37,8 +37,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared folder and is left alone.  Only
-    when it is unset (tests, a laptop) a fresh local folder is chosen.
+    On a cluster this setting names a shared folder and is left alone (and
+    must be set).  Only in local mode with no setting (tests, a laptop) a
+    fresh local folder is chosen.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -50,6 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local"):
+        # a machine-local folder would not survive an executor loss
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
     path = tempfile.mkdtemp(prefix="rankwise-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
