@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankwise.functions.columns import median, percent, quantile
-from rankwise.operators.popularity import mentions
+from rankwise.operators.popularity import mention_counts
 
 USER = "user_id"
 
@@ -35,7 +35,7 @@ def mention_histogram(df: DataFrame, item: str = "artist") -> DataFrame:
     so the ordered window over it runs on a bounded input, where the
     reference's window ran over every item in a single partition.
     """
-    return (mentions(df, item).groupBy("menciones")
+    return (mention_counts(df, item).groupBy("menciones")
             .agg(F.count(F.lit(1)).alias("items")))
 
 
@@ -155,7 +155,10 @@ def extreme_users(users: DataFrame, col: str = "total_scrobbles", low: float = 0
     bounds = users.agg(quantile(col, low, exact).alias("percentil_1"),
                        quantile(col, high, exact).alias("percentil_99"))
     x = F.col(col)
+    lo, hi = F.col("percentil_1"), F.col("percentil_99")
+    # the bounds ride along the counting scan (constant per row), so the
+    # percentile aggregate runs once; a global aggregate still returns its
+    # one row (NULL bounds, 0 rows) on an empty table
     flagged = users.select(col).crossJoin(F.broadcast(bounds))
-    counted = flagged.agg(
-        F.count_if((x <= F.col("percentil_1")) | (x >= F.col("percentil_99"))).alias("total_atipicos"))
-    return bounds.crossJoin(counted)
+    return flagged.agg(F.max(lo).alias("percentil_1"), F.max(hi).alias("percentil_99"),
+                       F.count_if((x <= lo) | (x >= hi)).alias("total_atipicos"))

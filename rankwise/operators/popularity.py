@@ -50,9 +50,15 @@ def mode_item(df: DataFrame, item: str = "artist", rank: int = 1) -> DataFrame:
             .select(F.col(item).alias("moda"), "frecuencia"))
 
 
+def mention_counts(df: DataFrame, item: str = "artist", out: str = "menciones") -> DataFrame:
+    """List rows per item (``count(*)``, so NULL items form one group), in no
+    particular order - the input of statistics, which need no sort."""
+    return df.groupBy(item).agg(F.count(F.lit(1)).alias(out))
+
+
 def mentions(df: DataFrame, item: str = "artist", out: str = "menciones") -> DataFrame:
-    """#5: list rows per item (``count(*)``, so NULL items form one group)."""
-    return df.groupBy(item).agg(F.count(F.lit(1)).alias(out)).orderBy(*by_count_then_item(out, item))
+    """#5: list rows per item, most mentioned first."""
+    return mention_counts(df, item, out).orderBy(*by_count_then_item(out, item))
 
 
 def avg_position(df: DataFrame, item: str = "artist", min_mentions: int | None = None,

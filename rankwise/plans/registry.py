@@ -43,7 +43,7 @@ ANALYSES: dict[str, Analysis] = {
     "q04_top1_artist": lambda v: P.rank_holders(v.artists, "artist", 1),
     "q04_mode": lambda v: P.mode_item(v.artists, "artist", 1),
     "q05_mentions": lambda v: P.mentions(v.artists, "artist"),
-    "q05_stats": lambda v: D.distribution_stats(P.mentions(v.artists, "artist"), "menciones"),
+    "q05_stats": lambda v: D.distribution_stats(P.mention_counts(v.artists, "artist"), "menciones"),
     "q06_long_tail": lambda v: D.long_tail(v.artists, "artist", LONG_TAIL_SHARE, "within"),
     "q06_long_tail_tracks": lambda v: D.long_tail(
         v.track_rows, "track", LONG_TAIL_SHARE, "within",
