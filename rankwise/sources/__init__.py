@@ -1,0 +1 @@
+"""Inputs and outputs: Parquet table scans, raw CSV ingest, result sinks."""
