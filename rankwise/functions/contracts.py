@@ -88,10 +88,10 @@ RESULT_SOURCES: dict[str, str] = {
 }
 
 
-def spark_type(sql: str) -> T.DataType:
+def spark_type(sql: str, wide: bool = False) -> T.DataType:
     s = sql.upper()
     if s == "INT":
-        return T.IntegerType()
+        return T.LongType() if wide else T.IntegerType()
     if s.startswith("DECIMAL"):
         p, q = s[s.index("(") + 1:s.index(")")].split(",")
         return T.DecimalType(int(p), int(q))
@@ -100,19 +100,25 @@ def spark_type(sql: str) -> T.DataType:
     raise ValueError(sql)
 
 
-def schema_of(table: str) -> T.StructType:
-    return T.StructType([T.StructField(c.name, spark_type(c.sql), True) for c in CONTRACTS[table]])
+def schema_of(table: str, wide: bool = False) -> T.StructType:
+    return T.StructType([T.StructField(c.name, spark_type(c.sql, wide), True) for c in CONTRACTS[table]])
 
 
-def column_types_ddl(table: str) -> str:
+def column_types_ddl(table: str, wide: bool = False) -> str:
     """``createTableColumnTypes`` text for the JDBC sink (first creation)."""
-    return ", ".join(f"{c.name} {c.sql}" for c in CONTRACTS[table])
+    return ", ".join(f"{c.name} {'BIGINT' if wide and c.sql == 'INT' else c.sql}" for c in CONTRACTS[table])
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
+def conform(df: DataFrame, table: str, wide: bool = False) -> DataFrame:
     """Select the contract columns in order and cast them (DECIMAL rounds
-    half-up to 4 places in Spark, before any database sees the value)."""
-    return df.select(*[F.col(c.name).cast(spark_type(c.sql)).alias(c.name) for c in CONTRACTS[table]])
+    half-up to 4 places in Spark, before any database sees the value).
+
+    The contract's counts are INT; at a scale where a count can pass 2**31 a
+    cast would fail (ANSI mode) rather than wrap, so ``wide=True`` stores
+    them as BIGINT, with the same names and order.
+    """
+    return df.select(*[F.col(c.name).cast(spark_type(c.sql, wide)).alias(c.name)
+                       for c in CONTRACTS[table]])
 
 
 def check_contract(df: DataFrame, table: str) -> DataFrame:

@@ -20,18 +20,19 @@ from rankwise.functions.contracts import CONTRACTS, column_types_ddl, conform
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
-def write_result_parquet(df: DataFrame, base: str, table: str) -> None:
-    conform(df, table).write.mode("overwrite").parquet(os.path.join(base, table))
+def write_result_parquet(df: DataFrame, base: str, table: str, wide: bool = False) -> None:
+    conform(df, table, wide).write.mode("overwrite").parquet(os.path.join(base, table))
 
 
 def write_result_jdbc(df: DataFrame, table: str, url: str, properties: dict[str, str] | None = None,
-                      num_partitions: int = 8, batch_size: int = 10000) -> None:
+                      num_partitions: int = 8, batch_size: int = 10000, wide: bool = False) -> None:
     """Overwrite one result table over JDBC.  ``num_partitions`` caps the
-    number of concurrent connections (Spark coalesces down to it)."""
-    w = (conform(df, table).write.format("jdbc")
+    number of concurrent connections (Spark coalesces down to it); ``wide``
+    stores counts as BIGINT (see ``conform``)."""
+    w = (conform(df, table, wide).write.format("jdbc")
          .option("url", url).option("dbtable", table)
          .option("truncate", "true")
-         .option("createTableColumnTypes", column_types_ddl(table))
+         .option("createTableColumnTypes", column_types_ddl(table, wide))
          .option("numPartitions", str(num_partitions))
          .option("batchsize", str(batch_size)))
     for k, v in (properties or {}).items():

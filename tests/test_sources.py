@@ -57,6 +57,11 @@ def test_conform_casts_to_contract(golden):
     assert (r.solapamientos, r.total_usuarios, r.proporcion) == (4, 7, Decimal("57.1429"))
 
 
+def test_wide_contract_keeps_names_and_widens_counts(golden):
+    df = conform(ANALYSES["q01_top_artists"](golden), "result_1_top_artists", wide=True)
+    assert df.dtypes == [("artist", "string"), ("participacion", "bigint")]
+
+
 def test_check_contract_reports_double_null_key(golden):
     rep = check_contract(ANALYSES["q19_cross_popularity"](golden), "result_19_cross_popularity").first()
     assert rep["rows"] == 12 and rep["null_keys"] == 2 and rep["duplicate_keys"] == 0
