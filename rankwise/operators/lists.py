@@ -68,13 +68,19 @@ def top_overlap(artists: DataFrame, tracks: DataFrame, item: str = "artist") ->
     """#13: users whose #1 artist is the artist of their #1 track.
 
     Base = rank-1 rows of the artist lists, including users with no track
-    list.  Both sides hold one row per user; they are joined on the user.
+    list.  The reference joins the two rank-1 sides on the user and counts
+    rows with equal artists; that count is, per (user, artist), rank-1 artist
+    rows times rank-1 track rows (NULL users and artists never match).  So
+    both heads are stacked and aggregated once on (user, artist): no join,
+    one shuffle with partial aggregation, the same numbers.
     """
-    top_a = artists.filter(F.col("rank") == 1).select(USER, F.col(item).alias("_a"))
-    top_t = tracks.filter(F.col("rank") == 1).select(USER, F.col(item).alias("_t"))
-    both = top_a.join(top_t, USER).agg(F.count_if(F.col("_a") == F.col("_t")).alias("solapamientos"))
-    base = top_a.agg(F.count(F.lit(1)).alias("total_usuarios"))
-    res = both.crossJoin(base)
+    a = artists.filter(F.col("rank") == 1).select(USER, F.col(item).alias("_i"), F.lit(1).alias("_src"))
+    t = tracks.filter(F.col("rank") == 1).select(USER, F.col(item).alias("_i"), F.lit(2).alias("_src"))
+    per_key = (a.unionByName(t).groupBy(USER, "_i")
+               .agg(F.count_if(F.col("_src") == 1).alias("_a"), F.count_if(F.col("_src") == 2).alias("_t")))
+    matches = F.when(F.col(USER).isNotNull() & F.col("_i").isNotNull(), F.col("_a") * F.col("_t"))
+    res = per_key.agg(F.coalesce(F.sum(matches), F.lit(0)).cast("bigint").alias("solapamientos"),
+                      F.coalesce(F.sum("_a"), F.lit(0)).cast("bigint").alias("total_usuarios"))
     return res.withColumn("proporcion", percent(F.col("solapamientos"), F.col("total_usuarios")))
 
 

@@ -126,3 +126,20 @@ def test_itemset_sparse_part_is_exact(spark, dense_items):
         a = [tuple(r) for r in I.frequent_itemsets(df, "artist", size, k, dense_items=dense_items).collect()]
         b = [tuple(r) for r in I.frequent_itemsets(df, "artist", size, k, prune=False).collect()]
         assert a == b, (size, k)
+
+
+def test_overlap_equals_join_count(spark):
+    """#13 as one aggregate equals the reference's join count, also with NULL
+    users/artists and several rank-1 rows per user."""
+    rnd = random.Random(21)
+    def rows(n):
+        return [(rnd.choice([None, "u1", "u2", "u3", "u4"]), 1,
+                 rnd.choice([None, "A", "B", "C"]), 1) for _ in range(n)]
+    schema = "user_id string, rank int, artist string, playcount bigint"
+    a = spark.createDataFrame(rows(30), schema)
+    t = spark.createDataFrame(rows(25), schema)
+    ta = a.filter("rank = 1").select("user_id", F.col("artist").alias("x"))
+    tt = t.filter("rank = 1").select("user_id", F.col("artist").alias("y"))
+    naive = ta.join(tt, "user_id").filter("x = y").count()
+    r = L.top_overlap(a, t).first()
+    assert (r["solapamientos"], r["total_usuarios"]) == (naive, ta.count())
