@@ -76,16 +76,19 @@ def heavy_user_items(tracks: DataFrame, item: str = "artist", min_items: int = 4
     """#18: per item, list rows of users holding more than ``min_items``
     non-NULL ``counted`` entries.
 
-    The heavy-user set is one row per user; it is joined as a left semi join
-    (no row multiplication).  Spark broadcasts it when small and otherwise
-    shuffles both sides on ``user_id``; AQE splits a skewed user partition.
+    The rows are first reduced to one row per (user, item) - list rows,
+    non-NULL ``counted`` entries and (optionally) the summed ``weight`` - by
+    a partial aggregate.  The heavy-user test and the left semi join then
+    work on that reduced table, so a user with a huge list contributes at
+    most one row per item to the join, not all its rows.
     ``weight="playcount"`` sums plays instead of counting rows.
     """
-    heavy = (tracks.groupBy(USER).agg(F.count(counted).alias("_n"))
-                   .filter(F.col("_n") > min_items).select(USER))
-    kept = tracks.join(heavy, USER, "left_semi")
     measure = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    return (kept.groupBy(item).agg(measure.cast("bigint").alias(out))
+    per_key = tracks.groupBy(USER, item).agg(measure.alias("_m"), F.count(counted).alias("_c"))
+    heavy = (per_key.groupBy(USER).agg(F.sum("_c").alias("_n"))
+                    .filter(F.col("_n") > min_items).select(USER))
+    kept = per_key.join(heavy, USER, "left_semi")
+    return (kept.groupBy(item).agg(F.sum("_m").cast("bigint").alias(out))
                 .orderBy(*by_count_then_item(out, item)))
 
 
