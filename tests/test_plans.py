@@ -17,14 +17,20 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
 
-def _plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()     # final adaptive plan
-    return df._jdf.queryExecution().executedPlan().toString()
+@pytest.fixture(scope="module")
+def executed(spark):
+    """Each query run once: its rows, columns and final adaptive plan."""
+    out = {}
+    for name, q in E.queries().items():
+        df = q(spark, SF)
+        rows = df.collect()
+        out[name] = (df.columns, rows, df._jdf.queryExecution().executedPlan().toString())
+    return out
 
 
 @pytest.fixture(scope="module")
-def plans(spark):
-    return {name: _plan(q(spark, SF)) for name, q in E.queries().items()}
+def plans(executed):
+    return {name: p for name, (_, _, p) in executed.items()}
 
 
 def test_entry_smoke(spark):
@@ -78,7 +84,7 @@ def _norm(v):
     return v
 
 
-def test_every_query_matches_duckdb(spark):
+def test_every_query_matches_duckdb(executed):
     con = duckdb.connect()
     for t in TABLE_NAMES:
         p = os.path.join(SF, f"{t}.parquet")
@@ -86,13 +92,12 @@ def test_every_query_matches_duckdb(spark):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
     sqls = E.oracle_sql()
     assert set(sqls) == set(E.queries())
-    for name, q in E.queries().items():
-        df = q(spark, SF)
+    for name, (columns, rows, _) in executed.items():
         res = con.execute(sqls[name])
         dcols = [d[0] for d in res.description]
-        assert sorted(df.columns) == sorted(dcols), name
-        order = sorted(df.columns)
-        s = sorted((tuple(_norm(r[c]) for c in order) for r in df.collect()), key=repr)
+        assert sorted(columns) == sorted(dcols), name
+        order = sorted(columns)
+        s = sorted((tuple(_norm(r[c]) for c in order) for r in rows), key=repr)
         idx = [dcols.index(c) for c in order]
         d = sorted((tuple(_norm(row[i]) for i in idx) for row in res.fetchall()), key=repr)
         assert s == d, name
