@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankwise.functions.columns import by_count_then_item
@@ -78,16 +78,16 @@ def heavy_user_items(tracks: DataFrame, item: str = "artist", min_items: int = 4
 
     The rows are first reduced to one row per (user, item) - list rows,
     non-NULL ``counted`` entries and (optionally) the summed ``weight`` - by
-    a partial aggregate.  The heavy-user test and the left semi join then
-    work on that reduced table, so a user with a huge list contributes at
-    most one row per item to the join, not all its rows.
+    a partial aggregate.  The per-user total is then a window over that
+    reduced table: one pass over the sources (a join of the user set back to
+    the rows would derive them twice), and a window group holds one row per
+    item of the user, not the user's rows.
     ``weight="playcount"`` sums plays instead of counting rows.
     """
     measure = F.count(F.lit(1)) if weight is None else F.sum(weight)
     per_key = tracks.groupBy(USER, item).agg(measure.alias("_m"), F.count(counted).alias("_c"))
-    heavy = (per_key.groupBy(USER).agg(F.sum("_c").alias("_n"))
-                    .filter(F.col("_n") > min_items).select(USER))
-    kept = per_key.join(heavy, USER, "left_semi")
+    user_total = F.sum("_c").over(Window.partitionBy(USER))
+    kept = per_key.withColumn("_n", user_total).filter(F.col("_n") > min_items)
     return (kept.groupBy(item).agg(F.sum("_m").cast("bigint").alias(out))
                 .orderBy(*by_count_then_item(out, item)))
 
