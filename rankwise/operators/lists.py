@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankwise.functions.columns import percent
-from rankwise.operators.popularity import mentions
 
 USER = "user_id"
 
@@ -87,15 +86,20 @@ def top_overlap(artists: DataFrame, tracks: DataFrame, item: str = "artist") ->
 def top1_in_global(artists: DataFrame, item: str = "artist", k: int = 5) -> DataFrame:
     """#15: share of users whose #1 item is among the ``k`` most mentioned.
 
-    The global top-``k`` has ``k`` rows by construction, so it is broadcast;
-    the user side is never shuffled.
+    One aggregate per item gives both its mentions and its rank-1 rows; the
+    ``k`` most mentioned items (a top-k, ``k`` rows) then carry the number of
+    users whose #1 they are, so no join is needed (NULL items, which never
+    match in the reference's join, are left out); the base is the sum of
+    rank-1 rows over all items.
     """
-    top = (mentions(artists, item).limit(k).select(F.col(item).alias("_top"))
-           .withColumn("_hit", F.lit(1)))
-    ones = artists.filter(F.col("rank") == 1).select(F.col(item))
-    j = ones.join(F.broadcast(top), ones[item] == top["_top"], "left")
-    res = j.agg(F.count(F.lit(1)).alias("total_usuarios"),
-                F.count("_hit").alias("usuarios_en_top5"))
+    per_item = artists.groupBy(item).agg(F.count(F.lit(1)).alias("_m"),
+                                         F.count_if(F.col("rank") == 1).alias("_ones"))
+    top = (per_item.orderBy(F.col("_m").desc(), F.col(item).asc_nulls_last()).limit(k)
+           .agg(F.sum(F.when(F.col(item).isNotNull(), F.col("_ones"))).alias("_hit")))
+    base = per_item.agg(F.sum("_ones").alias("_all"))
+    res = top.crossJoin(base).select(
+        F.coalesce(F.col("_all"), F.lit(0)).cast("bigint").alias("total_usuarios"),
+        F.coalesce(F.col("_hit"), F.lit(0)).cast("bigint").alias("usuarios_en_top5"))
     return res.withColumn("proporcion", percent(F.col("usuarios_en_top5"), F.col("total_usuarios")))
 
 

@@ -143,3 +143,19 @@ def test_overlap_equals_join_count(spark):
     naive = ta.join(tt, "user_id").filter("x = y").count()
     r = L.top_overlap(a, t).first()
     assert (r["solapamientos"], r["total_usuarios"]) == (naive, ta.count())
+
+
+def test_top1_in_global_equals_join(spark):
+    """#15 without a join equals the reference's join count, with a NULL
+    item among the most mentioned and ties at the cut."""
+    rnd = random.Random(33)
+    data = [(f"u{rnd.randrange(12)}", rnd.choice([1, 1, 2, 3]), rnd.choice([None, None, "A", "B", "C", "D", "E", "F"]), 1)
+            for _ in range(90)]
+    df = spark.createDataFrame(data, "user_id string, rank int, artist string, playcount bigint")
+    for k in (1, 2, 5):
+        m = df.groupBy("artist").agg(F.count(F.lit(1)).alias("m"))
+        top = m.orderBy(F.col("m").desc(), F.col("artist").asc_nulls_last()).limit(k).select("artist")
+        ones = df.filter("rank = 1").select("artist")
+        naive = ones.join(top, "artist").count()
+        r = L.top1_in_global(df, "artist", k).first()
+        assert (r["total_usuarios"], r["usuarios_en_top5"]) == (ones.count(), naive), k
