@@ -159,3 +159,17 @@ def test_top1_in_global_equals_join(spark):
         naive = ones.join(top, "artist").count()
         r = L.top1_in_global(df, "artist", k).first()
         assert (r["total_usuarios"], r["usuarios_en_top5"]) == (ones.count(), naive), k
+
+
+@pytest.mark.parametrize("counts,share", [
+    ([1, 1, 1, 1], 0.5),          # cumulative share hits 0.5 exactly inside a tie group
+    ([3, 1, 1, 1, 1, 1], 0.375),  # exactly at the end of the first group
+    ([5, 5, 2, 2, 2, 2], 0.8),    # 16/18 crosses, 14/18 inside
+    ([7], 0.8),                   # a single item
+    ([2, 2, 2, 2, 2], 1.0),       # share 1: everything is within and reached
+])
+def test_long_tail_exact_boundaries(spark, counts, share):
+    data = [(f"u{i}-{j}", 1, f"i{i:02d}", 1) for i, c in enumerate(counts) for j in range(c)]
+    df = spark.createDataFrame(data, "user_id string, rank int, artist string, playcount bigint")
+    for mode in ("within", "within_rows", "reach"):
+        assert D.long_tail(df, "artist", share, mode).first()[0] == _naive_long_tail(df, share, mode), mode

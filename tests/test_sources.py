@@ -102,3 +102,16 @@ def test_stream_ingest_is_incremental(spark, tmp_path):
     ingest_stream(spark, str(raw), out, "artists", header, ck).awaitTermination(120)
     got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     assert got == [("u1", 1, "A", 3), ("u1", 2, "B", None), ("u2", 1, "C", 4)]
+
+
+def test_cli_ingest_then_export_meets_contract(spark, raw_dir, tmp_path):
+    from rankwise.__main__ import main
+
+    out, res = str(tmp_path / "processed"), str(tmp_path / "results")
+    assert main(["ingest", raw_dir, out]) == 0
+    assert main(["export", out, res]) == 0
+    for table in list_results(spark, res):
+        df = spark.read.parquet(os.path.join(res, table))
+        assert df.schema.simpleString() == schema_of(table).simpleString(), table
+        rep = check_contract(df, table).first()
+        assert rep["duplicate_keys"] == 0 and rep["too_long"] == 0, table
