@@ -132,6 +132,30 @@ def items_per_user_stats(artists: DataFrame, tracks: DataFrame, albums: DataFram
     return parts[0].crossJoin(parts[1]).crossJoin(parts[2])
 
 
+LIST_KINDS = (("num_artistas", "artistas"), ("num_canciones", "tracks"), ("num_albums", "albums"))
+
+
+def list_lengths(lists: dict[str, DataFrame]) -> DataFrame:
+    """Per user, list rows of each kind (``{"num_artistas": artists, ...}``):
+    the lists are stacked and counted in one aggregate (one shuffle, partial
+    counts), not one aggregate and one join per kind."""
+    stacked = None
+    for col, df in lists.items():
+        part = df.select(USER, F.lit(col).alias("_k"))
+        stacked = part if stacked is None else stacked.unionByName(part)
+    return stacked.groupBy(USER).agg(*[F.count_if(F.col("_k") == c).alias(c) for c in lists])
+
+
+def list_length_stats(lengths: DataFrame, exact: bool = True) -> DataFrame:
+    """#7 stats from per-user list lengths: mean and median per kind over the
+    users that have a list of that kind (a 0 length is not a list)."""
+    present = lengths.select(*[F.nullif(F.col(c), F.lit(0)).alias(c) for c, _ in LIST_KINDS])
+    aggs = []
+    for col, name in LIST_KINDS:
+        aggs += [F.avg(col).alias(f"media_{name}"), median(col, exact).alias(f"mediana_{name}")]
+    return present.agg(*aggs)
+
+
 def unique_counts(artists: DataFrame, tracks: DataFrame, albums: DataFrame,
                   approx: bool = False) -> DataFrame:
     """#8: distinct artists, tracks and albums (NULL not counted)."""

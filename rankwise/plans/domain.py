@@ -81,6 +81,23 @@ class Views:
     def users(self) -> DataFrame:
         return users_view(self._t)
 
+    def list_lengths(self) -> DataFrame:
+        """Per user, rows of each of the three lists, in one pass over the
+        purchase lines: a list row is a distinct item of the user, so the
+        lengths are distinct counts (of a struct, so a NULL item still counts
+        as one row, as it forms one group in the view)."""
+        return _plays(self._t).groupBy("user_id").agg(
+            F.count_distinct(F.struct("p_brand")).alias("num_artistas"),
+            F.count_distinct(F.struct("p_partkey", "p_brand")).alias("num_canciones"),
+            F.count_distinct(F.struct("album", "p_brand")).alias("num_albums"))
+
+    def unique_items(self) -> DataFrame:
+        """#8 in one pass over the purchase lines (NULL items not counted)."""
+        return _plays(self._t).agg(
+            F.count_distinct("p_brand").alias("artistas_unicos"),
+            F.count_distinct("p_partkey").alias("canciones_unicas"),
+            F.count_distinct("album").alias("albums_unicos"))
+
 
 def _plays(t: Tables) -> DataFrame:
     line = t.lineitem.select("l_orderkey", "l_partkey", F.col("l_quantity").alias("q"))
@@ -164,6 +181,15 @@ class ListViews:
     def track_head(self, n: int) -> DataFrame:
         return self.tracks.filter(F.col("rank") <= n)
 
+    def list_lengths(self) -> DataFrame:
+        from rankwise.operators.distribution import list_lengths
+        return list_lengths({"num_artistas": self.artists, "num_canciones": self.tracks,
+                             "num_albums": self.albums})
+
+    def unique_items(self) -> DataFrame:
+        from rankwise.operators.distribution import unique_counts
+        return unique_counts(self.artists, self.tracks, self.albums)
+
 
 def list_views(tables: dict[str, DataFrame]) -> ListViews:
     return ListViews(tables["artists"], tables["tracks"], tables["albums"], tables["users"])

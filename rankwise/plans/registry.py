@@ -57,8 +57,8 @@ ANALYSES: dict[str, Analysis] = {
     "q07_user_artists": lambda v: D.items_per_user(v.artists, "num_artistas"),
     "q07_user_tracks": lambda v: D.items_per_user(v.track_rows, "num_canciones"),
     "q07_user_albums": lambda v: D.items_per_user(v.albums, "num_albums"),
-    "q07_stats": lambda v: D.items_per_user_stats(v.artists, v.track_rows, v.albums),
-    "q08_unique_counts": lambda v: D.unique_counts(v.artists, v.track_rows, v.albums),
+    "q07_stats": lambda v: D.list_length_stats(v.list_lengths()),
+    "q08_unique_counts": lambda v: v.unique_items(),
     "q09_top3_duplicates": lambda v: L.duplicate_top_lists(v.artists, "artist", HEAD_LIST),
     "q09_dup_count": lambda v: L.duplicate_list_count(v.artists, "artist", HEAD_LIST),
     "q10_concentrated_users": lambda v: L.concentrated_users(v.track_head(CONCENTRATION_HEAD), CONCENTRATION_HEAD),

@@ -83,6 +83,7 @@ def test_07_items_per_user(golden):
     assert round(s["media_artistas"], 4) == 2.5714 and s["mediana_artistas"] == 3.0
     assert round(s["media_tracks"], 4) == 1.5714 and s["mediana_tracks"] == 2.0
     assert round(s["media_albums"], 4) == 1.3333 and s["mediana_albums"] == 1.0
+    assert _one(D.list_length_stats(golden.list_lengths())) == s        # one-aggregate path
     per = dict((r[0], r[1]) for r in D.items_per_user(golden.artists, "num_artistas").collect())
     assert per["u4"] == 3 and per["u7"] == 1
 
@@ -90,6 +91,7 @@ def test_07_items_per_user(golden):
 def test_08_unique_counts(golden):
     assert _one(D.unique_counts(golden.artists, golden.tracks, golden.albums)) == {
         "artistas_unicos": 9, "canciones_unicas": 7, "albums_unicos": 2}
+    assert _one(golden.unique_items())["canciones_unicas"] == 7
 
 
 def test_09_duplicate_lists_group_on_the_list(golden):
