@@ -173,6 +173,8 @@ BODIES: dict[str, str] = {
                                 " HAVING count(*) < 20"),
     "q23_count_tracks": (" SELECT count(*) AS total FROM (SELECT track FROM tracks GROUP BY track"
                          " HAVING count(*) < 20)"),
+    "v01_preview": (" SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(count(*) AS INTEGER) AS num_canciones"
+                    " FROM tracks GROUP BY user_id ORDER BY CAST(user_id AS VARCHAR) NULLS LAST LIMIT 100"),
 }
 
 

@@ -19,6 +19,7 @@ from rankwise.operators import lists as L
 from rankwise.operators import popularity as P
 from rankwise.operators import quality as Q
 from rankwise.plans.domain import Views
+from rankwise.sources.sinks import preview_frame
 
 Analysis = Callable[[Views], DataFrame]
 
@@ -34,6 +35,7 @@ PAIRS_K = 50
 TRIPLES_K = 20
 P_LOW, P_HIGH = 0.01, 0.99
 MIN_SCROBBLES = 1
+PREVIEW_ROWS = 100
 
 
 ANALYSES: dict[str, Analysis] = {
@@ -80,6 +82,9 @@ ANALYSES: dict[str, Analysis] = {
     "q23_count": lambda v: P.low_coverage_count(v.artists, "artist", LOW_COVERAGE),
     "q23_low_coverage_tracks": lambda v: P.low_coverage(v.track_rows, "track", 20),
     "q23_count_tracks": lambda v: P.low_coverage_count(v.track_rows, "track", 20),
+    # the result viewer: first rows of a stored result, in contract types, by key
+    "v01_preview": lambda v: preview_frame(D.items_per_user(v.track_rows, "num_canciones"),
+                                           "result_7_user_tracks", PREVIEW_ROWS),
 }
 
 

@@ -58,14 +58,20 @@ def list_results(spark: SparkSession, base: str | None = None) -> list[str]:
     return [n for n in found if n in CONTRACTS]
 
 
+def preview_frame(df: DataFrame, table: str, n: int = 100) -> DataFrame:
+    """The first ``n`` rows of a result in its contract types, in a fixed
+    order (its key, or all columns): a top-n, so each task keeps n rows."""
+    keys = [c.name for c in CONTRACTS[table] if c.key] or [c.name for c in CONTRACTS[table]]
+    return conform(df, table).orderBy(*[F.col(k).asc_nulls_last() for k in keys]).limit(n)
+
+
 def preview(spark: SparkSession, table: str, base: str | None = None, n: int = 100) -> DataFrame:
-    """Up to ``n`` rows of one result, in a fixed order (its key, or all
-    columns).  The name must be a listed result; it is never pasted into SQL."""
+    """Up to ``n`` rows of one stored result.  The name must be a listed
+    result; it is never pasted into SQL."""
     if not _NAME.match(table) or table not in list_results(spark, base):
         raise ValueError(f"unknown result table {table!r}")
     df = spark.read.parquet(os.path.join(base, table)) if base is not None else spark.table(table)
-    keys = [c.name for c in CONTRACTS[table] if c.key] or df.columns
-    return df.orderBy(*[F.col(k).asc_nulls_last() for k in keys]).limit(n)
+    return preview_frame(df, table, n)
 
 
 def preview_shape(df: DataFrame) -> tuple[int, int]:
