@@ -57,6 +57,9 @@ class Views:
 
     @cached_property
     def tracks(self) -> DataFrame:
+        """Track lists with full ranks.  With the range strategy the numbered
+        slices are written to the checkpoint folder when this is first built
+        (one job); analyses that need only list heads use ``track_head``."""
         return tracks_view(self._t, self._track_strategy)
 
     def track_head(self, n: int) -> DataFrame:
