@@ -20,6 +20,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        # one JVM holds every task: waiting for a "better" locality level
+        # only idles slots (measured ~18% on the bench subset)
+        .config("spark.locality.wait", "0s")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
