@@ -40,6 +40,26 @@ def naive_stability(a):
     return r1.join(r2, "user_id").filter("a1 = a2").agg(F.count(F.lit(1)).alias("total"))
 
 
+def naive_overlap(a, t):
+    ta = a.filter("rank = 1").select("user_id", F.col("artist").alias("x"))
+    tt = t.filter("rank = 1").select("user_id", F.col("artist").alias("y"))
+    return ta.join(tt, "user_id").filter("x = y").agg(F.count(F.lit(1)).alias("o")).crossJoin(
+        ta.agg(F.count(F.lit(1)).alias("n")))
+
+
+def naive_top1(a):
+    m = a.groupBy("artist").agg(F.count(F.lit(1)).alias("m"))
+    top = m.orderBy(F.col("m").desc(), F.col("artist")).limit(5).select("artist")
+    ones = a.filter("rank = 1").select("artist")
+    return ones.join(top, "artist").agg(F.count(F.lit(1)).alias("h")).crossJoin(
+        ones.agg(F.count(F.lit(1)).alias("n")))
+
+
+def naive_heavy(t):
+    heavy = t.groupBy("user_id").agg(F.count("track").alias("n")).filter("n > 40").select("user_id")
+    return t.join(heavy, "user_id").groupBy("artist").agg(F.count(F.lit(1)).alias("c"))
+
+
 def naive_stats(a):
     m = P.mentions(a, "artist")
     return m.agg(F.avg("menciones"), F.stddev("menciones")).crossJoin(
@@ -59,8 +79,13 @@ def main(argv):
                                lambda: I.frequent_itemsets(v.artists, "artist", 3, 20)),
         "q16_position_stability": (lambda: naive_stability(v.artists),
                                    lambda: L.position_stability(v.artists, "artist")),
+        "q13_overlap": (lambda: naive_overlap(v.artists, v.track_head(1)),
+                        lambda: L.top_overlap(v.artists, v.track_head(1))),
+        "q15_top1_in_global5": (lambda: naive_top1(v.artists), lambda: L.top1_in_global(v.artists)),
+        "q18_heavy_listeners": (lambda: naive_heavy(v.track_rows),
+                                lambda: P.heavy_user_items(v.track_rows)),
         "q05_stats": (lambda: naive_stats(v.artists),
-                      lambda: D.distribution_stats(P.mentions(v.artists, "artist"), "menciones")),
+                      lambda: D.distribution_stats(P.mention_counts(v.artists, "artist"), "menciones")),
     }
     out = {}
     for name, fns in pairs.items():
