@@ -13,7 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankwise.llm import bpe, exact_dedup, mixing, quality_gam, quality_rules
+from rankwise.llm import (bpe, exact_dedup, html_wrappers, mixing, quality_gam, quality_rules, suffix_dedup,
+                          url_filter)
 from rankwise.llm.tables import scan
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -40,12 +41,32 @@ def op4_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.score(docs, quality_gam.train(docs, scan(spark, sf_dir, "labels")))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.suffix_dedup(scan(spark, sf_dir, "documents"), length=200, keep="none")
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: host, path, verdict of the rule list
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(scan(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op8_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.extract(scan(spark, sf_dir, "pages"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(scan(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_source_mix, op3_suffix_quality, op4_quality_gam, op9_exact_dedup)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_source_mix, op3_suffix_quality, op4_quality_gam,
+                                   op5_suffix_dedup, op7_url_filter, op8_html_wrappers, op9_exact_dedup)}
 
 
 # -- DuckDB statements -------------------------------------------------------
@@ -78,6 +99,25 @@ rates AS (SELECT doc_id, size, source_size, target,
           FROM docs JOIN shares ON docs.source IS NOT DISTINCT FROM shares.source)
 SELECT doc_id, size, source_size, target,
        (size * (floor(rate)::BIGINT + (draw < rate - floor(rate))::BIGINT))::BIGINT AS taken FROM rates""",
+    # pages without a rule: no page of the tables links to another host, so no
+    # distrust reaches a host that is not itself a blocked seed
+    "op7_url_filter": r"""
+WITH place AS (SELECT page_id,
+                      translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                      regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+rules(rule_host, rule_path, rule_verdict) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+    ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+places AS (SELECT DISTINCT host, path FROM place),
+best AS (SELECT host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+                arg_max(rule_verdict, length(rule_host || rule_path)) AS rule_verdict
+         FROM places JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+         GROUP BY host, path),
+judged AS (SELECT page_id, host, path, rule, rule_verdict FROM place LEFT JOIN best USING (host, path)),
+seeds AS (SELECT host, avg((coalesce(rule_verdict, '') = 'block')::INT) - avg((coalesce(rule_verdict, '') = 'allow')::INT)
+                 AS banned FROM judged GROUP BY host)
+SELECT page_id, host, path, rule, coalesce(rule_verdict, CASE WHEN banned > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged JOIN seeds USING (host)""",
     "op9_exact_dedup": r"""
 WITH norm AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
 grouped AS (SELECT t, min(doc_id) AS keep_id, count(*)::BIGINT AS group_size FROM norm GROUP BY t)
