@@ -13,8 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankwise.llm import (bpe, exact_dedup, html_wrappers, mixing, quality_gam, quality_rules, suffix_dedup,
-                          url_filter)
+from rankwise.llm import (bpe, exact_dedup, html_wrappers, mixing, quality_gam, quality_rules, shingle_join,
+                          suffix_dedup, url_filter)
 from rankwise.llm.tables import scan
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -64,9 +64,13 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(scan(spark, sf_dir, "documents"))
 
 
+def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.shingle_join(scan(spark, sf_dir, "documents"), size=5, percent=80)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_byte_bpe, op2_source_mix, op3_suffix_quality, op4_quality_gam,
-                                   op5_suffix_dedup, op7_url_filter, op8_html_wrappers, op9_exact_dedup)}
+                                   op5_suffix_dedup, op7_url_filter, op8_html_wrappers, op9_exact_dedup, op10_shingle_join)}
 
 
 # -- DuckDB statements -------------------------------------------------------

@@ -48,33 +48,13 @@ from pyspark.sql import functions as F
 
 from rankwise.functions.materialize import materialize
 from rankwise.llm.blocks import blocks, covered
+from rankwise.llm.hashing import gram_hashes, prefix_sums
 from rankwise.llm.tables import pick
 
 #: bytes of windows looked at together; places in a chunk fit the low bits of a key
 _PLACE_BITS = 21
 _CHUNK = (1 << _PLACE_BITS) - 1
 _LOW = np.uint64((1 << _PLACE_BITS) - 1)
-_BASE = 0x9E3779B97F4A7C15
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Random values of the bytes, powers of the base and of its inverse modulo 2^64."""
-    if not _POWERS or len(_POWERS["up"]) < n:
-        size = max(n, 1 << 16)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _POWERS[name] = np.multiply.accumulate(steps)
-        _POWERS["value"] = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
-    return _POWERS["value"], _POWERS["up"], _POWERS["down"]
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads their bits."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
 
 
 def segments(data: np.ndarray, length: int, gram: int, valid: np.ndarray | None = None):
@@ -86,10 +66,7 @@ def segments(data: np.ndarray, length: int, gram: int, valid: np.ndarray | None
     none = np.zeros(0, np.int64)
     if n < length:
         return none, none, none, none
-    value, up, down = _powers(n + 1)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(value[data] * up[:n], out=sums[1:])
-    hashes = mixed((sums[gram:] - sums[:-gram]) * down[:n - gram + 1])
+    hashes = gram_hashes(prefix_sums(data), gram)
     least = (hashes & ~_LOW) | np.arange(len(hashes), dtype=np.uint64)
     width, span = 1, length - gram + 1
     while 2 * width <= span:
