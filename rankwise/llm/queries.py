@@ -13,8 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankwise.llm import (bpe, exact_dedup, html_wrappers, mixing, quality_gam, quality_rules, shingle_join,
-                          suffix_dedup, url_filter)
+from rankwise.llm import (bpe, exact_dedup, html_wrappers, line_dedup, mixing, quality_gam, quality_rules,
+                          shingle_join, suffix_dedup, url_filter)
 from rankwise.llm.tables import scan
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -46,6 +46,11 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.line_dedup(scan(spark, sf_dir, "documents"), edits=1, min_chars=20)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 #: host, path, verdict of the rule list
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -70,7 +75,7 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_byte_bpe, op2_source_mix, op3_suffix_quality, op4_quality_gam,
-                                   op5_suffix_dedup, op7_url_filter, op8_html_wrappers, op9_exact_dedup, op10_shingle_join)}
+                                   op5_suffix_dedup, op6_line_dedup, op7_url_filter, op8_html_wrappers, op9_exact_dedup, op10_shingle_join)}
 
 
 # -- DuckDB statements -------------------------------------------------------
@@ -103,6 +108,28 @@ rates AS (SELECT doc_id, size, source_size, target,
           FROM docs JOIN shares ON docs.source IS NOT DISTINCT FROM shares.source)
 SELECT doc_id, size, source_size, target,
        (size * (floor(rate)::BIGINT + (draw < rate - floor(rate))::BIGINT))::BIGINT AS taken FROM rates""",
+    # a pair of lines one edit apart has equal halves before or after the edit;
+    # then one place p splits both into equal beginnings and equal ends
+    "op6_line_dedup": r"""
+WITH line AS (SELECT doc_id, i, string_split(coalesce(text, ''), chr(10))[i] AS v, len(string_split(coalesce(text, ''), chr(10))) AS n
+              FROM documents, LATERAL (SELECT unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i)),
+firsts AS (SELECT v, min(row(doc_id, i)) AS spot, length(v) AS l FROM line
+           WHERE length(v) >= 20 AND regexp_matches(v, '[^\x20\x09-\x0D]') GROUP BY v),
+half AS (SELECT firsts.*, d FROM firsts, (VALUES (0), (1)) AS t(d)),
+probe AS (SELECT v, spot, l - d AS l, left(v, (l - d) // 2) AS head, right(v, (l - d) - (l - d) // 2) AS tail FROM half),
+pairs AS (SELECT a.v AS a, b.v AS b, a.spot AS spot_a, b.spot AS spot_b FROM firsts a JOIN probe b
+              ON a.l = b.l AND left(a.v, a.l // 2) = b.head AND a.v <> b.v
+          UNION SELECT a.v, b.v, a.spot, b.spot FROM firsts a JOIN probe b
+              ON a.l = b.l AND right(a.v, a.l - a.l // 2) = b.tail AND a.v <> b.v),
+near AS (SELECT CASE WHEN spot_a < spot_b THEN b ELSE a END AS v FROM pairs
+         WHERE len(list_filter(range(0, length(a)::BIGINT + 1), lambda p: left(a, p) = left(b, p)
+               AND substr(a, p + 1 + (length(a) = length(b))::BIGINT) = substr(b, p + 2))) > 0),
+gone AS (SELECT line.doc_id, line.i FROM line JOIN firsts USING (v)
+         WHERE row(line.doc_id, line.i) <> firsts.spot OR v IN (SELECT v FROM near)),
+kept AS (SELECT line.doc_id, line.i, v, n, gone.i IS NULL AS stays FROM line LEFT JOIN gone
+         ON line.doc_id = gone.doc_id AND line.i = gone.i)
+SELECT doc_id, any_value(n)::BIGINT AS n_lines, count(*) FILTER (NOT stays)::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(v, chr(10) ORDER BY i) FILTER (stays), '')) AS kept_sha256 FROM kept GROUP BY doc_id""",
     # pages without a rule: no page of the tables links to another host, so no
     # distrust reaches a host that is not itself a blocked seed
     "op7_url_filter": r"""

@@ -27,3 +27,11 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     clash with those an operator adds.
     """
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have yet, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
