@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankwise.llm.tables import SPACE, pick, text_of
+from rankwise.llm.tables import SPACE, free_name, pick, text_of
 
 
 def normalised(text: Column) -> Column:
@@ -52,12 +52,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Repeated rows (same id and text) become one.
+    Repeated rows (same id and text) become one.  The key of a row is its id
+    as text (a null id has a mark of its own) and the SHA-256 of its text.
     """
-    columns = docs.columns
-    kept = (exact_dedup(docs, id_col, text_col).filter("kept")
-            .select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__s")))
-    sha = F.sha2(normalised(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), 256)
-    rows = docs.withColumn("__sha", sha)
-    joined = rows.join(kept, rows[id_col].eqNullSafe(kept["__id"]) & (rows["__sha"] == kept["__s"]), "left_semi")
-    return joined.dropDuplicates([id_col, "__sha"]).select(*[F.col(f"`{c}`") for c in columns])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    key, sha = free_name(docs, "key"), free_name(docs, "sha")
+    kept = exact_dedup(docs, id_col, text_col).filter("kept")
+    named = lambda c: F.coalesce(c.cast("string"), F.lit("\u0000"))
+    kept = kept.select(named(F.col("doc_id")).alias(key), F.col("text_sha256").alias(sha))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    rows = docs.select(*columns, named(F.col(f"`{id_col}`")).alias(key), F.sha2(normalised(text), 256).alias(sha))
+    return rows.join(kept, [key, sha], "left_semi").dropDuplicates([key, sha]).select(*columns)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankwise.functions.materialize import materialize
-from rankwise.llm.tables import WORD, pick, text_of
+from rankwise.llm.tables import WORD, free_name, pick, text_of
 
 #: bits of the MD5 that decide the extra copy
 DRAW_BITS = 52
@@ -103,21 +103,18 @@ def mix(docs: DataFrame, weights: list[int] = (1, 2, 3), max_repeat: int = 3, se
                     (F.col("size") * F.col("copies")).alias("taken"), "source"))
 
 
-def repeat_rows(docs: DataFrame, **options) -> DataFrame:
+def repeat_rows(docs: DataFrame, weights: list[int] = (1, 2, 3), max_repeat: int = 3, seed: int = 20,
+                id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mixed corpus itself: every row as often as the mix takes it, with all its columns."""
-    id_col, source_col = options.get("id_col", "doc_id"), options.get("source_col", "source")
-    seed = options.pop("seed", 20)
-    weights, max_repeat = list(options.get("weights", (1, 2, 3))), options.get("max_repeat", 3)
-    text = F.col(f"`{options.get('text_col', 'text')}`")
-    size = F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("bigint")
-    sources = docs.groupBy(F.col(f"`{source_col}`").alias("source")).agg(F.sum(size).alias("source_size"))
-    share = targets(sources, weights, max_repeat).select(
-        F.col("source").alias("__source"),
-        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("__rate"))
-    extra = (draw(F.col(f"`{id_col}`"), seed) < F.col("__rate") - F.floor("__rate")).cast("int")
-    times = F.floor("__rate").cast("int") + extra
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return (docs.join(share, docs[source_col].eqNullSafe(share["__source"]))
-            .withColumn("__times", times).filter("__times > 0")
-            .select(*columns, F.explode(F.sequence(F.lit(1), F.col("__times"))).alias("__copy"))
+    of, rate, times, copy = (free_name(docs, n) for n in ("source_of", "rate", "times", "copy"))
+    size = F.regexp_count(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.lit(WORD)).cast("bigint")
+    sources = docs.groupBy(F.col(f"`{source_col}`").alias("source")).agg(F.sum(size).alias("source_size"))
+    share = targets(sources, list(weights), max_repeat).select(
+        F.col("source").alias(of),
+        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias(rate))
+    extra = (draw(F.col(f"`{id_col}`"), seed) < F.col(rate) - F.floor(rate)).cast("int")
+    return (docs.join(share, docs[source_col].eqNullSafe(share[of]))
+            .withColumn(times, F.floor(rate).cast("int") + extra).filter(F.col(times) > 0)
+            .select(*columns, F.explode(F.sequence(F.lit(1), F.col(times))).alias(copy))
             .select(*columns))

@@ -245,3 +245,14 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3,
     return slim.mapInArrow(run, f"doc_id {kind}, score double").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the model predicts as quality 1, with all their columns."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, stop, data, offsets in blocks(batch.column(text_col)):
+                good = model.score(features(data, offsets)) >= threshold
+                yield batch.slice(row, stop - row).filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -305,3 +305,14 @@ def shingle_join(docs: DataFrame, size: int = 5, percent: int = 80, small: int =
     labels = found.select(F.col("id").alias("of"), F.col("component").alias("label"))
     return (sets.join(labels, F.col("doc_id") == F.col("of"), "left")
             .select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id")))
+
+
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its component, with all their columns.
+
+    Rows without an id or without words stay.
+    """
+    first = (shingle_join(docs, size, percent, id_col=id_col, text_col=text_col)
+             .filter("component_id = doc_id").select(F.col("doc_id").alias("kept_id")).distinct())
+    rows = docs.join(first, docs[id_col] == first["kept_id"], "left_semi")
+    return rows.unionByName(docs.filter(F.col(f"`{id_col}`").isNull()))
