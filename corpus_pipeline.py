@@ -1,25 +1,60 @@
-"""The corpus pipeline: STAGES over the documents table, each written and read again."""
+"""The corpus pipeline: quality classifier, exact dedup, near dedup, source mixing, BPE.
+
+Each stage takes (spark, docs, sf_dir), works on all its predecessor kept and
+returns what stays; all but the last return the columns of ``documents``.
+``run`` writes every stage as Parquet to the shared folder and reads it again.
+"""
 
 from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from rankwise.llm import bpe, exact_dedup, mixing, quality_gam, shingle_join
+from rankwise.llm.queries import VOCABULARY
 from rankwise.llm.tables import scan
 from rankwise.session import checkpoint_path
 
-STAGES: list = []
 
-#: several stages (classifier, similarity join, BPE) are beyond SQL
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the additive model, fitted on the labelled rows, does not reject."""
+    return quality_gam.keep_good(docs, quality_gam.train(docs, scan(spark, sf_dir, "labels")), threshold=0.3)
+
+
+def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row of the smallest id."""
+    return exact_dedup.keep_first(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by five-word shingles (similarity 0.8 or more) the smallest id."""
+    return shingle_join.keep_one(docs, size=5, percent=80)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row as often as the mix to the target weights takes it."""
+    return mixing.repeat_rows(docs, weights=[1, 2, 3], max_repeat=3)
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids: the token ids of the whole text, packed."""
+    return bpe.encode(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+
+
+STAGES = [("quality classifier", quality_classifier), ("exact dedup", exact_duplicates),
+          ("n-gram Jaccard join", near_duplicates), ("source mix", source_mix), ("byte-level BPE", byte_bpe)]
+
+#: classifier, similarity join and BPE are beyond SQL; tests/llm holds brute-force versions
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; every stage is written to the shared folder and read back."""
+    """The last stage's rows, one per copy that the mix takes."""
     docs = scan(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = checkpoint_path(spark, f"rankwise-pipeline-{name}-{uuid.uuid4().hex}")
+        path = checkpoint_path(spark, f"rankwise-pipeline-{name.replace(' ', '-')}-{uuid.uuid4().hex}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
