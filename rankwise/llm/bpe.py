@@ -32,9 +32,11 @@ from pyspark.sql import DataFrame
 from rankwise.llm.tables import pick
 
 #: entries the memo of a worker may hold; it starts anew when full
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 250_000
 #: longer pre-tokens are not memoised, so the memo has a bound in bytes too
 MEMO_KEY_BYTES = 64
+#: rows taken from an Arrow batch at a time, so that few texts are Python objects at once
+SLICE_ROWS = 256
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -160,13 +162,19 @@ def _shared(df: DataFrame, path: str, pattern: str):
     return df.sparkSession.sparkContext.broadcast((key, ranks, PerfectHash(ranks)))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(row, SLICE_ROWS)
+
+
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit, packed)."""
     shared = _shared(docs, path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared, pattern)
-        for batch in batches:
+        for batch in _slices(batches):
             ids = [codec.encode(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
@@ -184,7 +192,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared, pattern)
-        for batch in batches:
+        for batch in _slices(batches):
             raw = [codec.decode(x or b"") for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_tokens"), batch.column("ids"), pa.array(raw, pa.binary())],
