@@ -108,12 +108,13 @@ def position_stability(df: DataFrame, item: str = "artist", first: int = 1,
     """#16: (user, entry at ``first``, entry at ``second``) pairs with the same
     item - the reference's self-join count - as one aggregate on
     (user, item): per key, rows at ``first`` times rows at ``second``.
+    NULL users and items match nothing, as in the join.
     No self-join, one shuffle, partial aggregation on a hot user."""
     r = F.col("rank")
     # the range bound first: over a row_number window it becomes a partial
     # group limit before the shuffle
     per_key = (df.filter(r <= max(first, second))
-                 .filter(r.isin(first, second) & F.col(item).isNotNull())
+                 .filter(r.isin(first, second) & F.col(item).isNotNull() & F.col(USER).isNotNull())
                  .groupBy(USER, item)
                  .agg(F.count_if(r == first).alias("_a"), F.count_if(r == second).alias("_b")))
     return per_key.agg(F.coalesce(F.sum(F.col("_a") * F.col("_b")), F.lit(0)).cast("bigint").alias("total"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankwise.functions.columns import by_count_then_item
@@ -78,52 +78,55 @@ def heavy_user_items(tracks: DataFrame, item: str = "artist", min_items: int = 4
 
     The rows are first reduced to one row per (user, item) - list rows,
     non-NULL ``counted`` entries and (optionally) the summed ``weight`` - by
-    a partial aggregate.  The per-user total is then a window over that
-    reduced table: one pass over the sources (a join of the user set back to
-    the rows would derive them twice), and a window group holds one row per
-    item of the user, not the user's rows.
+    a partial aggregate.  The heavy users are a second aggregate of that
+    table, and a semi join keeps their rows: both sides read the same
+    exchange, and the join can be split on a hot user.  Rows without a user
+    match no heavy user, as in the reference's join, and go first.
     ``weight="playcount"`` sums plays instead of counting rows.
     """
     measure = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    per_key = tracks.groupBy(USER, item).agg(measure.alias("_m"), F.count(counted).alias("_c"))
-    user_total = F.sum("_c").over(Window.partitionBy(USER))
-    kept = per_key.withColumn("_n", user_total).filter(F.col("_n") > min_items)
+    per_key = (tracks.filter(F.col(USER).isNotNull()).groupBy(USER, item)
+               .agg(measure.alias("_m"), F.count(counted).alias("_c")))
+    heavy = per_key.groupBy(USER).agg(F.sum("_c").alias("_n")).filter(F.col("_n") > min_items).select(USER)
+    kept = per_key.join(heavy, USER, "left_semi")
     return (kept.groupBy(item).agg(F.sum("_m").cast("bigint").alias(out))
                 .orderBy(*by_count_then_item(out, item)))
 
 
-def cross_popularity(tracks: DataFrame, artists: DataFrame, item: str = "artist") -> DataFrame:
-    """#19: list rows per artist in the track lists vs in the artist lists.
+def _stacked(tracks: DataFrame, artists: DataFrame, item: str, track: str | None = None) -> DataFrame:
+    """Both kinds of list rows in one table.  ``_of`` keeps the two NULL items
+    apart (NULL keys never match in the reference's full join, so each side
+    has a NULL row of its own)."""
+    def part(df: DataFrame, kind: int, user, name) -> DataFrame:
+        of = F.when(F.col(item).isNull(), F.lit(kind))
+        return df.select(F.col(item), of.alias("_of"), F.lit(kind).alias("_k"), user.alias("_u"), name.alias("_t"))
 
-    Both sides are aggregated first (one row per artist), then full-outer
-    joined on the artist; NULL keys never match, so each side keeps its own
-    NULL row, as in the reference.
-    """
-    t = tracks.groupBy(item).agg(F.count(F.lit(1)).alias("tracks_count"))
-    a = artists.groupBy(item).agg(F.count(F.lit(1)).alias("artists_count"))
-    j = t.join(a, item, "full_outer")
-    res = j.select(
-        F.col(item),
-        F.coalesce(F.col("tracks_count"), F.lit(0)).alias("tracks_count"),
-        F.coalesce(F.col("artists_count"), F.lit(0)).alias("artists_count"))
-    res = res.withColumn("diferencia", F.col("tracks_count") - F.col("artists_count"))
+    no_user, no_track = (F.lit(None).cast(df.schema[c].dataType) if c else F.lit(None).cast("string")
+                         for df, c in ((artists, USER), (tracks, track)))
+    return part(tracks, 1, no_user, F.col(track) if track else no_track).unionByName(
+        part(artists, 2, F.col(USER), no_track))
+
+
+def cross_popularity(tracks: DataFrame, artists: DataFrame, item: str = "artist") -> DataFrame:
+    """#19: list rows per artist in the track lists vs in the artist lists:
+    the stacked rows are counted once, by kind (no join)."""
+    per_item = _stacked(tracks, artists, item).groupBy(item, "_of").agg(
+        F.count_if(F.col("_k") == 1).alias("tracks_count"), F.count_if(F.col("_k") == 2).alias("artists_count"))
+    res = per_item.select(item, "tracks_count", "artists_count",
+                          (F.col("tracks_count") - F.col("artists_count")).alias("diferencia"))
     return res.orderBy(*by_count_then_item("diferencia", item))
 
 
 def item_diversity(artists: DataFrame, tracks: DataFrame, item: str = "artist",
                    track: str = "track") -> DataFrame:
     """#20: distinct users per artist (artist lists) and distinct tracks per
-    artist (track lists), full-outer joined.  ``count_distinct`` is planned as
-    a two-level aggregate on (artist, value) then artist, so a hot artist is
-    spread by value first."""
-    u = artists.groupBy(item).agg(F.count_distinct(USER).alias("usuarios_distintos"))
-    c = tracks.groupBy(item).agg(F.count_distinct(track).alias("canciones_distintas"))
-    j = u.join(c, item, "full_outer")
-    res = j.select(
-        F.col(item),
-        F.coalesce(F.col("usuarios_distintos"), F.lit(0)).alias("usuarios_distintos"),
-        F.coalesce(F.col("canciones_distintas"), F.lit(0)).alias("canciones_distintas"))
-    return res.orderBy(*by_count_then_item("usuarios_distintos", item))
+    artist (track lists).  The stacked rows are made distinct, which spreads a
+    hot artist by value, and then counted by kind (no join, no Expand)."""
+    each = _stacked(tracks, artists, item, track).distinct()
+    res = each.groupBy(item, "_of").agg(F.count("_u").alias("usuarios_distintos"),
+                                        F.count("_t").alias("canciones_distintas"))
+    return (res.select(item, "usuarios_distintos", "canciones_distintas")
+            .orderBy(*by_count_then_item("usuarios_distintos", item)))
 
 
 def low_coverage(df: DataFrame, item: str = "artist", threshold: int = 5,
