@@ -1,6 +1,6 @@
 """Position of a row inside its group (``row_number`` per group).
 
-Two strategies give the same numbers:
+Two strategies give the same numbers (BIGINT):
 
 ``window``
     ``row_number() OVER (PARTITION BY g ORDER BY ...)``.  One shuffle on the
@@ -9,32 +9,26 @@ Two strategies give the same numbers:
 
 ``range``
     For groups that may be huge (one user holding a third of all rows).  The
-    rows are range-partitioned on ``(g, order...)`` so a hot group is spread
-    over many tasks, each sorts its slice, and an Arrow batch pass numbers
-    the rows of each group inside its slice.  A group that crosses a slice
-    border then needs the number of its rows in earlier slices: that offset
-    table has at most one row per partition, so broadcasting it is bounded by
-    the partition count, not by the data.  The numbered slices are written
-    once to the shared checkpoint folder, so the offsets and the rows are
-    computed from the same partitioning, even after an executor loss.
+    rows are range-partitioned on ``(g, order...)`` so a hot group is cut
+    into slices, which are written once to the shared checkpoint folder (the
+    steps below then see the same slices, even after an executor loss).  A
+    row's position is its ``row_number`` inside (slice, group) plus the rows
+    its group has in earlier slices; only the last group of a slice can go
+    on, so that offset table has at most one row per slice, a bound that does
+    not grow with the data.  Everything stays in SQL expressions: no value of
+    a row passes through Python.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rankwise.functions.materialize import materialize
 
-_PID = "_rw_pid"
-_ROW = "_rw_row"
-_RUN = "_rw_run"
-_LOCAL = "_rw_local"
+_SLICE = "_rw_slice"
 
 
 def position_within(df: DataFrame, group: str, order: Sequence[Column],
@@ -46,89 +40,31 @@ def position_within(df: DataFrame, group: str, order: Sequence[Column],
     """
     if strategy == "window":
         w = Window.partitionBy(group).orderBy(*order)
-        return df.withColumn(out, F.row_number().over(w).cast("int"))
+        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
     if strategy == "range":
         return _range_position(df, group, list(order), out)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
-def _run_numbering(group: str):
-    """Arrow-batch function: per partition, number rows within runs of equal
-    ``group`` values (the partition is sorted on ``group`` first)."""
-
-    def number(batches):
-        carry_key = None
-        carry_null = False
-        carry_len = 0          # rows of the open run seen in earlier batches
-        carry_run = -1         # run index of the open run (-1: none yet)
-        row_base = 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            keys = pdf[group].to_numpy(dtype=object)
-            nulls = pd.isna(keys)
-            same = np.zeros(n, dtype=bool)
-            both_null = nulls[1:] & nulls[:-1]
-            neither = ~nulls[1:] & ~nulls[:-1]
-            same[1:] = both_null | (neither & (keys[1:] == keys[:-1]))
-            if carry_run >= 0:
-                same[0] = (bool(nulls[0]) and carry_null) or (
-                    not nulls[0] and not carry_null and keys[0] == carry_key)
-            starts = ~same
-            run = carry_run + np.cumsum(starts)
-            idx = np.arange(n)
-            start_pos = np.maximum.accumulate(np.where(starts, idx, -1))
-            local = np.where(start_pos < 0, idx + carry_len, idx - start_pos)
-            yield pdf.assign(**{
-                _ROW: np.arange(row_base, row_base + n, dtype=np.int64),
-                _RUN: run.astype(np.int64),
-                _LOCAL: local.astype(np.int64),
-            })
-            row_base += n
-            carry_run = int(run[-1])
-            carry_len = int(local[-1]) + 1
-            carry_null = bool(nulls[-1])
-            carry_key = None if carry_null else keys[-1]
-
-    return number
-
-
 def _range_position(df: DataFrame, group: str, order: list[Column], out: str) -> DataFrame:
-    sort_cols = [F.col(group).asc_nulls_last(), *order]
-    keyed = (df.repartitionByRange(*sort_cols)
-               .sortWithinPartitions(*sort_cols)
-               .withColumn(_PID, F.spark_partition_id()))
-    schema = T.StructType(keyed.schema.fields + [
-        T.StructField(_ROW, T.LongType(), False),
-        T.StructField(_RUN, T.LongType(), False),
-        T.StructField(_LOCAL, T.LongType(), False),
-    ])
-    # written once: the offsets and the rows below must see the very same
-    # range partitioning (a second sampling could move slice borders), and
-    # the Arrow pass then runs once
-    numbered = materialize(keyed.mapInPandas(_run_numbering(group), schema), "ranked-slices")
-
-    # one row per non-empty partition: its first and last group and the
-    # number of rows the last group has in it
-    parts = numbered.groupBy(_PID).agg(
-        F.min_by(F.col(group), F.col(_ROW)).alias("_first"),
-        F.max_by(F.col(group), F.col(_ROW)).alias("_last"),
-        (F.max_by(F.col(_LOCAL), F.col(_ROW)) + 1).alias("_last_len"),
-    )
-    by_pid = Window.orderBy(_PID)
-    by_last = Window.partitionBy("_last").orderBy(_PID).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    offsets = (parts
-               .withColumn("_cum_last", F.sum("_last_len").over(by_last))
-               .withColumn("_prev_last", F.lag("_last").over(by_pid))
-               .withColumn("_prev_cum", F.lag("_cum_last").over(by_pid))
-               .withColumn("_has_prev", F.lag(F.lit(True)).over(by_pid))
-               .filter(F.col("_has_prev") & F.col("_prev_last").eqNullSafe(F.col("_first")))
-               .select(F.col(_PID).alias("_off_pid"), F.col("_prev_cum").alias("_offset")))
-    # at most one row per shuffle partition: a size bound that does not grow
-    # with the data
-    joined = numbered.join(F.broadcast(offsets), numbered[_PID] == offsets["_off_pid"], "left")
-    pos = (F.col(_LOCAL) + 1 + F.when(F.col(_RUN) == 0, F.coalesce(F.col("_offset"), F.lit(0)))
-           .otherwise(F.lit(0)))
-    return joined.withColumn(out, pos.cast("int")).drop(_PID, _ROW, _RUN, _LOCAL, "_off_pid", "_offset")
+    by = [F.col(group).asc_nulls_last(), *order]
+    slices = materialize(df.repartitionByRange(*by).sortWithinPartitions(*by)
+                         .withColumn(_SLICE, F.spark_partition_id()), "ranked-slices")
+    # groups in slice order: names ascending, then the NULL group
+    place = F.struct(F.col(group).isNull().alias("n"), F.col(group).alias("g"))
+    ends = slices.groupBy(_SLICE).agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
+    tail = (slices.join(F.broadcast(ends), _SLICE).groupBy(_SLICE, "_first", "_last")
+            .agg(F.count_if(F.col(group).eqNullSafe(F.col("_last.g"))).alias("_tail")))
+    before = Window.partitionBy("_last").orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # one row per slice
+    offsets = (tail.withColumn("_run", F.sum("_tail").over(before))
+               .withColumn("_prev", F.lag(F.struct(F.col("_last").alias("last"), F.col("_run").alias("run")))
+                           .over(Window.orderBy(_SLICE)))
+               .filter(F.col("_prev.last").eqNullSafe(F.col("_first")) & F.col("_prev").isNotNull())
+               .select(F.col(_SLICE).alias("_of"), F.col("_first.g").alias("_group"), F.col("_prev.run").alias("_offset")))
+    local = F.row_number().over(Window.partitionBy(_SLICE, group).orderBy(*order)).cast("bigint")
+    numbered = slices.withColumn(out, local)
+    joined = numbered.join(F.broadcast(offsets), (F.col(_SLICE) == F.col("_of"))
+                           & F.col(group).eqNullSafe(F.col("_group")), "left")
+    return joined.withColumn(out, F.col(out) + F.coalesce(F.col("_offset"), F.lit(0))).drop(
+        _SLICE, "_of", "_group", "_offset")
