@@ -3,24 +3,23 @@
 The reference expanded every user's whole list into all 2- and
 3-combinations with a Python UDF (disabled there, see SURVEY 2.10), which
 emits sum(C(list length, size)) rows.  Here a basket is the set of distinct
-non-NULL items of a user, and counting is split in two exact parts:
-
-dense part (the most supported ``DENSE_ITEMS`` items, ids 0..M-1)
-    each user's basket over those items becomes a few 64-bit words with
-    ``bit_or`` - a partial aggregate, so a user holding a third of all rows
-    still costs one small row per map task.  An Arrow pass turns each batch
-    of user masks into a 0/1 matrix X and adds X^T X (pairs) or, per item i,
-    X_i^T X_i over the users holding i (triples) into a per-task table of at
-    most C(M, size) counts; Spark sums the tables.  The id table has M rows,
-    a fixed bound, so it is broadcast.
-
-sparse part (items outside the dense set)
-    a tuple in the top k occurs at least s* times (the k-th best count), so
-    each of its items has support >= s* >= L, where L is the k-th best count
-    found in the dense part.  Items outside the dense set with support >= L
-    (none, when the item domain is small) are expanded per user with joins,
-    only for users holding such an item, and only tuples that contain one
-    are kept.  The union of both parts is exact.
+non-NULL items of a user.  One plan serves any number of items:
+
+1. The ``head`` items of highest support are counted first.  A user's basket
+   over them is two 64-bit words (``bit_or``, a partial aggregate, so a user
+   holding a third of all rows costs one small row per map task); an Arrow
+   pass adds X^T X of the 0/1 rows.  The k-th best count there is a lower
+   bound L of the k-th best count overall.
+2. Only items with support >= L can be in a better tuple (every tuple is at
+   most as frequent as its items), so only those go on.  They get a block and
+   a bit by hash; a user's basket is one word per block it touches, and
+   pairs are counted per pair of blocks: a basket of n items in b blocks
+   makes at most b * (b + 1) / 2 rows, not n * (n - 1) / 2.
+3. Triples are built from pairs that reach L themselves, and only for users
+   who hold an item outside the head.
+
+Steps 2 and 3 find nothing to do when the head holds all items; the plan is
+the same.  ``min_support`` leaves out tuples of fewer users.
 """
 
 from __future__ import annotations
@@ -29,13 +28,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from rankwise.functions.materialize import materialize
 
 USER = "user_id"
-DENSE_ITEMS = 128          # ids per dense block: two 64-bit words per user
-_WORD = 64
+HEAD_ITEMS = 128           # two 64-bit words per user
+_BITS = 64
+_FILL = 48                 # items per block aimed at; a fuller block spills into the next word
+_EXACT_ROWS = 1 << 20      # rows per float32 product: its sums stay far below 2**24
 
 
 def baskets(df: DataFrame, item: str = "artist") -> DataFrame:
@@ -47,127 +45,154 @@ def _names(size: int) -> list[str]:
     return [f"item_{i + 1}" for i in range(size)]
 
 
-def _order(size: int):
-    return [F.col("cnt").desc()] + [F.col(n).asc() for n in _names(size)]
-
-
-# ------------------------------------------------------------------ dense
-
-def _cooccurrence_kernel(size: int, m: int, words: int):
-    cols = [f"w{w}" for w in range(words)]
-
-    def run(batches):
-        acc = np.zeros((m, m), dtype=np.int64) if size == 2 else np.zeros((m, m, m), dtype=np.int64)
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            w = np.ascontiguousarray(pdf[cols].to_numpy(dtype=np.int64))
-            bits = np.unpackbits(w.view(np.uint8), axis=1, bitorder="little")[:, :m]
-            x = bits.astype(np.float32)          # batch counts < 2**24: exact
-            if size == 2:
-                acc += np.rint(x.T @ x).astype(np.int64)
-            else:
-                for i in range(m - 2):
-                    s = x[bits[:, i] == 1]
-                    if len(s):
-                        acc[i] += np.rint(s.T @ s).astype(np.int64)
-        if size == 2:
-            i, j = np.nonzero(np.triu(acc, 1))
-            out = {"i1": i, "i2": j, "cnt": acc[i, j]}
-        else:
-            i, j, k = np.nonzero(acc)
-            keep = (i < j) & (j < k)
-            i, j, k = i[keep], j[keep], k[keep]
-            out = {"i1": i, "i2": j, "i3": k, "cnt": acc[i, j, k]}
-        yield pd.DataFrame({c: v.astype(np.int64) for c, v in out.items()})
-
-    return run
-
-
-def _dense_counts(b: DataFrame, ids: DataFrame, size: int, m: int) -> DataFrame:
-    """(item_1 < ... , cnt) for tuples of dense items, from per-user masks."""
-    words = (m + _WORD - 1) // _WORD
-    tagged = b.join(F.broadcast(ids), "item")
-    bit = F.expr(f"shiftleft(CAST(1 AS BIGINT), CAST(iid % {_WORD} AS INT))")
-    masks = tagged.groupBy(USER).agg(*[
-        F.bit_or(F.when((F.col("iid") / _WORD).cast("int") == w, bit).otherwise(F.lit(0).cast("bigint")))
-        .alias(f"w{w}") for w in range(words)])
-    pop = sum((F.bit_count(F.col(f"w{w}")) for w in range(words)), F.lit(0))
-    masks = masks.filter(pop >= size).select(*[f"w{w}" for w in range(words)])
-    id_cols = [f"i{i + 1}" for i in range(size)]
-    schema = T.StructType([T.StructField(c, T.LongType(), False) for c in id_cols]
-                          + [T.StructField("cnt", T.LongType(), False)])
-    counts = (masks.mapInPandas(_cooccurrence_kernel(size, m, words), schema)
-              .groupBy(*id_cols).agg(F.sum("cnt").alias("cnt")))
-    for c in id_cols:
-        counts = counts.join(F.broadcast(ids.select(F.col("iid").alias(c), F.col("item").alias(f"n_{c}"))), c)
-    items = F.array_sort(F.array(*[F.col(f"n_{c}") for c in id_cols]))
-    return counts.select(*[items[i].alias(n) for i, n in enumerate(_names(size))], "cnt")
-
-
-# ----------------------------------------------------------------- sparse
+def _best(counts: DataFrame, size: int, k: int) -> DataFrame:
+    return counts.orderBy(F.col("cnt").desc(), *[F.col(n).asc() for n in _names(size)]).limit(k)
+
+
+def _bits_of(words: np.ndarray) -> np.ndarray:
+    """Rows of 64-bit words -> rows of 0/1 floats."""
+    raw = np.ascontiguousarray(words.astype(np.int64))
+    return np.unpackbits(raw.view(np.uint8), axis=1, bitorder="little").astype(np.float32)
+
+
+def _products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    out = np.zeros((x.shape[1], y.shape[1]), dtype=np.int64)
+    for at in range(0, len(x), _EXACT_ROWS):
+        out += np.rint(x[at:at + _EXACT_ROWS].T @ y[at:at + _EXACT_ROWS]).astype(np.int64)
+    return out
+
+
+def _count_triples(batches):
+    """Co-occurrence of three head items over masks (w0, w1)."""
+    for pdf in batches:
+        x = _bits_of(pdf[["w0", "w1"]].to_numpy())
+        found = []
+        for i in np.flatnonzero(x.any(axis=0)):
+            rows = x[x[:, i] == 1]
+            c = np.triu(_products(rows, rows), 1)
+            j, k = np.nonzero(c)
+            keep = j > i
+            found.append(np.stack([np.full(keep.sum(), i), j[keep], k[keep], c[j, k][keep]], axis=1))
+        table = np.concatenate(found) if found else np.zeros((0, 4), np.int64)
+        yield pd.DataFrame(table.astype(np.int64), columns=["b1", "b2", "b3", "cnt"])
+
+
+def _count_block_pairs(batches):
+    """Co-occurrence over rows (x, y, wx, wy): words of two blocks of one user."""
+    for pdf in batches:
+        found = []
+        for (x, y), part in pdf.groupby(["x", "y"], sort=False):
+            c = _products(_bits_of(part[["wx"]].to_numpy()), _bits_of(part[["wy"]].to_numpy()))
+            i, j = np.nonzero(np.triu(c, 1) if x == y else c)
+            found.append(np.stack([np.full(len(i), x), i, np.full(len(i), y), j, c[i, j]], axis=1))
+        table = np.concatenate(found) if found else np.zeros((0, 5), np.int64)
+        yield pd.DataFrame(table.astype(np.int64), columns=["x", "i", "y", "j", "cnt"])
+
+
+def _masks(b: DataFrame, ids: DataFrame) -> DataFrame:
+    """user, block, w: a user's basket within each block."""
+    bit = F.expr("shiftleft(CAST(1 AS BIGINT), bit)")
+    return b.join(ids, "item").groupBy(USER, "block").agg(F.bit_or(bit).alias("w"))
+
+
+def _pairs(masks: DataFrame, ids: DataFrame, wanted) -> DataFrame:
+    """item_1 < item_2, cnt over the block pairs that ``wanted`` (x, y) allows."""
+    x = masks.select(USER, F.col("block").alias("x"), F.col("w").alias("wx"))
+    y = masks.select(USER, F.col("block").alias("y"), F.col("w").alias("wy"))
+    rows = x.join(y, USER).filter((F.col("x") <= F.col("y")) & wanted).select("x", "y", "wx", "wy")
+    counts = (rows.mapInPandas(_count_block_pairs, "x long, i long, y long, j long, cnt long")
+              .groupBy("x", "i", "y", "j").agg(F.sum("cnt").alias("cnt")))
+    one = ids.select(F.col("block").alias("x"), F.col("bit").cast("long").alias("i"), F.col("item").alias("a"))
+    two = ids.select(F.col("block").alias("y"), F.col("bit").cast("long").alias("j"), F.col("item").alias("b"))
+    return (counts.join(one, ["x", "i"]).join(two, ["y", "j"])
+            .select(F.least("a", "b").alias("item_1"), F.greatest("a", "b").alias("item_2"), "cnt"))
+
+
+def _head_triples(masks: DataFrame, ids: DataFrame) -> DataFrame:
+    """item_1 < item_2 < item_3, cnt over the head's two words."""
+    words = masks.groupBy(USER).agg(*[
+        F.coalesce(F.max(F.when(F.col("block") == block, F.col("w"))), F.lit(0).cast("bigint")).alias(name)
+        for block, name in ((-2, "w0"), (-1, "w1"))])
+    held = words.filter(F.bit_count("w0") + F.bit_count("w1") >= 3).select("w0", "w1")
+    counts = (held.mapInPandas(_count_triples, "b1 long, b2 long, b3 long, cnt long")
+              .groupBy("b1", "b2", "b3").agg(F.sum("cnt").alias("cnt")))
+    place = ((F.col("block") + 2) * _BITS + F.col("bit")).cast("long")
+    for c in ("b1", "b2", "b3"):
+        # HEAD_ITEMS rows
+        counts = counts.join(F.broadcast(ids.select(place.alias(c), F.col("item").alias(f"n_{c}"))), c)
+    items = F.array_sort(F.array("n_b1", "n_b2", "n_b3"))
+    return counts.select(*[items[i].alias(n) for i, n in enumerate(_names(3))], "cnt")
+
 
 def _expand(b: DataFrame, size: int) -> DataFrame:
-    """Per user, every strictly increasing ``size``-tuple of its items
-    (carrying the OR of the ``rest`` flags), counted per tuple."""
+    """The plain definition: every strictly increasing tuple of every basket, counted."""
     names = _names(size)
-    out = b.select(USER, F.col("item").alias(names[0]), F.col("rest").alias("_r0"))
-    for i in range(1, size):
-        nxt = b.select(USER, F.col("item").alias(names[i]), F.col("rest").alias(f"_r{i}"))
-        out = out.join(nxt, USER).filter(F.col(names[i - 1]) < F.col(names[i]))
-    any_rest = F.lit(False)
-    for i in range(size):
-        any_rest = any_rest | F.col(f"_r{i}")
-    return out.filter(any_rest).groupBy(*names).agg(F.count(F.lit(1)).alias("cnt"))
+    out = b.select(USER, F.col("item").alias(names[0]))
+    for before, name in zip(names, names[1:]):
+        out = out.join(b.select(USER, F.col("item").alias(name)), USER).filter(F.col(before) < F.col(name))
+    return out.groupBy(*names).agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def _rest_triples(b: DataFrame, rest: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Triples with an item of ``rest`` whose three pairs are all in ``pairs``."""
+    user_of_rest = b.join(rest.select("item"), "item", "left_semi").select(USER).distinct()
+    kept = b.join(user_of_rest, USER, "left_semi")
+    of = lambda n: kept.select(USER, F.col("item").alias(n))
+    p12 = pairs.select("item_1", "item_2")
+    p23 = pairs.select(F.col("item_1").alias("item_2"), F.col("item_2").alias("item_3"))
+    p13 = pairs.select("item_1", F.col("item_2").alias("item_3"))
+    two = of("item_1").join(p12, "item_1").join(of("item_2"), [USER, "item_2"])
+    three = two.join(p23, "item_2").join(of("item_3"), [USER, "item_3"]).join(p13, ["item_1", "item_3"], "left_semi")
+    flags = [rest.select(F.col("item").alias(n), F.lit(True).alias(f"r_{n}")) for n in _names(3)]
+    for flag, name in zip(flags, _names(3)):
+        three = three.join(flag, name, "left")
+    has_rest = F.coalesce(*[F.col(f"r_{n}") for n in _names(3)], F.lit(False))
+    return three.filter(has_rest).groupBy(*_names(3)).agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def frequent_itemsets(df: DataFrame, item: str = "artist", size: int = 2, k: int = 50,
-                      prune: bool = True, dense_items: int = DENSE_ITEMS,
-                      cut_lineage: bool = True) -> DataFrame:
+                      prune: bool = True, head: int = HEAD_ITEMS, min_support: int = 1) -> DataFrame:
     """The ``k`` item ``size``-sets held by most users, ties by the items.
 
-    Columns ``item_1 .. item_<size>, cnt`` with ``item_1 < item_2 < ...``.
+    Columns ``item_1 .. item_<size>, cnt`` with ``item_1 < item_2 < ...``;
+    sets of fewer than ``min_support`` users are left out (1: none).
     ``prune=False`` expands every basket with joins (the plain definition,
-    kept for checks).  ``cut_lineage`` writes the baskets once to the shared
-    checkpoint folder: the plan reads them in several branches (support,
-    masks, bound, sparse part), and without the cut each branch would
-    re-derive them from the sources.
+    kept for checks).
     """
-    if size not in (2, 3):
-        raise ValueError("size must be 2 or 3")
+    if size not in (2, 3) or not size <= head <= HEAD_ITEMS:
+        raise ValueError(f"size must be 2 or 3, head {size} to {HEAD_ITEMS}")
     b = baskets(df, item)
+    frequent = F.col("cnt") >= min_support
     if not prune:
-        flagged = b.withColumn("rest", F.lit(True))
-        return _expand(flagged, size).orderBy(*_order(size)).limit(k)
-    if cut_lineage:
-        b = materialize(b, "baskets")
-        # one bounded scalar (at most dense_items + 1) picks the plan: when
-        # every item fits the dense block the sparse part cannot contribute
-        n_items = b.select("item").distinct().limit(dense_items + 1).count()
-    else:
-        n_items = dense_items + 1
-    m = max(size, min(n_items, dense_items))
-
+        return _best(_expand(b, size).filter(frequent), size, k)
     support = b.groupBy("item").agg(F.count(F.lit(1)).alias("sup"))
     by_support = [F.col("sup").desc(), F.col("item").asc()]
-    ids = (support.orderBy(*by_support).limit(m)
-           .withColumn("iid", (F.row_number().over(Window.orderBy(*by_support)) - 1).cast("int"))
-           .select("item", "iid"))
-    dense = _dense_counts(b, ids, size, m)
-    if n_items <= dense_items:
-        return dense.orderBy(*_order(size)).limit(k)
-
-    # k-th best dense count: a lower bound of the k-th best count overall
-    bound = (dense.orderBy(*_order(size)).limit(k)
-             .agg(F.when(F.count(F.lit(1)) >= k, F.min("cnt")).otherwise(F.lit(0)).alias("_bound")))
-    rest = (support.crossJoin(F.broadcast(bound)).filter(F.col("sup") >= F.col("_bound"))
-            .join(F.broadcast(ids), "item", "left_anti").select("item"))
-    # users holding a rest item; their tuples with a rest item are counted
-    # by expansion (items under the bound may ride along: their tuples count
-    # less than the k dense tuples already found, so they never enter the top k)
-    rest_users = b.join(rest, "item", "left_semi").select(USER).distinct()
-    cand = (b.join(rest_users, USER, "left_semi")
-            .join(rest.withColumn("rest", F.lit(True)), "item", "left")
-            .withColumn("rest", F.coalesce(F.col("rest"), F.lit(False))))
-    sparse = _expand(cand, size)
-    return dense.unionByName(sparse).orderBy(*_order(size)).limit(k)
+    place = F.row_number().over(Window.orderBy(*by_support)) - 1    # over ``head`` rows
+    top = support.orderBy(*by_support).limit(head).withColumn("place", place).select(
+        "item", (F.floor(F.col("place") / _BITS) - 2).cast("long").alias("block"), (F.col("place") % _BITS).alias("bit"))
+    head_masks = _masks(b, F.broadcast(top))
+    first = _pairs(head_masks, top, F.lit(True)) if size == 2 else _head_triples(head_masks, top)
+    first = first.filter(frequent)
+    # the k-th best count of the head, one row
+    bound = _best(first, size, k).agg(F.greatest(F.lit(min_support), F.when(
+        F.count(F.lit(1)) >= k, F.min("cnt")).otherwise(F.lit(0))).alias("least"))
+    rest = (support.crossJoin(F.broadcast(bound)).filter(F.col("sup") >= F.col("least"))
+            .join(F.broadcast(top.select("item")), "item", "left_anti"))
+    blocks = rest.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / _FILL)).alias("blocks"))
+    hashed = F.pmod(F.xxhash64("item"), F.col("blocks"))
+    in_block = F.row_number().over(Window.partitionBy("hashed").orderBy("item")) - 1     # about _FILL rows each
+    rest_ids = (rest.select("item").crossJoin(F.broadcast(blocks)).withColumn("hashed", hashed)
+                .withColumn("n", in_block)
+                .select("item", (F.col("hashed") * 1024 + F.floor(F.col("n") / _BITS)).cast("long").alias("block"),
+                        (F.col("n") % _BITS).alias("bit")))
+    # head items ride along where they can still pair with one of the rest
+    ids = top.unionByName(rest_ids)
+    beyond = F.col("y") >= 0
+    holders = b.join(rest_ids.select("item"), "item", "left_semi").select(USER).distinct()
+    masks = _masks(b.join(holders, USER, "left_semi"), ids)
+    others = _pairs(masks, ids, beyond).filter(frequent)
+    if size == 2:
+        return _best(first.unionByName(others), size, k)
+    reach = others.unionByName(_pairs(head_masks, top, F.lit(True)))
+    reach = reach.crossJoin(F.broadcast(bound)).filter(F.col("cnt") >= F.col("least")).select("item_1", "item_2")
+    return _best(first.unionByName(_rest_triples(b, rest_ids, reach).filter(frequent)), size, k)
