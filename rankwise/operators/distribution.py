@@ -7,10 +7,13 @@ needed by a later step it is joined as a one-row side (a size bound of one).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankwise.functions.columns import median, percent, quantile
+from rankwise.functions.materialize import materialize
 from rankwise.operators.popularity import mention_counts
 
 USER = "user_id"
@@ -62,20 +65,25 @@ def _count_below(cum_before, m, n, total, share, inclusive_after: bool):
     * ``inclusive_after``: (cum_before + j*m) / total <= share   (ROWS "within")
     * otherwise:          (cum_before + (j-1)*m) / total < share (first item reaching)
 
-    The predicate is monotone in j; an estimate from the closed form is
-    corrected by testing the exact double predicate on its neighbours, so
-    the answer equals a per-item scan.
+    The predicate is monotone in j, so the count is found by bisection on
+    the exact double predicate: 63 halvings cover any BIGINT group, and the
+    answer equals a per-item scan.
     """
-    x = (F.lit(share) * total - cum_before) / m
-    base = F.greatest(F.lit(0), F.floor(x).cast("bigint") - 2)
-
     def pred(j):
         if inclusive_after:
             return ((cum_before + j * m) / total) <= F.lit(share)
         return ((cum_before + (j - 1) * m) / total) < F.lit(share)
 
-    extra = sum(F.when(pred(base + F.lit(t)), 1).otherwise(0) for t in range(1, 6))
-    return F.least(n, F.greatest(F.lit(0), base + extra))
+    def halve(state, _):
+        low, high = state["low"], state["high"]          # pred(low) holds (or low = 0), pred(high + 1) does not
+        middle = F.floor((low + high + 1) / 2).cast("bigint")
+        ok = pred(middle)
+        return F.when(low >= high, state).otherwise(F.struct(
+            F.when(ok, middle).otherwise(low).alias("low"),
+            F.when(ok, high).otherwise(middle - 1).alias("high")))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("low"), n.cast("bigint").alias("high"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(63)), start, halve)["low"]
 
 
 def long_tail(df: DataFrame, item: str = "artist", share: float = 0.8, mode: str = "within",
@@ -120,18 +128,6 @@ def items_per_user(df: DataFrame, out: str = "num_artistas") -> DataFrame:
     return df.groupBy(USER).agg(F.count(F.lit(1)).alias(out))
 
 
-def items_per_user_stats(artists: DataFrame, tracks: DataFrame, albums: DataFrame,
-                         exact: bool = True) -> DataFrame:
-    """#7 stats: mean and median list length for the three list kinds, as
-    three one-row aggregates joined into one row."""
-    parts = []
-    for df, name in ((artists, "artistas"), (tracks, "tracks"), (albums, "albums")):
-        c = items_per_user(df, "_n")
-        parts.append(c.agg(F.avg("_n").alias(f"media_{name}"),
-                           median("_n", exact).alias(f"mediana_{name}")))
-    return parts[0].crossJoin(parts[1]).crossJoin(parts[2])
-
-
 LIST_KINDS = (("num_artistas", "artistas"), ("num_canciones", "tracks"), ("num_albums", "albums"))
 
 
@@ -168,16 +164,48 @@ def unique_counts(artists: DataFrame, tracks: DataFrame, albums: DataFrame,
 
 # ------------------------------------------------------------------ extremes
 
+def exact_quantiles(df: DataFrame, col: str, shares: Sequence[float]) -> DataFrame:
+    """One row ``q0, q1, ...``: the discrete quantiles of ``col`` (DOUBLE, NULL without values).
+
+    No task holds all values: the value counts (a partial aggregate) are
+    range-partitioned by value and written once; the totals per slice (one
+    row each) say which slice holds a quantile, and only that slice is
+    summed up in order.
+    """
+    counts = (df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_n")))
+    slices = materialize(counts.repartitionByRange("_v").withColumn("_p", F.spark_partition_id()), "quantile-slices")
+    totals = slices.groupBy("_p").agg(F.sum("_n").alias("_in"))
+    upto = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(F.lit(1))
+    # one row per slice: the windows here are bounded by the partition count
+    placed = totals.withColumn("_to", F.sum("_in").over(upto)).withColumn("_all", F.sum("_in").over(whole))
+    wanted = placed.select("_p", (F.col("_to") - F.col("_in")).alias("_from"), "_to", "_all", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("_all"))).alias("k"))
+        for i, p in enumerate(shares)])).alias("_q")).filter("_q.k > _from and _q.k <= _to")
+    inside = Window.partitionBy("_p", "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # at most one row per share: a bound that does not depend on the data
+    found = (slices.join(F.broadcast(wanted.select("_p", "_from", F.col("_q.i").alias("_i"), F.col("_q.k").alias("_k"))), "_p")
+             .withColumn("_cum", F.col("_from") + F.sum("_n").over(inside)).filter(F.col("_cum") >= F.col("_k")))
+    return found.agg(*[F.min(F.when(F.col("_i") == i, F.col("_v"))).cast("double").alias(f"q{i}")
+                       for i in range(len(shares))])
+
+
 def extreme_users(users: DataFrame, col: str = "total_scrobbles", low: float = 0.01,
                   high: float = 0.99, exact: bool = True) -> DataFrame:
     """#22: the ``low``/``high`` percentiles of ``col`` and the number of rows
     at or beyond either (inclusive; NULL is never an outlier).
 
-    The percentile row is a one-row aggregate broadcast into the counting
-    scan: a size bound of one row, whatever the table size.
+    The percentile row is broadcast into the counting scan: a size bound of
+    one row, whatever the table size.  ``exact=False`` takes the mergeable
+    sketch of the reference instead of the exact quantiles.
     """
-    bounds = users.agg(quantile(col, low, exact).alias("percentil_1"),
-                       quantile(col, high, exact).alias("percentil_99"))
+    if exact:
+        bounds = exact_quantiles(users, col, (low, high)).select(
+            F.col("q0").alias("percentil_1"), F.col("q1").alias("percentil_99"))
+    else:
+        bounds = users.agg(quantile(col, low, False).alias("percentil_1"),
+                           quantile(col, high, False).alias("percentil_99"))
     x = F.col(col)
     lo, hi = F.col("percentil_1"), F.col("percentil_99")
     # the bounds ride along the counting scan (constant per row), so the
