@@ -35,6 +35,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankwise.functions.materialize import materialize
 from rankwise.functions.ranking import position_within
 from rankwise.sources.tables import Tables
 
@@ -84,68 +85,89 @@ class Views:
     def users(self) -> DataFrame:
         return users_view(self._t)
 
+    def unnamed_users(self) -> UnnamedUsers:
+        return UnnamedUsers(self)
+
     def list_lengths(self) -> DataFrame:
         """Per user, rows of each of the three lists, in one pass over the
         purchase lines: a list row is a distinct item of the user, so the
-        lengths are distinct counts (of a struct, so a NULL item still counts
-        as one row, as it forms one group in the view)."""
-        return _plays(self._t).groupBy("user_id").agg(
-            F.count_distinct(F.struct("p_brand")).alias("num_artistas"),
-            F.count_distinct(F.struct("p_partkey", "p_brand")).alias("num_canciones"),
-            F.count_distinct(F.struct("album", "p_brand")).alias("num_albums"))
+        lengths are counted level by level (track within album within artist;
+        NULL items form groups, as in the views).  One line-sized shuffle on
+        (user, artist) serves the three inner levels, a hot user is spread by
+        artist, and no line is copied per count."""
+        by_artist = _plays(self._t).select("user_id", "p_brand", "album", "p_partkey").repartition("user_id", "p_brand")
+        tracks = by_artist.groupBy("user_id", "p_brand", "album", "p_partkey").agg(F.lit(1).alias("_one"))
+        albums = tracks.groupBy("user_id", "p_brand", "album").agg(F.count(F.lit(1)).alias("_t"))
+        artists = albums.groupBy("user_id", "p_brand").agg(F.sum("_t").alias("_t"), F.count(F.lit(1)).alias("_a"))
+        return artists.groupBy("user_id").agg(F.count(F.lit(1)).alias("num_artistas"),
+                                              F.sum("_t").alias("num_canciones"), F.sum("_a").alias("num_albums"))
 
     def unique_items(self) -> DataFrame:
-        """#8 in one pass over the purchase lines (NULL items not counted)."""
-        return _plays(self._t).agg(
+        """#8 in one pass over the purchase lines (NULL items not counted):
+        the lines are first reduced, map side, to the distinct parts."""
+        each = _plays(self._t).select("p_partkey", "p_brand", "album").distinct()
+        return each.agg(
             F.count_distinct("p_brand").alias("artistas_unicos"),
             F.count_distinct("p_partkey").alias("canciones_unicas"),
             F.count_distinct("album").alias("albums_unicos"))
 
 
-def _plays(t: Tables) -> DataFrame:
+def _lines(t: Tables) -> DataFrame:
     line = t.lineitem.select("l_orderkey", "l_partkey", F.col("l_quantity").alias("q"))
     orders = t.orders.select("o_orderkey", F.col("o_custkey").alias("user_id"))
-    part = t.part.select(
-        "p_partkey", "p_brand",
-        F.concat(F.col("p_brand"), F.lit(" "), F.col("p_type")).alias("album"))
-    return (line.join(orders, line.l_orderkey == orders.o_orderkey)
-                .join(part, F.col("l_partkey") == part.p_partkey)
-                .select("user_id", "p_partkey", "p_brand", "album", "q"))
+    return line.join(orders, line.l_orderkey == orders.o_orderkey).select("user_id", "l_partkey", "q")
+
+
+def _parts(t: Tables) -> DataFrame:
+    return t.part.select("p_partkey", "p_brand",
+                         F.concat(F.col("p_brand"), F.lit(" "), F.col("p_type")).alias("album"))
+
+
+def _plays(t: Tables) -> DataFrame:
+    part = _parts(t)
+    return (_lines(t).join(part, F.col("l_partkey") == part.p_partkey)
+            .select("user_id", "p_partkey", "p_brand", "album", "q"))
+
+
+def _part_sums(t: Tables) -> DataFrame:
+    """One row per (user, part) with the part's columns: the sum is taken
+    below the part join, so a part sold on very many lines meets that join
+    once per user."""
+    part = _parts(t)
+    sums = _lines(t).groupBy("user_id", "l_partkey").agg(F.sum("q").alias("q"))
+    return (sums.join(part, F.col("l_partkey") == part.p_partkey)
+            .select("user_id", "p_partkey", "p_brand", "album", "q"))
+
+
+def _ranked(sums: DataFrame, item: str, name: str, strategy: str) -> DataFrame:
+    """user_id, rank, <name>, artist, playcount from (user_id, item, p_brand, playcount)."""
+    ranked = position_within(sums, "user_id", [F.col("playcount").desc_nulls_last(), F.col(item).asc_nulls_last()],
+                             strategy=strategy)
+    columns = [F.col(item).alias(name)] + ([F.col("p_brand").alias("artist")] if name != "artist" else [])
+    return ranked.select("user_id", "rank", *columns, "playcount")
 
 
-def artists_view(t: Tables) -> DataFrame:
-    agg = (_plays(t).groupBy("user_id", "p_brand")
-           .agg(F.sum("q").cast("bigint").alias("playcount")))
-    ranked = position_within(
-        agg, "user_id",
-        [F.col("playcount").desc_nulls_last(), F.col("p_brand").asc_nulls_last()],
-        strategy="window")
-    return ranked.select("user_id", "rank", F.col("p_brand").alias("artist"), "playcount")
+def _sums(plays: DataFrame, *keys: str) -> DataFrame:
+    return plays.groupBy("user_id", *keys).agg(F.sum("q").cast("bigint").alias("playcount"))
 
 
-def track_rows(t: Tables) -> DataFrame:
-    return (_plays(t).groupBy("user_id", "p_partkey", "p_brand")
-            .agg(F.sum("q").cast("bigint").alias("playcount"))
-            .select("user_id", F.col("p_partkey").alias("track"),
-                    F.col("p_brand").alias("artist"), "playcount"))
+def artists_view(t: Tables, plays: DataFrame | None = None) -> DataFrame:
+    return _ranked(_sums(plays if plays is not None else _plays(t), "p_brand"), "p_brand", "artist", "window")
 
 
-def tracks_view(t: Tables, strategy: str = "range") -> DataFrame:
-    ranked = position_within(
-        track_rows(t), "user_id",
-        [F.col("playcount").desc_nulls_last(), F.col("track").asc_nulls_last()],
-        strategy=strategy)
-    return ranked.select("user_id", "rank", "track", "artist", "playcount")
+def track_rows(t: Tables, plays: DataFrame | None = None) -> DataFrame:
+    rows = plays if plays is not None else _part_sums(t)
+    return rows.select("user_id", F.col("p_partkey").alias("track"), F.col("p_brand").alias("artist"),
+                       F.col("q").cast("bigint").alias("playcount"))
 
 
-def albums_view(t: Tables) -> DataFrame:
-    agg = (_plays(t).groupBy("user_id", "album", "p_brand")
-           .agg(F.sum("q").cast("bigint").alias("playcount")))
-    ranked = position_within(
-        agg, "user_id",
-        [F.col("playcount").desc_nulls_last(), F.col("album").asc_nulls_last()],
-        strategy="window")
-    return ranked.select("user_id", "rank", "album", F.col("p_brand").alias("artist"), "playcount")
+def tracks_view(t: Tables, strategy: str = "range", plays: DataFrame | None = None) -> DataFrame:
+    rows = track_rows(t, plays).withColumnRenamed("artist", "p_brand")
+    return _ranked(rows, "track", "track", strategy)
+
+
+def albums_view(t: Tables, plays: DataFrame | None = None) -> DataFrame:
+    return _ranked(_sums(plays if plays is not None else _plays(t), "album", "p_brand"), "album", "album", "window")
 
 
 def users_view(t: Tables) -> DataFrame:
@@ -163,6 +185,28 @@ def users_view(t: Tables) -> DataFrame:
         F.col("n").alias("total_scrobbles"))
 
 
+class UnnamedUsers:
+    """The lists of ``Views`` after the users with a negative account balance
+    lost their id (NULL): what the operators make of rows without a user."""
+
+    def __init__(self, v: Views):
+        self._v = v
+
+    def _unnamed(self, lists: DataFrame) -> DataFrame:
+        debtor = self._v._t.customer.filter(F.col("c_acctbal") < 0).select(
+            F.col("c_custkey").alias("user_id"), F.lit(True).alias("_debtor"))
+        marked = lists.join(debtor, "user_id", "left")
+        user = F.when(F.col("_debtor").isNull(), F.col("user_id"))
+        return marked.select(user.alias("user_id"), *[c for c in lists.columns if c != "user_id"])
+
+    @property
+    def track_rows(self) -> DataFrame:
+        return self._unnamed(self._v.track_rows)
+
+    def track_head(self, n: int) -> DataFrame:
+        return self._unnamed(self._v.track_head(n))
+
+
 def views(t: Tables, track_strategy: str = "range") -> Views:
     return Views(t, track_strategy)
 
@@ -203,18 +247,21 @@ def write_views(v: Views, out_dir: str) -> ListViews:
     over them, so a batch of analyses reads them instead of re-deriving them
     from the sources for every result.
 
-    Track ranks are full ranks here, so they use the range strategy (a user
-    may hold a third of all rows).  Each file is sorted by ``rank`` inside its
-    partition (no shuffle): Parquet row-group statistics then let the many
-    ``rank <= n`` analyses skip all but the first row groups of each file.
+    The three lists are built from one written table of (user, part) sums: one
+    pass over the purchase lines.  Track ranks are full ranks here, so they
+    use the range strategy (a user may hold a third of all rows).  Each file
+    is sorted by ``rank`` inside its partition (no shuffle): Parquet row-group
+    statistics then let the many ``rank <= n`` analyses skip all but the first
+    row groups of each file.
     """
     import os
 
-    tables = {"artists": v.artists, "tracks": tracks_view(v._t, "range"), "albums": v.albums,
-              "users": v.users}
+    plays = materialize(_part_sums(v._t), "part-sums")
+    tables = {"artists": artists_view(v._t, plays), "tracks": tracks_view(v._t, "range", plays),
+              "albums": albums_view(v._t, plays), "users": v.users}
     for name, df in tables.items():
         if name != "users":
             df = df.sortWithinPartitions("rank", "user_id")
         df.write.mode("overwrite").parquet(os.path.join(out_dir, name))
-    spark = v.artists.sparkSession
+    spark = plays.sparkSession
     return list_views({n: spark.read.parquet(os.path.join(out_dir, n)) for n in tables})
