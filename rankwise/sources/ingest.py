@@ -2,8 +2,8 @@
 
 The raw files are per-user top lists with a header row.  Columns are picked
 by header name (not position) and typed with ``try_cast``: a malformed cell
-becomes NULL instead of failing the job, and ``rejected_cells`` reports how
-many cells were turned into NULL that way, per column.
+becomes NULL instead of failing the job, and the write that ingests the file
+also counts how many cells were turned into NULL that way, per column.
 
 Differences from a plain ``spark.read.csv(path, header=True)``:
 * the escape character is the double quote, so a doubled quote inside a
@@ -15,11 +15,17 @@ Differences from a plain ``spark.read.csv(path, header=True)``:
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from rankwise.session import checkpoint_path
+
+#: columns of the rejected-cell report
+REPORT = "table string, column string, rejected bigint"
+
 
 @dataclass(frozen=True)
 class ListSpec:
@@ -74,18 +80,20 @@ def normalize(raw: DataFrame, spec: ListSpec) -> DataFrame:
     return raw.select(*cols)
 
 
+def _rejections(spec: ListSpec) -> dict[str, Column]:
+    """Per typed column, the number of cells that held text but did not parse."""
+    return {dst: F.count_if(F.col(f"`{src}`").isNotNull() & _typed(F.col(f"`{src}`"), t).isNull())
+            for src, dst, t in spec.columns if t != "string"}
+
+
 def rejected_cells(raw: DataFrame, spec: ListSpec) -> DataFrame:
-    """Per typed column, cells that held text but did not parse (one row per
-    column, from one aggregate over the raw scan)."""
-    typed = [(src, dst, t) for src, dst, t in spec.columns if t != "string"]
-    if not typed:
-        return raw.sparkSession.createDataFrame([], "table string, column string, rejected bigint")
-    agg = raw.agg(*[
-        F.count_if(F.col(f"`{src}`").isNotNull() & _typed(F.col(f"`{src}`"), t).isNull()).alias(dst)
-        for src, dst, t in typed])
-    stack = ", ".join(f"'{dst}', `{dst}`" for _, dst, _ in typed)
-    return agg.selectExpr(f"'{spec.name}' AS table",
-                          f"stack({len(typed)}, {stack}) AS (column, rejected)")
+    """The rejections of a raw table as rows (table, column, rejected)."""
+    counts = _rejections(spec)
+    if not counts:
+        return raw.sparkSession.createDataFrame([], REPORT)
+    agg = raw.agg(*[c.alias(n) for n, c in counts.items()])
+    stack = ", ".join(f"'{n}', `{n}`" for n in counts)
+    return agg.selectExpr(f"'{spec.name}' AS table", f"stack({len(counts)}, {stack}) AS (column, rejected)")
 
 
 def read_ranked_csv(spark: SparkSession, path: str, spec: ListSpec | str) -> DataFrame:
@@ -98,6 +106,21 @@ def write_processed(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def ingest_table(spark: SparkSession, raw_path: str, out_path: str, spec: ListSpec) -> list[tuple[str, str, int]]:
+    """One raw file -> typed Parquet, in a single scan of the raw file.
+
+    The rejected cells are counted by the write itself (an observation), and
+    returned as (table, column, rejected) rows.
+    """
+    raw = read_raw_csv(spark, raw_path)
+    counts = _rejections(spec)
+    if counts:
+        seen = Observation(f"rejected-{spec.name}")
+        raw = raw.observe(seen, *[c.alias(n) for n, c in counts.items()])
+    write_processed(normalize(raw, spec), out_path)
+    return [(spec.name, n, seen.get[n]) for n in counts]
+
+
 def ingest(spark: SparkSession, raw_dir: str, out_dir: str,
            files: dict[str, str] | None = None) -> DataFrame:
     """The four raw files of ``raw_dir`` -> ``out_dir/{artists,...}``.
@@ -107,12 +130,19 @@ def ingest(spark: SparkSession, raw_dir: str, out_dir: str,
     rejected-cell report of all four tables.
     """
     files = files or {}
-    reports = []
+    report = []
     for name, spec in SPECS.items():
-        raw = read_raw_csv(spark, os.path.join(raw_dir, files.get(name, spec.raw_file)))
-        write_processed(normalize(raw, spec), os.path.join(out_dir, name))
-        reports.append(rejected_cells(raw, spec))
-    out = reports[0]
-    for r in reports[1:]:
-        out = out.unionByName(r)
-    return out
+        report += ingest_table(spark, os.path.join(raw_dir, files.get(name, spec.raw_file)),
+                               os.path.join(out_dir, name), spec)
+    return spark.createDataFrame(report, REPORT)
+
+
+def ingested(ranked: DataFrame, name: str) -> DataFrame:
+    """A ranked table written as a raw file of the archive's shape (header
+    names included) to the checkpoint folder, ingested, and read back."""
+    spec, spark = SPECS[name], ranked.sparkSession
+    folder = checkpoint_path(spark, f"rankwise-ingest-{uuid.uuid4().hex}")
+    raw = ranked.select(*[F.col(dst).cast("string").alias(src) for src, dst, _ in spec.columns])
+    raw.write.option("header", True).option("escape", '"').csv(os.path.join(folder, spec.raw_file))
+    ingest_table(spark, os.path.join(folder, spec.raw_file), os.path.join(folder, name), spec)
+    return spark.read.parquet(os.path.join(folder, name))

@@ -43,17 +43,9 @@ class Tables:
         return self.table(name)
 
 
-_OPEN: dict[tuple[int, str], Tables] = {}
-
-
 def load_tables(spark: SparkSession, base: str) -> Tables:
-    """Tables of ``base``; scans are shared by the queries of one session
-    (a scan is a lazy plan, so sharing it only saves footer reads)."""
-    key = (id(spark), os.path.abspath(base) if "://" not in base else base)
-    t = _OPEN.get(key)
-    if t is None or t.spark is not spark:
-        t = _OPEN[key] = Tables(spark, base)
-    return t
+    """Tables of ``base``; each call lists the files anew."""
+    return Tables(spark, base)
 
 
 def load_ranked(spark: SparkSession, base: str) -> dict[str, DataFrame]:

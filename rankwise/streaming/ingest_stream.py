@@ -21,7 +21,8 @@ from rankwise.sources.ingest import SPECS, ListSpec, normalize
 def raw_schema(spec: ListSpec, header: list[str] | None = None) -> T.StructType:
     """All-text schema of a raw file.  A streaming CSV source needs its
     schema up front and applies it by position, so ``header`` must list the
-    raw columns in file order (default: the columns the spec reads)."""
+    raw columns in file order (default: the columns the spec reads); a file
+    whose header says otherwise fails the stream instead of swapping columns."""
     names = header or [src for src, _, _ in spec.columns]
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
@@ -37,7 +38,7 @@ def ingest_stream(spark: SparkSession, raw_dir: str, out_path: str, spec: ListSp
     """
     spec = SPECS[spec] if isinstance(spec, str) else spec
     reader = (spark.readStream.schema(raw_schema(spec, header))
-              .option("header", True).option("escape", '"'))
+              .option("header", True).option("enforceSchema", False).option("escape", '"'))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     typed = normalize(reader.csv(raw_dir), spec)
