@@ -88,10 +88,20 @@ RESULT_SOURCES: dict[str, str] = {
 }
 
 
+#: types of the wide contract: counts past 2**31, means past 10**8
+_WIDE = {"INT": "BIGINT", "DECIMAL(12,4)": "DECIMAL(28,4)"}
+
+
+def sql_type(sql: str, wide: bool = False) -> str:
+    return _WIDE.get(sql.upper(), sql) if wide else sql
+
+
 def spark_type(sql: str, wide: bool = False) -> T.DataType:
-    s = sql.upper()
+    s = sql_type(sql, wide).upper()
     if s == "INT":
-        return T.LongType() if wide else T.IntegerType()
+        return T.IntegerType()
+    if s == "BIGINT":
+        return T.LongType()
     if s.startswith("DECIMAL"):
         p, q = s[s.index("(") + 1:s.index(")")].split(",")
         return T.DecimalType(int(p), int(q))
@@ -106,16 +116,17 @@ def schema_of(table: str, wide: bool = False) -> T.StructType:
 
 def column_types_ddl(table: str, wide: bool = False) -> str:
     """``createTableColumnTypes`` text for the JDBC sink (first creation)."""
-    return ", ".join(f"{c.name} {'BIGINT' if wide and c.sql == 'INT' else c.sql}" for c in CONTRACTS[table])
+    return ", ".join(f"{c.name} {sql_type(c.sql, wide)}" for c in CONTRACTS[table])
 
 
 def conform(df: DataFrame, table: str, wide: bool = False) -> DataFrame:
     """Select the contract columns in order and cast them (DECIMAL rounds
     half-up to 4 places in Spark, before any database sees the value).
 
-    The contract's counts are INT; at a scale where a count can pass 2**31 a
-    cast would fail (ANSI mode) rather than wrap, so ``wide=True`` stores
-    them as BIGINT, with the same names and order.
+    The contract's counts are INT and its means DECIMAL(12,4); where a count
+    can pass 2**31 or a mean 10**8 a cast would fail (ANSI mode) rather than
+    wrap, so ``wide=True`` stores BIGINT and DECIMAL(28,4), with the same
+    names and order.
     """
     return df.select(*[F.col(c.name).cast(spark_type(c.sql, wide)).alias(c.name)
                        for c in CONTRACTS[table]])

@@ -15,7 +15,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankwise.functions.contracts import CONTRACTS, column_types_ddl, conform
+from rankwise.functions.contracts import CONTRACTS, column_types_ddl, conform, sql_type
 
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
@@ -24,11 +24,58 @@ def write_result_parquet(df: DataFrame, base: str, table: str, wide: bool = Fals
     conform(df, table, wide).write.mode("overwrite").parquet(os.path.join(base, table))
 
 
+def _connection(spark: SparkSession, url: str, properties: dict[str, str] | None):
+    """A JDBC connection of the driver process, for table metadata and DDL."""
+    jvm = spark._jvm
+    given = jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        if k == "driver":
+            jvm.java.lang.Class.forName(v)
+        else:
+            given.setProperty(k, v)
+    return jvm.java.sql.DriverManager.getConnection(url, given)
+
+
+def _jdbc_tables(spark: SparkSession, url: str, properties: dict[str, str] | None) -> list[str]:
+    connection = _connection(spark, url, properties)
+    try:
+        found = connection.getMetaData().getTables(connection.getCatalog(), None, "%", None)
+        names = set()
+        while found.next():
+            names.add(found.getString("TABLE_NAME").lower())
+        return sorted(names)
+    finally:
+        connection.close()
+
+
+def create_result_table(spark: SparkSession, table: str, url: str, properties: dict[str, str] | None = None,
+                        wide: bool = False) -> None:
+    """Create a result table with the contract's types and primary key."""
+    keys = [c.name for c in CONTRACTS[table] if c.key]
+    columns = [f"{c.name} {sql_type(c.sql, wide)}{' NOT NULL' if c.key else ''}" for c in CONTRACTS[table]]
+    if keys:
+        columns.append(f"PRIMARY KEY ({', '.join(keys)})")
+    connection = _connection(spark, url, properties)
+    try:
+        connection.createStatement().execute(f"CREATE TABLE {table} ({', '.join(columns)})")
+    finally:
+        connection.close()
+
+
 def write_result_jdbc(df: DataFrame, table: str, url: str, properties: dict[str, str] | None = None,
-                      num_partitions: int = 8, batch_size: int = 10000, wide: bool = False) -> None:
+                      num_partitions: int = 8, batch_size: int = 10000, wide: bool = False,
+                      keys: bool = False) -> None:
     """Overwrite one result table over JDBC.  ``num_partitions`` caps the
     number of concurrent connections (Spark coalesces down to it); ``wide``
-    stores counts as BIGINT (see ``conform``)."""
+    as in ``conform``.  ``keys`` declares the contract's primary key when the
+    table does not exist yet (a result with a NULL key is then refused by the
+    database, as the reference's schema would); later writes keep it, as they
+    truncate."""
+    if table not in CONTRACTS:
+        raise ValueError(f"unknown result table {table!r}")
+    spark = df.sparkSession
+    if keys and table.lower() not in _jdbc_tables(spark, url, properties):
+        create_result_table(spark, table, url, properties, wide)
     w = (conform(df, table, wide).write.format("jdbc")
          .option("url", url).option("dbtable", table)
          .option("truncate", "true")
@@ -48,30 +95,47 @@ def read_result_jdbc(spark: SparkSession, table: str, url: str,
     return r.load()
 
 
-def list_results(spark: SparkSession, base: str | None = None) -> list[str]:
-    """Result tables present - under a Parquet folder, else in the
+def list_results(spark: SparkSession, base: str | None = None, jdbc_url: str | None = None,
+                 properties: dict[str, str] | None = None) -> list[str]:
+    """Result tables present - under a Parquet folder (any file system
+    Spark can reach, named by a path or a URI), in a database, else in the
     session catalog.  Only names of the contract are listed."""
-    if base is not None:
-        found = [d for d in sorted(os.listdir(base)) if os.path.isdir(os.path.join(base, d))]
+    if jdbc_url is not None:
+        found = _jdbc_tables(spark, jdbc_url, properties)
+    elif base is not None:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(base)
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found = sorted(f.getPath().getName() for f in files.listStatus(folder) if f.isDirectory())
     else:
         found = sorted(t.name for t in spark.catalog.listTables())
     return [n for n in found if n in CONTRACTS]
 
 
 def preview_frame(df: DataFrame, table: str, n: int = 100) -> DataFrame:
-    """The first ``n`` rows of a result in its contract types, in a fixed
-    order (its key, or all columns): a top-n, so each task keeps n rows."""
-    keys = [c.name for c in CONTRACTS[table] if c.key] or [c.name for c in CONTRACTS[table]]
-    return conform(df, table).orderBy(*[F.col(k).asc_nulls_last() for k in keys]).limit(n)
+    """The first ``n`` rows of a stored result, in the types it was stored
+    with, the contract's column order and a fixed row order (its key, or all
+    columns): a top-n, so each task keeps n rows."""
+    columns = CONTRACTS[table]
+    by = [c.name for c in columns if c.key] or [c.name for c in columns]
+    return (df.select(*[F.col(c.name).alias(c.name) for c in columns])
+            .orderBy(*[F.col(k).asc_nulls_last() for k in by]).limit(n))
+
+
+def read_result(spark: SparkSession, table: str, base: str | None = None, jdbc_url: str | None = None,
+                properties: dict[str, str] | None = None) -> DataFrame:
+    """One stored result from where ``list_results`` found it."""
+    if jdbc_url is not None:
+        return read_result_jdbc(spark, table, jdbc_url, properties)
+    return spark.read.parquet(os.path.join(base, table)) if base is not None else spark.table(table)
 
 
-def preview(spark: SparkSession, table: str, base: str | None = None, n: int = 100) -> DataFrame:
+def preview(spark: SparkSession, table: str, base: str | None = None, n: int = 100,
+            jdbc_url: str | None = None, properties: dict[str, str] | None = None) -> DataFrame:
     """Up to ``n`` rows of one stored result.  The name must be a listed
-    result; it is never pasted into SQL."""
-    if not _NAME.match(table) or table not in list_results(spark, base):
+    result; it is never pasted into SQL unchecked."""
+    if not _NAME.match(table) or table not in list_results(spark, base, jdbc_url, properties):
         raise ValueError(f"unknown result table {table!r}")
-    df = spark.read.parquet(os.path.join(base, table)) if base is not None else spark.table(table)
-    return preview_frame(df, table, n)
+    return preview_frame(read_result(spark, table, base, jdbc_url, properties), table, n)
 
 
 def preview_shape(df: DataFrame) -> tuple[int, int]:
