@@ -13,12 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from rankwise.functions.columns import round_doubles
+from rankwise.functions.contracts import conform
 from rankwise.operators import distribution as D
 from rankwise.operators import itemsets as I
 from rankwise.operators import lists as L
 from rankwise.operators import popularity as P
 from rankwise.operators import quality as Q
 from rankwise.plans.domain import Views
+from rankwise.sources.ingest import ingested
 from rankwise.sources.sinks import preview_frame
 
 Analysis = Callable[[Views], DataFrame]
@@ -66,24 +68,42 @@ ANALYSES: dict[str, Analysis] = {
     "q10_concentrated_users": lambda v: L.concentrated_users(v.track_head(CONCENTRATION_HEAD), CONCENTRATION_HEAD),
     "q10_concentrated_top2": lambda v: L.concentrated_users(v.track_head(2), 2),
     "q11_artist_pairs": lambda v: I.frequent_itemsets(v.artists, "artist", 2, PAIRS_K),
+    # far more items than one block of the itemset plan holds
+    "q11_track_pairs": lambda v: I.frequent_itemsets(v.track_rows, "track", 2, PAIRS_K),
+    "q11_album_pairs": lambda v: I.frequent_itemsets(v.albums, "album", 2, PAIRS_K),
+    "q12_album_triples": lambda v: I.frequent_itemsets(v.albums, "album", 3, TRIPLES_K),
     "q12_artist_triples": lambda v: I.frequent_itemsets(v.artists, "artist", 3, TRIPLES_K),
     "q13_overlap": lambda v: L.top_overlap(v.artists, v.track_head(1), "artist"),
     "q14_avg_position": lambda v: P.avg_position(v.artists, "artist"),
+    # full track ranks (range numbering)
+    "q14_tracks": lambda v: P.avg_position(v.tracks, "track"),
     "q15_top1_in_global5": lambda v: L.top1_in_global(v.artists, "artist", GLOBAL_TOP),
     "q16_position_stability": lambda v: L.position_stability(v.artists, "artist", 1, 2),
     "q16_tracks": lambda v: L.position_stability(v.track_head(2), "artist", 1, 2),
+    # rows without a user
+    "q16_null_users": lambda v: L.position_stability(v.unnamed_users().track_head(2), "artist", 1, 2),
+    "q18_null_users": lambda v: P.heavy_user_items(v.unnamed_users().track_rows, "artist", HEAVY_MIN_TRACKS),
     "q18_heavy_listeners": lambda v: P.heavy_user_items(v.track_rows, "artist", HEAVY_MIN_TRACKS),
     "q19_cross_popularity": lambda v: P.cross_popularity(v.track_rows, v.artists, "artist"),
     "q20_diverse_artists": lambda v: P.item_diversity(v.artists, v.track_rows, "artist"),
     "q21_missing_flags": lambda v: Q.missing_flags(v.users),
     "q21_missing_data": lambda v: Q.missing_data(v.users, MIN_SCROBBLES),
     "q22_extreme_users": lambda v: D.extreme_users(v.users, "total_scrobbles", P_LOW, P_HIGH),
+    # the reference's percentile mode: a mergeable sketch
+    "q05_stats_sketch": lambda v: D.distribution_stats(P.mention_counts(v.artists, "artist"), "menciones", exact=False),
+    "q07_stats_sketch": lambda v: D.list_length_stats(v.list_lengths(), exact=False),
+    "q22_extreme_users_sketch": lambda v: D.extreme_users(v.users, "total_scrobbles", P_LOW, P_HIGH, exact=False),
     "q23_low_coverage": lambda v: P.low_coverage(v.artists, "artist", LOW_COVERAGE),
     "q23_count": lambda v: P.low_coverage_count(v.artists, "artist", LOW_COVERAGE),
     "q23_low_coverage_tracks": lambda v: P.low_coverage(v.track_rows, "track", 20),
     "q23_count_tracks": lambda v: P.low_coverage_count(v.track_rows, "track", 20),
+    # ingest: each list as raw CSV, then typed Parquet
+    "i01_artists": lambda v: ingested(v.artists, "artists"),
+    "i02_tracks": lambda v: ingested(v.tracks, "tracks"),
+    "i03_albums": lambda v: ingested(v.albums, "albums"),
+    "i04_users": lambda v: ingested(v.users, "users"),
     # the result viewer: first rows of a stored result, in contract types, by key
-    "v01_preview": lambda v: preview_frame(D.items_per_user(v.track_rows, "num_canciones"),
+    "v01_preview": lambda v: preview_frame(conform(D.items_per_user(v.track_rows, "num_canciones"), "result_7_user_tracks"),
                                            "result_7_user_tracks", PREVIEW_ROWS),
 }
 
