@@ -79,11 +79,10 @@ def test_06_curve(golden):
 
 
 def test_07_items_per_user(golden):
-    s = _one(D.items_per_user_stats(golden.artists, golden.tracks, golden.albums))
+    s = _one(D.list_length_stats(golden.list_lengths()))
     assert round(s["media_artistas"], 4) == 2.5714 and s["mediana_artistas"] == 3.0
     assert round(s["media_tracks"], 4) == 1.5714 and s["mediana_tracks"] == 2.0
     assert round(s["media_albums"], 4) == 1.3333 and s["mediana_albums"] == 1.0
-    assert _one(D.list_length_stats(golden.list_lengths())) == s        # one-aggregate path
     per = dict((r[0], r[1]) for r in D.items_per_user(golden.artists, "num_artistas").collect())
     assert per["u4"] == 3 and per["u7"] == 1
 
@@ -166,13 +165,17 @@ def test_20_item_diversity(golden):
 
 def test_21_missing(golden):
     assert _one(Q.missing_data(golden.users, 1)) == {"missing_users": 3, "pocos_items": 1}
-    flags = dict((r["user_id"], r["total_missing"]) for r in Q.missing_flags(golden.users).collect())
+    flags = dict((r["user_id"], r["n_missing"]) for r in Q.missing_flags(golden.users).collect())
     assert flags == {"u1": 0, "u2": 0, "u3": 1, "u4": 1, "u5": 2, "u6": 0, "u7": 0}
 
 
 def test_22_extremes(golden):
     assert _one(D.extreme_users(golden.users, "total_scrobbles")) == {
         "percentil_1": 0.0, "percentil_99": 1000.0, "total_atipicos": 2}
+    assert _one(D.extreme_users(golden.users, "total_scrobbles", exact=False))["total_atipicos"] == 2
+    nobody = golden.users.filter("false")
+    assert _one(D.extreme_users(nobody, "total_scrobbles")) == {
+        "percentil_1": None, "percentil_99": None, "total_atipicos": 0}
 
 
 def test_23_low_coverage(golden):

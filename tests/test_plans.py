@@ -11,6 +11,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from rankwise.plans.registry import ANALYSES
 from rankwise.sources.tables import TABLE_NAMES
 
 SF = "/root/testdata/sf0.001"
@@ -21,8 +22,9 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data
 def executed(spark):
     """Each query run once: its rows, columns and final adaptive plan."""
     out = {}
-    for name, q in E.queries().items():
-        df = q(spark, SF)
+    queries = E.queries()
+    for name in ANALYSES:
+        df = queries[name](spark, SF)
         rows = df.collect()
         out[name] = (df.columns, rows, df._jdf.queryExecution().executedPlan().toString())
     return out
@@ -45,7 +47,7 @@ def test_no_row_at_a_time_python(plans):
 
 def test_python_only_in_itemset_kernel(plans):
     users = {n for n, p in plans.items() if "MapInPandas" in p or "PythonMapInArrow" in p}
-    assert users <= {"q11_artist_pairs", "q12_artist_triples"}
+    assert users <= {n for n in plans if n.startswith(("q11_", "q12_"))}
 
 
 def test_scans_read_only_needed_columns(plans):
@@ -91,7 +93,7 @@ def test_every_query_matches_duckdb(executed):
         if os.path.exists(p):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
     sqls = E.oracle_sql()
-    assert set(sqls) == set(E.queries())
+    assert set(ANALYSES) <= set(sqls) <= set(E.queries())
     for name, (columns, rows, _) in executed.items():
         res = con.execute(sqls[name])
         dcols = [d[0] for d in res.description]
@@ -109,7 +111,6 @@ def test_written_views_give_the_same_results(spark, tmp_path):
     every analysis the same answer as the lazily derived views."""
     from rankwise.functions.columns import round_doubles
     from rankwise.plans.domain import views, write_views
-    from rankwise.plans.registry import ANALYSES
     from rankwise.sources.tables import load_tables
 
     derived = views(load_tables(spark, SF))
@@ -118,6 +119,8 @@ def test_written_views_give_the_same_results(spark, tmp_path):
     b = sorted(tuple(r) for r in staged.tracks.select(*derived.tracks.columns).collect())
     assert a == b
     for name, fn in ANALYSES.items():
+        if name.endswith("_null_users"):     # built from the source tables
+            continue
         x = sorted((tuple(r) for r in round_doubles(fn(derived)).collect()), key=repr)
         y = sorted((tuple(r) for r in round_doubles(fn(staged)).collect()), key=repr)
         assert x == y, name

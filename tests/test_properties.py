@@ -118,12 +118,12 @@ def test_mentions_sum_to_rows(spark):
     assert P.mentions(df, "artist").agg(F.sum("menciones")).first()[0] == df.count()
 
 
-@pytest.mark.parametrize("dense_items", [3, 6])
-def test_itemset_sparse_part_is_exact(spark, dense_items):
-    """A dense block smaller than the item domain forces the sparse part."""
+@pytest.mark.parametrize("head", [3, 6])
+def test_itemsets_beyond_the_head_are_exact(spark, head):
+    """A head smaller than the item domain leaves items to the blocks."""
     df = _random_lists(spark, 12, users=70, items=15, null_every=13)
     for size, k in ((2, 10), (3, 12)):
-        a = [tuple(r) for r in I.frequent_itemsets(df, "artist", size, k, dense_items=dense_items).collect()]
+        a = [tuple(r) for r in I.frequent_itemsets(df, "artist", size, k, head=head).collect()]
         b = [tuple(r) for r in I.frequent_itemsets(df, "artist", size, k, prune=False).collect()]
         assert a == b, (size, k)
 
@@ -173,3 +173,56 @@ def test_long_tail_exact_boundaries(spark, counts, share):
     df = spark.createDataFrame(data, "user_id string, rank int, artist string, playcount bigint")
     for mode in ("within", "within_rows", "reach"):
         assert D.long_tail(df, "artist", share, mode).first()[0] == _naive_long_tail(df, share, mode), mode
+
+
+def test_itemset_min_support(spark):
+    df = _random_lists(spark, 14, users=40, items=9)
+    for size in (2, 3):
+        all_sets = [tuple(r) for r in I.frequent_itemsets(df, "artist", size, 10 ** 6).collect()]
+        least = all_sets[len(all_sets) // 2][-1] + 1
+        some = [tuple(r) for r in I.frequent_itemsets(df, "artist", size, 10 ** 6, head=3, min_support=least).collect()]
+        assert some == [r for r in all_sets if r[-1] >= least] and len(some) < len(all_sets)
+
+
+def test_itemsets_of_more_blocks_and_a_hot_user(spark):
+    """300 items, one user holding all of them: its basket is a few words, not 44,850 pairs."""
+    rnd = random.Random(15)
+    data = [(f"u{u}", p, f"i{rnd.randrange(300):03d}", 1) for u in range(60) for p in range(1, 9)]
+    data += [("hot", p + 1, f"i{p:03d}", 1) for p in range(300)]
+    df = spark.createDataFrame(data, "user_id string, rank int, artist string, playcount bigint")
+    a = [tuple(r) for r in I.frequent_itemsets(df, "artist", 2, 40).collect()]
+    assert a == [tuple(r) for r in I.frequent_itemsets(df, "artist", 2, 40, prune=False).collect()]
+    assert I._masks(I.baskets(df), I.baskets(df).select("item").distinct().withColumn(
+        "block", F.pmod(F.xxhash64("item"), F.lit(8))).withColumn("bit", F.lit(0))).filter("user_id = 'hot'").count() == 8
+
+
+def test_range_positions_keep_large_ids_and_nulls(spark):
+    big = 2 ** 53
+    data = [(u, v, None if v % 3 else v) for u in (big, big + 1, big + 2, big + 3, None) for v in range(7)]
+    df = spark.createDataFrame(data, "user_id long, v long, payload long")
+    for strategy in ("window", "range"):
+        got = position_within(df, "user_id", [F.col("v").desc()], "pos", strategy)
+        assert dict(got.dtypes)["pos"] == "bigint"
+        assert {(r.user_id, r.v, r.payload, r.pos) for r in got.collect()} == {(u, v, p, 7 - v) for u, v, p in data}
+
+
+def test_null_users_match_nothing(spark):
+    """#13, #16 and #18 with rows without a user equal the reference's inner joins."""
+    rnd = random.Random(44)
+    data = [(rnd.choice([None, "u1", "u2", "u3"]), rnd.choice([1, 2]), rnd.choice([None, "A", "B"]), rnd.choice([None, "t1", "t2"]))
+            for _ in range(120)]
+    df = spark.createDataFrame(data, "user_id string, rank int, artist string, track string")
+    one, two = (df.filter(f"rank = {r}").select("user_id", F.col("artist").alias(f"a{r}")) for r in (1, 2))
+    assert L.position_stability(df, "artist").first()[0] == one.join(two, "user_id").filter("a1 = a2").count()
+    counts = df.groupBy("user_id").agg(F.count("track").alias("n")).filter("n > 20").select("user_id")
+    naive = df.join(counts, "user_id").groupBy("artist").count()
+    got = P.heavy_user_items(df, "artist", 20)
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in naive.collect()}
+
+
+@pytest.mark.parametrize("n", [1, 7, 1_000_000])
+def test_exact_quantiles(spark, n):
+    df = spark.range(n).select(((F.col("id") * 7919) % n).alias("x"))
+    df = df.unionAll(df.limit(0)).unionAll(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    got = D.exact_quantiles(df, "x", (0.01, 0.5, 0.99)).first()
+    assert [got[0], got[1], got[2]] == [float(max(1, -(-int(n * q * 100) // 10000)) - 1) for q in (1, 50, 99)]

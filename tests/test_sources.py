@@ -6,6 +6,7 @@ import os
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from rankwise.functions.contracts import CONTRACTS, RESULT_SOURCES, check_contract, conform, schema_of
@@ -104,6 +105,64 @@ def test_stream_ingest_is_incremental(spark, tmp_path):
     assert got == [("u1", 1, "A", 3), ("u1", 2, "B", None), ("u2", 1, "C", 4)]
 
 
+def test_stream_refuses_another_column_order(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "a.csv").write_text("rank,user_id,artist_name,playcount\n1,u1,A,3\n")
+    query = ingest_stream(spark, str(raw), str(tmp_path / "out"), "artists", None, str(tmp_path / "ck"))
+    with pytest.raises(StreamingQueryException):
+        query.awaitTermination(120)
+    assert not list((tmp_path / "out").glob("part-*"))
+
+
+def test_ingest_counts_rejections_in_its_only_scan(spark, tmp_path):
+    from rankwise.sources.ingest import ingest_table
+
+    (tmp_path / "bad.csv").write_text(MALFORMED)
+    report = ingest_table(spark, str(tmp_path / "bad.csv"), str(tmp_path / "out"), ARTISTS)
+    assert report == [("artists", "rank", 1), ("artists", "playcount", 1)]
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 4
+
+
+def test_wide_results_beyond_int_and_decimal(spark, tmp_path):
+    base = (tmp_path / "results").as_uri()          # a URI, not a path
+    big = spark.createDataFrame([("A", 3_000_000_000), ("B", 1)], "artist string, participacion long")
+    write_result_parquet(big, base, "result_1_top_artists", wide=True)
+    mean = spark.createDataFrame([(4e8, 1e9, 0.5)], "media double, mediana double, desviacion_estandar double")
+    write_result_parquet(mean, base, "result_5_stats", wide=True)
+    assert list_results(spark, base) == ["result_1_top_artists", "result_5_stats"]
+    assert [tuple(r) for r in preview(spark, "result_1_top_artists", base).collect()] == [("A", 3_000_000_000), ("B", 1)]
+    assert preview(spark, "result_5_stats", base).first()["mediana"] == Decimal("1000000000.0000")
+
+
+def test_viewer_and_keys_over_jdbc(spark, golden):
+    """An in-memory Derby that only this process sees; no server."""
+    url = "jdbc:derby:memory:viewer;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    rows = ANALYSES["q04_top1_artist"](golden).filter("artist is not null")
+    for _ in range(2):      # created with its key, then truncated
+        write_result_jdbc(rows, "result_4_top1_artist", url, props, keys=True)
+    assert list_results(spark, jdbc_url=url, properties=props) == ["result_4_top1_artist"]
+    assert preview(spark, "result_4_top1_artist", n=2, jdbc_url=url, properties=props).count() == 2
+    again = rows.unionAll(rows)
+    with pytest.raises(Exception, match="(?i)duplicate key"):
+        write_result_jdbc(again, "result_4_top1_artist", url, props, keys=True)
+
+
+def test_export_reports_and_leaves_no_intermediates(spark, golden, tmp_path):
+    from rankwise.functions.materialize import materialize, workspace
+    from rankwise.sources.sinks import read_result
+
+    base = str(tmp_path / "results")
+    with workspace(spark, str(tmp_path / "work")):
+        materialize(golden.users, "users")
+        assert os.listdir(tmp_path / "work")
+    assert not os.path.exists(tmp_path / "work")
+    done = export_all(golden, lambda df, t: write_result_parquet(df, base, t),
+                      ["result_22_extreme_users", "result_19_cross_popularity"], read_back=lambda t: read_result(spark, t, base))
+    assert done["result_19_cross_popularity"]["null_keys"] == 2 and done["result_22_extreme_users"]["rows"] == 1
+
+
 def test_cli_ingest_then_export_meets_contract(spark, raw_dir, tmp_path):
     from rankwise.__main__ import main
 
