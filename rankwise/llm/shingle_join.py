@@ -13,13 +13,17 @@ k tokens when the prefixes are k - 1 longer.
 2. One pass indexes single tokens of the prefixes.  Tokens only one document
    has go at once; in the bucket of any other token, every member is compared
    with the smallest one (a star, linear in the bucket).
-3. Buckets whose members the links so far do not join are open.  In those up
-   to ``small`` members, every pair from different components is compared.
-   Larger ones are classes of frequent tokens: their members are indexed anew
-   by combinations of one more token of the extended prefix, and steps 2 and 3
+3. Buckets whose members the links so far do not join are open.  Where these
+   hold at most ``small`` pairs of different components per member, those
+   pairs are compared (as a rule a few strays against one large component).
+   Others are classes of frequent tokens: their members are indexed anew by
+   combinations of one more token of the extended prefix, and steps 2 and 3
    repeat on these.  After ``depth`` tokens what is still open is compared
    pair by pair across components, by a join that can be split.
-4. Comparing is exact, on the sets of the two whole texts.
+4. Before texts are fetched, a pair must pass two bounds that no similar pair
+   fails: on the set sizes, and on the symmetric difference, which is at least
+   the number of bits in which the sets' parity bitmaps differ.
+5. Comparing is exact, on the sets of the two whole texts.
 
 So all links that decide components are found, while a group of thousands of
 (near) copies costs a few comparisons per member, never all its pairs.
@@ -52,6 +56,11 @@ _CHUNK = 1 << 12
 #: tokens in the index are cut to 48 bits; what that confuses, comparing tells apart
 _TOKEN_SHIFT = np.uint64(16)
 
+#: bits of a set's parity bitmap: bit i says whether an odd number of tokens hash to i
+PARITY_BITS = 1024
+#: texts to compare are picked by a broadcast of their ids up to this many (8 bytes each)
+BROADCAST_IDS = 500_000
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _STEP = np.array([0x2545F4914F6CDD1D, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
@@ -86,6 +95,12 @@ def signature(tokens: np.ndarray) -> tuple[int, int]:
     return int(tokens.sum(dtype=np.uint64)), int(mixed(tokens ^ np.uint64(0xABCDEF)).sum(dtype=np.uint64))
 
 
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """The parity bitmap of a set, as 64-bit numbers."""
+    odd = np.bincount((tokens & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
@@ -114,10 +129,11 @@ def _index_key(tokens: np.ndarray) -> np.ndarray:
 
 
 def count_sets(rows: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n_shingles, sig1, sig2) of every row, and the sketch of all tokens."""
+    """(doc_id, n_shingles, sig1, sig2, bits) of every row, and the sketch of all tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-        names = ["doc_id", "n", "sig1", "sig2", "chunk", "counts"]
+        names = ["doc_id", "n", "sig1", "sig2", "bits", "chunk", "counts"]
+        bitmap = pa.list_(pa.int64())
         for batch in batches:
             for row, stop, data, offsets in blocks(batch.column("text")):
                 sets = shingle_sets(data, offsets, size)
@@ -127,12 +143,13 @@ def count_sets(rows: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
                 sig1, sig2 = np.array([signature(s) for s in sets], dtype=np.uint64).reshape(k, 2).T.copy().view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(row, k).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(sig1), pa.array(sig2), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
+                     pa.array(sig1), pa.array(sig2), pa.array([parity(s) for s in sets], bitmap),
+                     pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
         used = [c for c in range(len(sketch) // _CHUNK) if sketch[c * _CHUNK:(c + 1) * _CHUNK].any()]
         raw = [sketch[c * _CHUNK:(c + 1) * _CHUNK].astype("<u4").tobytes() for c in used]
         k = len(used)
         yield pa.RecordBatch.from_arrays(
-            [*[pa.nulls(k, pa.int64())] * 4, pa.array(used, pa.int32()), pa.array(raw, pa.binary())], names)
+            [*[pa.nulls(k, pa.int64())] * 4, pa.nulls(k, bitmap), pa.array(used, pa.int32()), pa.array(raw, pa.binary())], names)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -144,14 +161,14 @@ def count_sets(rows: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
                                           pa.array([x.astype("<i8").tobytes() for x in total.values()], pa.binary())],
                                          ["chunk", "counts"])
 
-    kinds = "doc_id long, n long, sig1 long, sig2 long, chunk int, counts binary"
+    kinds = "doc_id long, n long, sig1 long, sig2 long, bits array<long>, chunk int, counts binary"
     out = materialize(rows.mapInArrow(run, kinds), "shingle-counts")
     chunks = out.filter("chunk is not null").select("chunk", "counts")
     sketch = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
     # one row per chunk reaches the driver: 8 bytes per counter whatever the corpus
     for r in chunks.repartition("chunk").mapInArrow(add, "chunk int, counts binary").collect():
         sketch[r["chunk"] * _CHUNK:(r["chunk"] + 1) * _CHUNK] = np.frombuffer(r["counts"], "<i8")
-    sets = out.filter("chunk is null").select("doc_id", F.col("n").alias("n_shingles"), "sig1", "sig2")
+    sets = out.filter("chunk is null").select("doc_id", F.col("n").alias("n_shingles"), "sig1", "sig2", "bits")
     return sets, np.minimum(sketch, np.iinfo(np.int32).max).astype(np.int32)
 
 
@@ -214,8 +231,25 @@ def shared_buckets(index: DataFrame) -> DataFrame:
     return index.repartition("key").sortWithinPartitions("key", "id").mapInArrow(run, "key long, id long, pivot long")
 
 
-def compare(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar, by their whole texts."""
+def plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and parity bitmaps allow the similarity."""
+    side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("bits").alias(f"bits{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    differ = F.aggregate(F.zip_with("bitsa", "bitsb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    total = F.col("na") + F.col("nb")
+    # |A & B| <= (total - differ) / 2, and similarity asks for (100 + percent) * |A & B| >= percent * total
+    return both.filter((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+                       & ((100 + percent) * (total - differ) >= 2 * percent * total)).select("a", "b").distinct()
+
+
+def compare(pairs: DataFrame, sets: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar, by their whole texts, as a written table."""
+    pairs = materialize(plausible(pairs, sets, percent), "shingle-pairs")
+    ids = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
+    if pairs.count() <= BROADCAST_IDS // 2:
+        ids = F.broadcast(ids)
+    texts = rows.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = [[s for _, _, data, offsets in blocks(batch.column(c)) for s in shingle_sets(data, offsets, size)]
@@ -225,7 +259,7 @@ def compare(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
 
     one = pairs.join(texts.withColumnsRenamed({"id": "a", "text": "ta"}), "a")
     two = one.join(texts.withColumnsRenamed({"id": "b", "text": "tb"}), "b")
-    return two.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
+    return materialize(two.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct(), "shingle-edges")
 
 
 def _combination_keys(part: np.ndarray, have: set[int], k: int) -> np.ndarray:
@@ -243,7 +277,7 @@ def _combination_keys(part: np.ndarray, have: set[int], k: int) -> np.ndarray:
     return np.unique(np.concatenate(out)) if out else np.zeros(0, np.int64)
 
 
-def _deeper(members: DataFrame, texts: DataFrame, sketch, size: int, percent: int, k: int) -> DataFrame:
+def _deeper(members: DataFrame, rows: DataFrame, sketch, size: int, percent: int, k: int) -> DataFrame:
     """key, id: the open combinations of k tokens of each document, with one more token of the extended prefix.
 
     ``members`` has (id, keys): for each document the keys of its open buckets.
@@ -259,7 +293,7 @@ def _deeper(members: DataFrame, texts: DataFrame, sketch, size: int, percent: in
                     yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), ids[i]), pa.int64())],
                                                      ["key", "id"])
 
-    return members.join(texts, "id").select("id", "keys", "text").mapInArrow(run, "key long, id long")
+    return members.join(rows, F.col("id") == F.col("doc_id")).select("id", "keys", "text").mapInArrow(run, "key long, id long")
 
 
 def shingle_join(docs: DataFrame, size: int = 5, percent: int = 80, small: int = 64, depth: int = 3,
@@ -274,34 +308,37 @@ def shingle_join(docs: DataFrame, size: int = 5, percent: int = 80, small: int =
     edges = materialize(known.join(copies.filter("rows > 1"), ["sig1", "sig2", "n_shingles"])
                         .select(F.col("doc_id").alias("a"), "b").filter("a <> b").distinct(), "shingle-edges")
     buckets = materialize(shared_buckets(index_prefixes(named, sketch, size, percent)), "shingle-buckets")
-    texts = materialize(named.select(F.col("doc_id").alias("id"), "text")
-                        .join(buckets.select("id").distinct(), "id", "left_semi"), "shingle-texts")
     found: DataFrame | None = None
     for k in range(1, depth + 1):
         star = buckets.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-        near = materialize(compare(star, texts, size, percent), "shingle-edges")
-        edges = edges.unionByName(near)
+        edges = edges.unionByName(compare(star, known, named, size, percent))
         found = components(edges)
         placed = buckets.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
         # two members were compared by the star; three or more may be open
-        still = (placed.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("lo"),
-                                           F.max("component").alias("hi"))
-                 .filter("members > 2 and lo <> hi").select("key", "members"))
+        still = (parts.groupBy("key").agg(F.sum("n").alias("members"), F.sum(F.col("n") * F.col("n")).alias("squares"),
+                                          F.max(F.struct("n", "component")).alias("largest"))
+                 .filter("members > 2 and largest.n < members")
+                 .select("key", "members", F.col("largest.component").alias("main"),
+                         ((F.col("members") * F.col("members") - F.col("squares")) / 2).alias("cross")))
         unsettled = materialize(placed.join(still, "key"), "shingle-open")
         last = k == depth
-        direct = unsettled if last else unsettled.filter(F.col("members") <= small)
-        left = direct.filter("id <> pivot").select("key", F.col("id").alias("a"), F.col("component").alias("ca"))
-        right = direct.filter("id <> pivot").select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
-        cross = left.join(right, "key").filter("a < b and ca <> cb").select("a", "b").distinct()
-        more = materialize(compare(cross, texts, size, percent), "shingle-edges")
+        few = F.lit(True) if last else F.col("cross") <= small * F.col("members")
+        # every pair of different components has a member outside the largest one
+        direct = unsettled.filter(few & (F.col("id") != F.col("pivot")))
+        left = direct.filter("component <> main").select("key", F.col("id").alias("x"), F.col("component").alias("cx"))
+        right = direct.select("key", F.col("id").alias("y"), F.col("component").alias("cy"))
+        cross = left.join(right, "key").filter("cx <> cy").select(
+            F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        more = compare(cross, known, named, size, percent)
         if not more.isEmpty():
             edges = edges.unionByName(more)
             found = components(edges)
-        large = unsettled.filter(F.col("members") > small)
+        large = unsettled.filter(~few)
         if last or large.isEmpty():
             break
         members = large.groupBy("id").agg(F.collect_list("key").alias("keys"))
-        buckets = materialize(shared_buckets(_deeper(members, texts, sketch, size, percent, k)), "shingle-buckets")
+        buckets = materialize(shared_buckets(_deeper(members, named, sketch, size, percent, k)), "shingle-buckets")
     labels = found.select(F.col("id").alias("of"), F.col("component").alias("label"))
     return (sets.join(labels, F.col("doc_id") == F.col("of"), "left")
             .select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id")))
