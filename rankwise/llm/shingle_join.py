@@ -15,7 +15,9 @@ k tokens when the prefixes are k - 1 longer.
    with the smallest one (a star, linear in the bucket).
 3. Buckets whose members the links so far do not join are open.  Where these
    hold at most ``small`` pairs of different components per member, those
-   pairs are compared (as a rule a few strays against one large component).
+   pairs are compared (as a rule a few strays against one large component),
+   if what follows the token in both orders is long enough for the overlap:
+   it is in the bucket of the pair's first common token.
    Others are classes of frequent tokens: their members are indexed anew by
    combinations of one more token of the extended prefix, and steps 2 and 3
    repeat on these.  After ``depth`` tokens what is still open is compared
@@ -128,6 +130,10 @@ def _index_key(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> _TOKEN_SHIFT).astype(np.int64)
 
 
+#: an index row; within a document of n tokens, pos is the key's place in the global order
+INDEX = "key long, id long, n int, pos int"
+
+
 def count_sets(rows: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
     """(doc_id, n_shingles, sig1, sig2, bits) of every row, and the sketch of all tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,14 +179,17 @@ def count_sets(rows: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
 
 
 def index_prefixes(rows: DataFrame, sketch, size: int, percent: int) -> DataFrame:
-    """key, id for the prefix tokens of every set; of copies in one batch only the first."""
+    """key, id, n, pos for the prefix tokens of every set: its size and the token's place in its order.
+
+    Of copies in one batch only the first is indexed.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = sketch.value
         for batch in batches:
             ids = batch.column("doc_id").cast(pa.int64()).to_numpy(zero_copy_only=False)
             seen: set[tuple] = set()
             for row, _, data, offsets in blocks(batch.column("text")):
-                keys, owners = [], []
+                keys, owners, sizes, places = [], [], [], []
                 for i, tokens in enumerate(shingle_sets(data, offsets, size), row):
                     mark = (len(tokens), *signature(tokens))
                     if not len(tokens) or mark in seen:
@@ -189,46 +198,55 @@ def index_prefixes(rows: DataFrame, sketch, size: int, percent: int) -> DataFram
                     part = _ordered(tokens, order)[:prefix_length(len(tokens), percent)]
                     keys.append(_index_key(part))
                     owners.append(np.full(len(part), ids[i], dtype=np.int64))
+                    sizes.append(np.full(len(part), len(tokens), dtype=np.int32))
+                    places.append(np.arange(len(part), dtype=np.int32))
                 if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(owners))],
-                                                     ["key", "id"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, owners, sizes, places)],
+                                                     ["key", "id", "n", "pos"])
 
-    return rows.mapInArrow(run, "key long, id long")
+    return rows.mapInArrow(run, INDEX)
 
 
 def shared_buckets(index: DataFrame) -> DataFrame:
-    """key, id, pivot: the members of keys that several ids have; pivot is the smallest."""
+    """The index rows of keys that several documents have, with ``pivot``, the smallest id of the key."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key, last_id, pivot, told = None, None, None, True
+        last, pivot, told = None, None, True
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys, ids = batch.column("key").to_numpy(), batch.column("id").to_numpy()
-            if last_key is not None:    # the last row of the batch before goes first
-                keys, ids = np.append(last_key, keys), np.append(last_id, ids)
-            fresh = np.ones(len(keys), dtype=bool)
-            fresh[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])     # the same id twice is one member
-            carried = last_key is not None
-            keys, ids = keys[fresh], ids[fresh]
+            names = batch.schema.names
+            rows = [c.to_numpy() for c in batch.columns]
+            carried = last is not None
+            if carried:     # the last row of the batch before goes first
+                rows = [np.append(np.array([x], dtype=c.dtype), c) for x, c in zip(last, rows)]
+            fresh = np.ones(len(rows[0]), dtype=bool)
+            fresh[1:] = np.any([c[1:] != c[:-1] for c in rows], axis=0)     # the same row twice is one member
+            rows = [c[fresh] for c in rows]
+            keys, ids = rows[0], rows[1]
             new = np.ones(len(keys), dtype=bool)
             new[1:] = keys[1:] != keys[:-1]
             heads = np.flatnonzero(new)
-            first = ids[heads]
+            first = ids[heads].copy()
             if carried:
-                first = first.copy()
                 first[0] = pivot
             pivots = np.repeat(first, np.diff(np.append(heads, len(keys))))
             many = ~new
             many[:-1] |= ~new[1:]
             if carried and told:
                 many[0] = False     # it was given out with its batch
-            last_key, last_id, pivot = keys[-1], ids[-1], pivots[-1]
+            last, pivot = [c[-1] for c in rows], pivots[-1]
             told = bool(many[-1]) or (carried and told and len(keys) == 1)
             at = np.flatnonzero(many)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[at]), pa.array(ids[at]), pa.array(pivots[at])],
-                                             ["key", "id", "pivot"])
+            yield pa.RecordBatch.from_arrays([pa.array(c[at]) for c in [*rows, pivots]], [*names, "pivot"])
 
-    return index.repartition("key").sortWithinPartitions("key", "id").mapInArrow(run, "key long, id long, pivot long")
+    return index.repartition("key").sortWithinPartitions("key", "id", "n", "pos").mapInArrow(run, f"{INDEX}, pivot long")
+
+
+def _texts(rows: DataFrame, ids: DataFrame, at_most: int) -> DataFrame:
+    """id, text of the documents in ``ids`` (doc_id), of which there are ``at_most``."""
+    if at_most <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return rows.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text")
 
 
 def plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -246,9 +264,7 @@ def compare(pairs: DataFrame, sets: DataFrame, rows: DataFrame, size: int, perce
     """The pairs (a, b) whose sets are similar, by their whole texts, as a written table."""
     pairs = materialize(plausible(pairs, sets, percent), "shingle-pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
-    if pairs.count() <= BROADCAST_IDS // 2:
-        ids = F.broadcast(ids)
-    texts = rows.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text")
+    texts = _texts(rows, ids, 2 * pairs.count())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,7 +294,7 @@ def _combination_keys(part: np.ndarray, have: set[int], k: int) -> np.ndarray:
 
 
 def _deeper(members: DataFrame, rows: DataFrame, sketch, size: int, percent: int, k: int) -> DataFrame:
-    """key, id: the open combinations of k tokens of each document, with one more token of the extended prefix.
+    """Index rows: the open combinations of k tokens of each document, with one more token of the extended prefix.
 
     ``members`` has (id, keys): for each document the keys of its open buckets.
     """
@@ -290,10 +306,13 @@ def _deeper(members: DataFrame, rows: DataFrame, sketch, size: int, percent: int
                 for i, tokens in enumerate(shingle_sets(data, offsets, size), row):
                     part = _index_key(_ordered(tokens, order)[:prefix_length(len(tokens), percent) + k])
                     keys = _combination_keys(part, set(open_keys[i]), k)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), ids[i]), pa.int64())],
-                                                     ["key", "id"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys), *[pa.array(np.full(len(keys), x, dtype=t)) for x, t in
+                                           ((ids[i], np.int64), (len(tokens), np.int32), (0, np.int32))]],
+                        ["key", "id", "n", "pos"])
 
-    return members.join(rows, F.col("id") == F.col("doc_id")).select("id", "keys", "text").mapInArrow(run, "key long, id long")
+    texts = _texts(rows, members.select(F.col("id").alias("doc_id")), members.count())
+    return members.join(texts, "id").select("id", "keys", "text").mapInArrow(run, INDEX)
 
 
 def shingle_join(docs: DataFrame, size: int = 5, percent: int = 80, small: int = 64, depth: int = 3,
@@ -326,10 +345,14 @@ def shingle_join(docs: DataFrame, size: int = 5, percent: int = 80, small: int =
         few = F.lit(True) if last else F.col("cross") <= small * F.col("members")
         # every pair of different components has a member outside the largest one
         direct = unsettled.filter(few & (F.col("id") != F.col("pivot")))
-        left = direct.filter("component <> main").select("key", F.col("id").alias("x"), F.col("component").alias("cx"))
-        right = direct.select("key", F.col("id").alias("y"), F.col("component").alias("cy"))
-        cross = left.join(right, "key").filter("cx <> cy").select(
-            F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        side = lambda t, c: t.select("key", F.col("id").alias(c), F.col("component").alias(f"c{c}"),
+                                     F.col("n").alias(f"n{c}"), (F.col("n") - F.col("pos")).alias(f"left{c}"))
+        # in the bucket of a pair's first common token, what follows must hold the whole overlap
+        overlap = percent * (F.col("nx") + F.col("ny"))
+        room = (100 + percent) * F.least("leftx", "lefty") >= overlap
+        met = side(direct.filter("component <> main"), "x").join(
+            side(direct, "y").withColumnRenamed("key", "of"), (F.col("key") == F.col("of")) & (F.col("cx") != F.col("cy")) & room)
+        cross = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         more = compare(cross, known, named, size, percent)
         if not more.isEmpty():
             edges = edges.unionByName(more)
@@ -337,7 +360,7 @@ def shingle_join(docs: DataFrame, size: int = 5, percent: int = 80, small: int =
         large = unsettled.filter(~few)
         if last or large.isEmpty():
             break
-        members = large.groupBy("id").agg(F.collect_list("key").alias("keys"))
+        members = materialize(large.groupBy("id").agg(F.collect_list("key").alias("keys")), "shingle-members")
         buckets = materialize(shared_buckets(_deeper(members, named, sketch, size, percent, k)), "shingle-buckets")
     labels = found.select(F.col("id").alias("of"), F.col("component").alias("label"))
     return (sets.join(labels, F.col("doc_id") == F.col("of"), "left")
