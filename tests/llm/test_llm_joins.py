@@ -168,7 +168,8 @@ def test_prefix_index_streams_over_batches():
         members[k].add(i)
     want = sorted((k, i, min(m)) for k, m in members.items() if len(m) > 1 for i in m)
     for cut in (1, 2, 7, 1000):
-        parts = [pa.RecordBatch.from_pydict({"key": [k for k, _ in rows[a:a + cut]], "id": [i for _, i in rows[a:a + cut]]})
+        parts = [pa.RecordBatch.from_pydict({"key": [k for k, _ in rows[a:a + cut]], "id": [i for _, i in rows[a:a + cut]],
+                                             "n": [5] * len(rows[a:a + cut]), "pos": [0] * len(rows[a:a + cut])})
                  for a in range(0, len(rows), cut)]
         got = [(r["key"], r["id"], r["pivot"]) for b in body["f"](iter(parts)) for r in b.to_pylist()]
         assert sorted(got) == want
