@@ -13,12 +13,11 @@ k tokens when the prefixes are k - 1 longer.
 2. One pass indexes single tokens of the prefixes.  Tokens only one document
    has go at once; in the bucket of any other token, every member is compared
    with the smallest one (a star, linear in the bucket).
-3. Buckets whose members the links so far do not join are open.  Where these
-   hold at most ``small`` pairs of different components per member, those
-   pairs are compared (as a rule a few strays against one large component),
-   if what follows the token in both orders is long enough for the overlap:
-   it is in the bucket of the pair's first common token.
-   Others are classes of frequent tokens: their members are indexed anew by
+3. Buckets whose members the links so far do not join are open.  Where at most
+   ``small`` members are outside the largest component, these strays are
+   compared with the members of other components, if what follows the token in
+   both orders is long enough for the overlap (as it is in the bucket of the
+   pair's first common token).  Others are classes of frequent tokens: their members are indexed anew by
    combinations of one more token of the extended prefix, and steps 2 and 3
    repeat on these.  After ``depth`` tokens what is still open is compared
    pair by pair across components, by a join that can be split.
@@ -315,6 +314,38 @@ def _deeper(members: DataFrame, rows: DataFrame, sketch, size: int, percent: int
     return members.join(texts, "id").select("id", "keys", "text").mapInArrow(run, INDEX)
 
 
+def _room(room, total, percent: int):
+    """Whether ``room`` tokens can hold the overlap that two sets of ``total`` tokens need."""
+    return (100 + percent) * room >= percent * total
+
+
+def _open_buckets(placed: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of buckets with several components: the strays, members outside the largest
+    component, and the members that may be similar to a stray of the bucket.
+
+    A pair is looked for in the bucket of its first common token, where the
+    rest of both orders (``room``) must hold the whole overlap.  So only
+    members count whose room is enough beside the sizes in the bucket, and
+    buckets without such a stray go.  The pivot was compared with all.
+    """
+    rows = placed.withColumn("room", F.col("n") - F.col("pos"))
+    parts = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("rows"), F.min("n").alias("least_n"))
+    mixed_keys = (parts.groupBy("key").agg(F.sum("rows").alias("members"), F.max(F.struct("rows", "component")).alias("main"),
+                                           F.min("least_n").alias("least_n"))
+                  .filter("members > 2 and main.rows < members")
+                  .select(F.col("key").alias("of"), F.col("main.component").alias("main"), "least_n"))
+    smallest = F.greatest("least_n", F.ceil(percent * F.col("n") / 100))
+    strays = rows.join(mixed_keys, (F.col("key") == F.col("of")) & (F.col("component") != F.col("main")) & _room(
+        F.col("room"), F.col("n") + smallest, percent)).filter("id <> pivot").select("key", "id", "n", "room", "component")
+    strays = materialize(strays, "shingle-strays")
+    sizes = strays.groupBy(F.col("key").alias("of")).agg(
+        F.count(F.lit(1)).alias("strays"), F.min("n").alias("low"), F.max("n").alias("high"), F.max("room").alias("most"))
+    others = rows.join(sizes, (F.col("key") == F.col("of")) & _room(F.least("room", "most"), F.col("n") + F.col("low"), percent)
+                       & (100 * F.col("n") >= percent * F.col("low")) & (percent * F.col("n") <= 100 * F.col("high")))
+    others = materialize(others.filter("id <> pivot").select("key", "id", "n", "room", "component", "strays"), "shingle-open")
+    return strays.join(sizes.select(F.col("of").alias("key"), "strays"), "key"), others
+
+
 def shingle_join(docs: DataFrame, size: int = 5, percent: int = 80, small: int = 64, depth: int = 3,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, links to copies and near copies decided exactly."""
@@ -330,35 +361,23 @@ def shingle_join(docs: DataFrame, size: int = 5, percent: int = 80, small: int =
     found: DataFrame | None = None
     for k in range(1, depth + 1):
         star = buckets.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-        edges = edges.unionByName(compare(star, known, named, size, percent))
-        found = components(edges)
-        placed = buckets.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-        # two members were compared by the star; three or more may be open
-        still = (parts.groupBy("key").agg(F.sum("n").alias("members"), F.sum(F.col("n") * F.col("n")).alias("squares"),
-                                          F.max(F.struct("n", "component")).alias("largest"))
-                 .filter("members > 2 and largest.n < members")
-                 .select("key", "members", F.col("largest.component").alias("main"),
-                         ((F.col("members") * F.col("members") - F.col("squares")) / 2).alias("cross")))
-        unsettled = materialize(placed.join(still, "key"), "shingle-open")
-        last = k == depth
-        few = F.lit(True) if last else F.col("cross") <= small * F.col("members")
-        # every pair of different components has a member outside the largest one
-        direct = unsettled.filter(few & (F.col("id") != F.col("pivot")))
-        side = lambda t, c: t.select("key", F.col("id").alias(c), F.col("component").alias(f"c{c}"),
-                                     F.col("n").alias(f"n{c}"), (F.col("n") - F.col("pos")).alias(f"left{c}"))
-        # in the bucket of a pair's first common token, what follows must hold the whole overlap
-        overlap = percent * (F.col("nx") + F.col("ny"))
-        room = (100 + percent) * F.least("leftx", "lefty") >= overlap
-        met = side(direct.filter("component <> main"), "x").join(
-            side(direct, "y").withColumnRenamed("key", "of"), (F.col("key") == F.col("of")) & (F.col("cx") != F.col("cy")) & room)
-        cross = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        near = compare(star, known, named, size, percent)
+        if found is None or not near.isEmpty():
+            edges = edges.unionByName(near)
+            found = components(edges)
+        strays, others = _open_buckets(buckets.join(found, "id", "left").withColumn(
+            "component", F.coalesce("component", "id")), percent)
+        few = F.lit(True) if k == depth else F.col("strays") <= small
+        met = strays.filter(few).join(others.select(*[F.col(c).alias(f"y_{c}") for c in others.columns]), (
+            F.col("key") == F.col("y_key")) & (F.col("component") != F.col("y_component")) & _room(
+                F.least("room", "y_room"), F.col("n") + F.col("y_n"), percent))
+        cross = met.select(F.least("id", "y_id").alias("a"), F.greatest("id", "y_id").alias("b")).distinct()
         more = compare(cross, known, named, size, percent)
         if not more.isEmpty():
             edges = edges.unionByName(more)
             found = components(edges)
-        large = unsettled.filter(~few)
-        if last or large.isEmpty():
+        large = strays.filter(~few).select("key", "id").unionAll(others.filter(~few).select("key", "id")).distinct()
+        if k == depth or large.isEmpty():
             break
         members = materialize(large.groupBy("id").agg(F.collect_list("key").alias("keys")), "shingle-members")
         buckets = materialize(shared_buckets(_deeper(members, named, sketch, size, percent, k)), "shingle-buckets")
