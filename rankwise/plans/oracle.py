@@ -127,10 +127,8 @@ BODIES: dict[str, str] = {
     "q10_concentrated_users": _concentrated(5),
     "q10_concentrated_top2": _concentrated(2),
     "q11_artist_pairs": _itemsets("artists", "artist", 2, 50),
-    "q11_track_pairs": _itemsets("tracks", "track", 2, 50),
     "q11_album_pairs": _itemsets("albums", "album", 2, 50),
     "q12_artist_triples": _itemsets("artists", "artist", 3, 20),
-    "q12_album_triples": _itemsets("albums", "album", 3, 20),
     "q13_overlap": (", ta AS (SELECT user_id, artist AS a FROM artists WHERE rank = 1),"
                     " tt AS (SELECT user_id, artist AS t FROM tracks WHERE rank = 1),"
                     " s AS (SELECT (SELECT count(*) FROM ta JOIN tt USING (user_id) WHERE a = t) AS o,"
