@@ -11,6 +11,13 @@ maximal repeated substrings.  A document passes when repeats of at least
 ``min_words`` words cover at most ``max_covered`` of its words and its
 longest repeat has at most ``max_longest`` words.
 
+Both limits lie below what the base rules imply.  Words of a repeat are also
+words of a repeated 3-word window, so a covered fraction of a half or more
+would never decide.  All places of a repeat count as covered: at a fifth, a
+tenth of the text or more is said again.  A passage of more than 50 words,
+long enough to be a document of its own, may not occur twice however long
+the text is.
+
 Documents are independent: one pass without a shuffle, in blocks of bounded
 size, so neither a hot source nor copies matter.
 
@@ -126,7 +133,7 @@ def measure(data: np.ndarray, offsets: np.ndarray, min_words: int) -> dict[str,
             "n_covered_words": by_row(covered(repeat, longest[repeat], total)), "longest_repeat": top}
 
 
-def quality_rules(docs: DataFrame, min_words: int = 8, max_covered: float = 0.5, max_longest: int = 60,
+def quality_rules(docs: DataFrame, min_words: int = 8, max_covered: float = 0.2, max_longest: int = MIN_WORDS,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, the counts, base_failed and kept: one row per input row."""
     slim = pick(docs, doc_id=id_col, text=text_col)

@@ -146,6 +146,19 @@ def test_quality_rules_verdict(spark):
     assert got == {(1, False, True), (2, False, False), (3, True, False), (4, True, False), (5, True, False)}
 
 
+def test_each_repeat_limit_decides_alone(spark):
+    word = (f"w{k}" for k in range(10 ** 6))
+    fresh = lambda n: [next(word) for _ in range(n)]
+    covered, short, long_one = fresh(12), fresh(8), fresh(55)
+    texts = [fresh(30) + covered + fresh(20) + covered + fresh(10),             # 24 of 84 words
+             fresh(40) + short + fresh(20) + short + fresh(10),                 # 16 of 86 words
+             fresh(900) + long_one + fresh(20) + long_one]                      # 110 of 1,030 words
+    rows = [(i, " ".join(t), "a") for i, t in enumerate(texts)]
+    got = {r.doc_id: r for r in quality_rules.quality_rules(frame(spark, rows)).collect()}
+    assert [(r.base_failed, r.kept) for _, r in sorted(got.items())] == [(False, False), (False, True), (False, False)]
+    assert got[0].longest_repeat == 12 and got[2].n_covered_words == 110
+
+
 def test_classifier_learns_and_holds_out(spark):
     rnd = random.Random(4)
     rows, labels = [], []
