@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import random
 import re
 
 import pytest
@@ -73,6 +75,33 @@ def test_main_text(spark):
     assert html_wrappers.extract(pages(spark, rows).filter("false")).count() == 0
 
 
+def own_page(i, text):
+    return (f"<body class='postid-{i}'><div class='left-{i}'>about the site</div><article class='post-{i} kind-{i % 2}'>"
+            f"<p>{text}</p></article><div class='tail-{i}'>all rights</div></body>")
+
+
+def test_pages_whose_classes_carry_their_own_id(spark):
+    plain = lambda i, text: own_page(i, text).replace("article", "section")
+    texts = [" ".join(f"word{i}x{k}" for k in range(40)) for i in range(12)]
+    rows = [(i, f"http://d.net/{i}", own_page(i, t)) for i, t in enumerate(texts)]
+    rows += [(100 + i, f"http://e.net/{i}", plain(i, t)) for i, t in enumerate(texts)]
+    rows += [(200, "http://d.net/odd", f"<body><div><div><article>{texts[0]}</article></div></div><div>x</div></body>")]
+    got = {r.page_id: r.text for r in html_wrappers.extract(pages(spark, rows)).collect()}
+    assert got == {i: t for i, t in enumerate(texts)} | {100 + i: t for i, t in enumerate(texts)} | {200: texts[0]}
+
+
+def test_wrapper_does_not_grow_with_the_pages():
+    rnd, whole, sizes = random.Random(1), None, []
+    for i in range(300):
+        tags = "".join(f"<{t} class='c{rnd.randrange(10 ** 6)}'>{rnd.random()}</{t}>" for t in rnd.choices(
+            ["h2", "h3", "ul", "table", "pre", "ol", "dl", "div"], k=30))
+        own = html_wrappers.skeleton(html_wrappers.parse(f"<div>{tags}</div>", frozenset()), page=i)
+        whole = own if whole is None else html_wrappers.merge(whole, own)
+        sizes.append(len(json.dumps(whole)))
+        assert len(whole[4][0][4]) <= html_wrappers.MAX_PARTS
+    assert max(sizes[100:]) <= 2 * max(sizes[:100])
+
+
 def test_wrapper_has_optional_repeated_and_slot_parts():
     one, two = (html_wrappers.skeleton(html_wrappers.parse(x)) for x in
                 ("<div><h1>A</h1><p>x</p><p>y</p></div>", "<div><h1>A</h1><p>z</p><table></table></div>"))
