@@ -17,7 +17,9 @@ template are left out too.
 
 Elements align by tag and by those class names that recur over the host's
 pages (counted first, by host, class and hash of the html, so that neither a
-page's own ids nor copies of a page count).
+page's own ids nor copies of a page count).  A text is a constant if it stands
+at its place on ``TEMPLATE_PAGES`` different pages and most text of the region
+varies around it.
 
 Wrappers are merged in three steps (per batch, per host and salt, per host),
 read as streams, so a host with a third of all pages is reduced where its
@@ -273,7 +275,11 @@ def region_of(wrapper: list) -> dict:
             break
         level = heavy[0]
         path.append(sorted({c[0] for c in level}))
-    constants = {t[2] for node in level for t in _constants(node)} if wrapper[5] >= TEMPLATE_PAGES else set()
+    constants: set[str] = set()
+    if len(wrapper[6]) >= TEMPLATE_PAGES:
+        texts = [t for node in level for t in _constants(node)]
+        if 2 * sum(t[3] for t in texts) < sum(n[3] for n in level):     # most of the region varies
+            constants = {t[2] for t in texts}
     return {"path": [path], "constants": sorted(constants), "named": False}
 
 
@@ -292,7 +298,7 @@ def _elements(node: list) -> list[list]:
 
 def _constants(node: list) -> list[list]:
     if node[0] == "#text":
-        return [node] if node[2] is not None and node[5] >= TEMPLATE_PAGES else []
+        return [node] if node[2] is not None and len(node[6]) >= TEMPLATE_PAGES else []
     return [t for child in node[4] for t in _constants(child)]
 
 

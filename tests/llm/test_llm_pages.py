@@ -90,6 +90,18 @@ def test_pages_whose_classes_carry_their_own_id(spark):
     assert got == {i: t for i, t in enumerate(texts)} | {100 + i: t for i, t in enumerate(texts)} | {200: texts[0]}
 
 
+def test_copies_of_a_page_keep_its_text(spark):
+    text = "<div><h1>The only title</h1><p>one block of text</p></div>"
+    rows = [(i, "http://f.net/1", text) for i in range(5)]
+    # different pages whose texts are all the same
+    rows += [(10 + i, f"http://g.net/{i}", f"{text}<script>var id = {i}</script>") for i in range(5)]
+    # a template with a constant line among text that varies
+    rows += [(20 + i, f"http://h.net/{i}", f"<div><h4>Read this</h4><p>{'abcde'[i] * 60} text</p><p>{'vwxyz'[i] * 60}</p></div>") for i in range(5)]
+    got = {r.page_id: r.text for r in html_wrappers.extract(pages(spark, rows)).collect()}
+    whole = "The only title\none block of text"
+    assert got == {i: whole for i in [*range(5), *range(10, 15)]} | {20 + i: f"{'abcde'[i] * 60} text\n{'vwxyz'[i] * 60}" for i in range(5)}
+
+
 def test_wrapper_does_not_grow_with_the_pages():
     rnd, whole, sizes = random.Random(1), None, []
     for i in range(300):
