@@ -16,8 +16,10 @@ line number); lines are judged on the input.  Shorter and blank lines stay.
 4. Larger keys are segments of very many variants of a line.  For one edit
    their lines are indexed anew by everything outside one of ``windows``
    windows of the line: the edit falls into one of them, so a similar pair
-   still meets, and variants that differ elsewhere do not.  (For more edits
-   they meet by the join of step 3, which adaptive execution can split.)
+   still meets, and variants that differ elsewhere do not.  For k edits they
+   are cut into k + 2 segments, of which a similar pair shares two, and where
+   that key is crowded too, into k + 4, of which it shares four; only lines
+   that agree in those as well meet in pairs.
 5. Pairs are verified by bit-parallel edit distance in a band of 2 * edits + 1
    diagonals, after their common prefix, stopping once the band's diagonal
    score passes ``edits``.
@@ -31,7 +33,9 @@ result; extra columns are not carried.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +44,8 @@ from rankwise.functions.materialize import materialize
 from rankwise.llm.tables import pick
 
 _AT = ["id", "dk", "line"]
+#: segments that crowded lines must share, round by round, when there is more than one edit
+SHARED = (2, 4)
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -47,7 +53,7 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
+def _segment(length: Column, i: int | Column, edits: int) -> tuple[Column, Column]:
     """0-based start and length of segment i of a line; the last segments take the remainder."""
     parts = edits + 1
     short = F.floor(length / parts).cast("int")
@@ -93,6 +99,48 @@ def window_keys(text: Column, windows: int, shorter: int) -> list[Column]:
     return out
 
 
+def _moves(chosen: tuple[int, ...], parts: int, edits: int, shorter: int) -> list[list[int]]:
+    """How far the chosen segments of a line can have moved in one that is ``shorter`` characters longer.
+
+    An inserted character counts to the segment before it, so a move changes
+    only across segments that are not chosen.
+    """
+    ways = [([], 0)]    # moves so far, edits they need
+    for k, i in enumerate(chosen):
+        free = i > (chosen[k - 1] + 1 if k else 0)
+        ways = [([*path, m], used + abs(m - (path[-1] if path else 0))) for path, used in ways
+                for m in range(-edits, edits + 1)
+                if (free or m == (path[-1] if path else 0)) and used + abs(m - (path[-1] if path else 0)) <= edits]
+    return [path for path, used in ways
+            if path[-1] == shorter or (chosen[-1] < parts - 1 and used + abs(shorter - path[-1]) <= edits)]
+
+
+def combination_keys(text: Column, edits: int, shared: int) -> Column:
+    """(key, own) for every choice of ``shared`` among edits + shared segments, which lines within ``edits`` share."""
+    parts = edits + shared
+    choices = [{"choice": c, "shorter": s, "own": s == 0 and not any(moves),
+                "pieces": [{"i": i, "move": m} for i, m in zip(chosen, moves)]}
+               for c, chosen in enumerate(combinations(range(parts), shared))
+               for s in range(edits + 1) for moves in _moves(chosen, parts, edits, s)]
+    table = F.from_json(F.lit(json.dumps(choices)), "array<struct<choice: int, shorter: int, own: boolean, "
+                        "pieces: array<struct<i: int, move: int>>>>")
+
+    def key(choice: Column) -> Column:
+        length = F.length(text) - choice["shorter"]
+
+        def piece(part: Column) -> Column:
+            start, size = _segment(length, part["i"], parts - 1)
+            at = (start + part["move"]).cast("int")
+            return F.when((at >= 0) & (at + size <= F.length(text)), F.substring(text, at + 1, size))
+
+        pieces = F.transform(choice["pieces"], piece)
+        whole = (length >= 0) & ~F.exists(pieces, lambda x: x.isNull())
+        return F.struct(F.when(whole, F.xxhash64(length, choice["choice"], F.array_join(pieces, ""))).alias("key"),
+                        choice["own"].alias("own"))
+
+    return F.transform(table, key)
+
+
 def common_prefix(a: Column, b: Column, limit: Column) -> Column:
     """Characters the two texts share from the start, by doubling and halving steps."""
     steps = F.array(*[F.lit(1 << k) for k in range(20, -1, -1)])
@@ -198,9 +246,14 @@ def line_dedup(docs: DataFrame, edits: int = 1, min_chars: int = 20, bucket: int
         F.transform("own", lambda k: F.struct(k.alias("key"), F.lit(True).alias("own"))),
         F.transform("probe", lambda k: F.struct(k.alias("key"), F.lit(False).alias("own"))))).alias("k")).select(
         *_AT, "k.key", "k.own").filter("key is not null")
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.count_if("own").alias("owners")).filter(
-        "members > 1 and owners > 0")
-    members = materialize(keys.join(shared.select("key", "members"), "key"), "line-keys")
+
+    def shared(index: DataFrame, name: str) -> DataFrame:
+        """The rows of keys that several lines have, one of them as owner, with their number."""
+        counts = index.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.count_if("own").alias("owners")).filter(
+            "members > 1 and owners > 0")
+        return materialize(index.join(counts.select("key", "members"), "key"), name)
+
+    members = shared(keys, "line-keys")
 
     def pairs(table: DataFrame) -> DataFrame:
         """Each owner of a key with the others; two owners once, the earlier as ``a``."""
@@ -209,20 +262,25 @@ def line_dedup(docs: DataFrame, edits: int = 1, min_chars: int = 20, bucket: int
         met = left.join(right, "key").filter("(own and a < b) or (not own and a <> b)")
         return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    if edits == 1:
-        candidates = pairs(members.filter(F.col("members") <= bucket))
-        crowd = materialize(members.filter(F.col("members") > bucket).select(*_AT).distinct(), "line-crowds")
-        if not crowd.isEmpty():
-            texts = _texts(rows, crowd)
-            anew = texts.select(*_AT, F.explode(F.concat(
-                F.transform(F.array(*window_keys(value, windows, 0)),
-                            lambda k: F.struct(k.alias("key"), F.lit(True).alias("own"))),
-                F.transform(F.array(*window_keys(value, windows, 1)),
-                            lambda k: F.struct(k.alias("key"), F.lit(False).alias("own"))))).alias("k")).select(
-                *_AT, "k.key", "k.own")
-            candidates = candidates.unionByName(pairs(materialize(anew, "line-windows"))).distinct()
-    else:
-        candidates = pairs(members)
+    candidates = pairs(members.filter(F.col("members") <= bucket))
+    crowd = materialize(members.filter(F.col("members") > bucket).select(*_AT).distinct(), "line-crowds")
+    if edits == 1 and not crowd.isEmpty():
+        texts = _texts(rows, crowd)
+        anew = texts.select(*_AT, F.explode(F.concat(
+            F.transform(F.array(*window_keys(value, windows, 0)),
+                        lambda k: F.struct(k.alias("key"), F.lit(True).alias("own"))),
+            F.transform(F.array(*window_keys(value, windows, 1)),
+                        lambda k: F.struct(k.alias("key"), F.lit(False).alias("own"))))).alias("k")).select(
+            *_AT, "k.key", "k.own")
+        candidates = candidates.unionByName(pairs(materialize(anew, "line-windows"))).distinct()
+    for n in SHARED if edits > 1 else ():
+        if crowd.isEmpty():
+            break
+        anew = shared(_texts(rows, crowd).select(*_AT, F.explode(combination_keys(value, edits, n)).alias("k")).select(
+            *_AT, "k.key", "k.own").filter("key is not null"), "line-segments")
+        few = F.lit(True) if n == SHARED[-1] else F.col("members") <= bucket
+        candidates = candidates.unionByName(pairs(anew.filter(few))).distinct()
+        crowd = materialize(anew.filter(~few).select(*_AT).distinct(), "line-crowds")
     candidates = materialize(candidates, "line-pairs")
     ends = candidates.select("a.*").unionByName(candidates.select("b.*")).distinct()
     texts = _texts(rows, ends)

@@ -116,6 +116,43 @@ def test_line_dedup(spark, edits, bucket):
     assert null_last(got) == null_last(naive_lines(rows, edits, 8))
 
 
+def pairs_compared(monkeypatch):
+    """How many pairs each later run of line_dedup verifies."""
+    told, write = [], line_dedup.materialize
+
+    def noted(table, name):
+        out = write(table, name)
+        if name == "line-pairs":
+            told.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialize", noted)
+    return told
+
+
+@pytest.mark.parametrize("edits", [2, 3])
+def test_crowded_segments_are_keyed_anew_for_more_edits(spark, monkeypatch, edits):
+    rnd = random.Random(edits)
+    lines = ["a common first half of every line" + "".join(rnd.choice("abcdefgh") for _ in range(30)) for _ in range(120)]
+    lines += [edited(rnd, rnd.choice(lines), rnd.randrange(1, edits + 2)) for _ in range(40)]
+    rows = [(i, x, "a") for i, x in enumerate(lines)]
+    told = pairs_compared(monkeypatch)
+    got = [tuple(r) for r in line_dedup.line_dedup(frame(spark, rows), edits, 8, 8).collect()]
+    assert null_last(got) == null_last(naive_lines(rows, edits, 8))
+    assert told[0] < 160 * 159 // 2 // 20
+
+
+@pytest.mark.parametrize("edits,shared", [(1, 2), (2, 2), (2, 4), (3, 2), (4, 3)])
+def test_lines_within_the_edits_share_a_combination_of_segments(spark, edits, shared):
+    rnd = random.Random(7)
+    lines = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(8, 40))) for _ in range(60)]
+    pairs = [sorted((x, edited(rnd, x, rnd.randrange(1, edits + 1))), key=len) for x in lines]
+    keys = lambda c: line_dedup.combination_keys(F.col(c), edits, shared)
+    out = spark.createDataFrame(pairs, "short string, long string").select("short", "long", keys("short").alias("a"), keys("long").alias("b"))
+    for r in out.collect():
+        assert {k.key for k in r.a if k.own} & {k.key for k in r.b}, (r.short, r.long)
+
+
 def shingles(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
