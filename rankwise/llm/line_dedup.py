@@ -16,7 +16,9 @@ line number); lines are judged on the input.  Shorter and blank lines stay.
 4. Larger keys are segments of very many variants of a line.  For one edit
    their lines are indexed anew by everything outside one of ``windows``
    windows of the line: the edit falls into one of them, so a similar pair
-   still meets, and variants that differ elsewhere do not.  For k edits they
+   still meets, and variants that differ elsewhere do not.  Lines of a crowded
+   window are keyed once more by the window less one character, for each of
+   its characters: that leaves similar pairs and few others.  For k edits they
    are cut into k + 2 segments, of which a similar pair shares two, and where
    that key is crowded too, into k + 4, of which it shares four; only lines
    that agree in those as well meet in pairs.
@@ -92,13 +94,35 @@ def window_keys(text: Column, windows: int, shorter: int) -> list[Column]:
     length = F.length(text) - shorter
     out = []
     for w in range(windows):
-        before = F.floor(length * w / windows).cast("int")
-        after = length - F.floor(length * (w + 1) / windows).cast("int")
+        before, after = _window(length, windows, w)
         out.append(F.xxhash64(length, F.lit(w), F.substring(text, F.lit(1), before),
                               F.substring(text, F.length(text) - after + 1, after)))
     return out
 
 
+def _window(length: Column, windows: int, w: int | Column) -> tuple[Column, Column]:
+    """The characters before and after window w of a line."""
+    return (F.floor(length * w / windows).cast("int"),
+            (length - F.floor(length * (w + 1) / windows)).cast("int"))
+
+
+def deletion_keys(text: Column, windows: int, key: Column, w: Column, own: Column) -> Column:
+    """(key, own) within a crowded window: equal lengths share the window less a character at one place,
+    and a line (own) is what a longer one leaves (not own)."""
+    length = F.length(text) - F.when(own, 0).otherwise(1)
+    before, after = _window(length, windows, w)
+    size = F.length(text) - before - after
+    inside = F.substring(text, before + 1, size)
+    places = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
+
+    def less(p: Column) -> Column:
+        rest = F.concat(F.substring(inside, F.lit(1), p), F.substring(inside, p + 2, size))
+        return F.struct(F.xxhash64(key, own.cast("int"), rest).alias("key"), own.alias("own"))
+
+    whole = F.struct(F.xxhash64(key, F.lit(0), inside).alias("key"), F.lit(True).alias("own"))
+    return F.array_union(F.transform(places, less), F.when(own, F.array(whole)).otherwise(F.array().cast("array<struct<key: bigint, own: boolean>>")))
+
+
 def _moves(chosen: tuple[int, ...], parts: int, edits: int, shorter: int) -> list[list[int]]:
     """How far the chosen segments of a line can have moved in one that is ``shorter`` characters longer.
 
@@ -265,14 +289,20 @@ def line_dedup(docs: DataFrame, edits: int = 1, min_chars: int = 20, bucket: int
     candidates = pairs(members.filter(F.col("members") <= bucket))
     crowd = materialize(members.filter(F.col("members") > bucket).select(*_AT).distinct(), "line-crowds")
     if edits == 1 and not crowd.isEmpty():
-        texts = _texts(rows, crowd)
-        anew = texts.select(*_AT, F.explode(F.concat(
-            F.transform(F.array(*window_keys(value, windows, 0)),
-                        lambda k: F.struct(k.alias("key"), F.lit(True).alias("own"))),
-            F.transform(F.array(*window_keys(value, windows, 1)),
-                        lambda k: F.struct(k.alias("key"), F.lit(False).alias("own"))))).alias("k")).select(
-            *_AT, "k.key", "k.own")
-        candidates = candidates.unionByName(pairs(materialize(anew, "line-windows"))).distinct()
+        def keyed(own: bool) -> Column:
+            return F.transform(F.array(*window_keys(value, windows, 0 if own else 1)), lambda k, w: F.struct(
+                k.alias("key"), F.lit(own).alias("own"), w.alias("w")))
+
+        anew = shared(_texts(rows, crowd).select(*_AT, F.explode(F.concat(keyed(True), keyed(False))).alias("k")).select(
+            *_AT, "k.*"), "line-windows")
+        candidates = candidates.unionByName(pairs(anew.filter(F.col("members") <= bucket))).distinct()
+        crowd = materialize(anew.filter(F.col("members") > bucket).select(*_AT, F.col("key").alias("window"), "w",
+                                                                          F.col("own").alias("is_own")), "line-crowds")
+        if not crowd.isEmpty():
+            texts = _texts(rows, crowd.select(*_AT).distinct())
+            anew = crowd.join(texts, _AT).select(*_AT, F.explode(deletion_keys(
+                value, windows, F.col("window"), F.col("w"), F.col("is_own"))).alias("k")).select(*_AT, "k.*")
+            candidates = candidates.unionByName(pairs(shared(anew, "line-deletions"))).distinct()
     for n in SHARED if edits > 1 else ():
         if crowd.isEmpty():
             break

@@ -142,6 +142,19 @@ def test_crowded_segments_are_keyed_anew_for_more_edits(spark, monkeypatch, edit
     assert told[0] < 160 * 159 // 2 // 20
 
 
+def test_numbered_lines_of_one_window_do_not_meet_in_all_pairs(spark, monkeypatch):
+    rnd = random.Random(5)
+    numbers = rnd.sample(range(10 ** 5), 150)
+    lines = [f"this line has a number at the end, and it is item {n:05}" for n in numbers]
+    lines += [x[:-1] for x in lines[:20]] + [x + "7" for x in lines[:20]] + [x[:-3] + "x" + x[-2:] for x in lines[20:40]]
+    rnd.shuffle(lines)
+    rows = [(i, x, "a") for i, x in enumerate(lines)]
+    told = pairs_compared(monkeypatch)
+    got = [tuple(r) for r in line_dedup.line_dedup(frame(spark, rows), 1, 20, 8, 4).collect()]
+    assert null_last(got) == null_last(naive_lines(rows, 1, 20))
+    assert told[0] < len(lines) * (len(lines) - 1) // 2 // 10
+
+
 @pytest.mark.parametrize("edits,shared", [(1, 2), (2, 2), (2, 4), (3, 2), (4, 3)])
 def test_lines_within_the_edits_share_a_combination_of_segments(spark, edits, shared):
     rnd = random.Random(7)
