@@ -94,7 +94,7 @@ def _segment_rows(batch: pa.RecordBatch, length: int, gram: int) -> Iterator[pa.
             for a, b in zip(offsets[:-1] - c0, offsets[1:] - c0 - length + 1):
                 if b > 0 and b > a:
                     valid[max(a, 0):b] = True
-            if c0 + _CHUNK < len(data):
+            if c0 + _CHUNK <= len(data):
                 valid[_CHUNK - length:] = False     # these windows are the next chunk's
             first, count, off, anchor = segments(part, length, gram, valid)
             if not len(first):

@@ -52,6 +52,15 @@ def test_windows_of_a_long_row_are_each_seen_once(monkeypatch):
     assert sorted(r["start"] + k for r in rows for k in range(r["n"])) == list(range(3000 - 20 + 1))
 
 
+@pytest.mark.parametrize("n", [199, 200, 201, 379, 380, 381, 560])
+def test_windows_of_a_row_that_ends_with_a_chunk_are_each_seen_once(monkeypatch, n):
+    monkeypatch.setattr(suffix_dedup, "_CHUNK", 200)
+    text = "".join(random.Random(n).choice("ab") for _ in range(n))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2], pa.int32()), pa.array([text])], ["id", "dk", "text"])
+    rows = pa.Table.from_batches(list(suffix_dedup._segment_rows(batch, 20, 6))).to_pylist()
+    assert sorted(r["start"] + k for r in rows for k in range(r["n"])) == list(range(n - 20 + 1))
+
+
 def edit_distance(a, b):
     last = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
