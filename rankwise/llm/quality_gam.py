@@ -223,8 +223,12 @@ def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = 20_000,
              .filter(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.min("label").alias("label"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train_rows))
-    rows = pick(docs, doc_id=id_col, text=text_col).join(F.broadcast(known), "doc_id")
-    found = feature_rows(rows, ["doc_id", "label"]).toPandas().drop_duplicates("doc_id").sort_values("doc_id")
+    # one row per id, the same one whatever the order of rows
+    rows = (pick(docs, doc_id=id_col, text=text_col).join(F.broadcast(known), "doc_id")
+            .groupBy("doc_id").agg(F.min("label").alias("label"),
+                                   F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("least"))
+            .select("doc_id", "label", "least.text"))
+    found = feature_rows(rows, ["doc_id", "label"]).toPandas().sort_values("doc_id")
     x = np.array(found["features"].tolist(), dtype=float).reshape(len(found), len(FEATURES))
     return fit(x, found["label"].to_numpy(dtype=float))
 

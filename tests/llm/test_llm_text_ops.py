@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -182,6 +183,22 @@ def test_classifier_learns_and_holds_out(spark):
     assert {r.score for r in quality_gam.score(docs, nobody).collect()} == {0.5}
 
 
+def test_training_takes_one_row_of_a_repeated_id(spark, monkeypatch):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, f"word{i} " * 20, "a") for i in ids] + [(ids[3], f"other{k} *** text", "a") for k in range(200)]
+    known = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    seen, made = [], quality_gam.feature_rows
+
+    def noted(docs, keep):
+        seen.append(sorted(map(tuple, docs.select("doc_id", "text").collect())))
+        return made(docs, keep)
+
+    monkeypatch.setattr(quality_gam, "feature_rows", noted)
+    for order in (rows, rows[::-1]):
+        quality_gam.train(frame(spark, order), known)
+    assert seen[0] == seen[1] and [i for i, _ in seen[0]] == ids
+
+
 def naive_exact(rows):
     norm = [re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for _, t, _ in rows]
     keep = {}
