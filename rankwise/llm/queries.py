@@ -13,8 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankwise.llm import (bpe, exact_dedup, html_wrappers, line_dedup, mixing, quality_gam, quality_rules,
-                          shingle_join, suffix_dedup, url_filter)
+from rankwise.llm import (bpe, exact_dedup, gated_lm, html_wrappers, line_dedup, mixing, periodic_runs, quality_gam,
+                          quality_rules, shingle_join, suffix_dedup, url_filter, whitening)
 from rankwise.llm.tables import scan
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -73,9 +73,23 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.shingle_join(scan(spark, sf_dir, "documents"), size=5, percent=80)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(scan(spark, sf_dir, "embeddings"), k=16, scale=64, shift=1_000_000)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(scan(spark, sf_dir, "documents"), min_words=6, min_periods=4,
+                                       rewrite=periodic_runs.looped)
+
+
+def op13_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gated_lm.lm_scores(scan(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_byte_bpe, op2_source_mix, op3_suffix_quality, op4_quality_gam,
-                                   op5_suffix_dedup, op6_line_dedup, op7_url_filter, op8_html_wrappers, op9_exact_dedup, op10_shingle_join)}
+                                   op5_suffix_dedup, op6_line_dedup, op7_url_filter, op8_html_wrappers, op9_exact_dedup,
+                                   op10_shingle_join, op11_whitening, op12_periodic_runs, op13_gated_lm)}
 
 
 # -- DuckDB statements -------------------------------------------------------
