@@ -31,9 +31,13 @@ joined by a shuffle otherwise.
 
 Defined cases: a null or empty html has no text; a page without its host's
 region is read whole, without the parts named above.  A null url belongs to
-the empty host.  Elements nested deeper than ``MAX_DEPTH`` count as text of
-the wrapper's slot; extraction reads them like any other.  Repeated rows
-give repeated results; extra columns are not carried.
+the empty host.  Below ``MAX_DEPTH`` levels a wrapper names only articles and
+mains and adds up the other text, so that regions keep their weight however
+deep they lie; extraction reads elements of any depth.  A region without a
+name that holds little of a page's text (under one part in ``LITTLE``) is not
+that page's: the page is read whole.  Very long pages are read whole.  Repeated
+rows give repeated results, an empty table an empty one; extra columns are not
+carried.
 """
 
 from __future__ import annotations
@@ -55,8 +59,10 @@ from rankwise.functions.materialize import materialize
 from rankwise.llm.tables import pick
 from rankwise.llm.url_filter import host_of
 
-#: depth to which a wrapper describes elements
+#: depth to which a wrapper describes elements one by one
 MAX_DEPTH = 40
+#: an unnamed region is a page's own if it holds one part in so many of the page's text
+LITTLE = 5
 #: regions are broadcast up to this many characters in all
 BROADCAST_CHARS = 32 << 20
 #: pages that must agree before a text counts as a constant of the template
@@ -209,11 +215,40 @@ def skeleton(node: Node, depth: int = 0, linked: bool = False, page: int = 0) ->
                 parts.append(skeleton(child, depth + 1, linked, page))
             elif text := " ".join(child.split()):
                 parts.append(["#text", "1", f"{xxhash.xxh3_64_intdigest(text):x}", 0 if linked or node.skip else len(text), [], 1, [page]])
+    elif node.tag not in RAW:
+        parts = _deep_parts(node, linked)
     parts = _fold(parts)
     return [node.key + ("!" if node.skip else ""), "1", None, 0 if node.skip else sum(p[3] for p in parts), parts, 1,
             [] if depth else [page]]
 
 
+def _mass(tops: list[Node], linked: bool = False) -> int:
+    """Characters of the text below, without links and parts to skip."""
+    total, todo = 0, [(top, linked) for top in tops]
+    while todo:
+        node, link = todo.pop()
+        if isinstance(node, str):
+            total += 0 if link else len(" ".join(node.split()))
+        elif not node.skip and node.tag not in RAW:
+            todo += [(child, link or node.tag == "a") for child in node.children]
+    return total
+
+
+def _deep_parts(node: Node, linked: bool) -> list[list]:
+    """Articles and mains below a node, however deep, with their text; the rest as one text slot."""
+    named, todo = [], [child for child in reversed(node.children) if isinstance(child, Node)]
+    while todo:
+        child = todo.pop()
+        if child.skip:
+            continue
+        if _named(child.key):
+            named.append([child.key, "1", None, _mass([child], linked), [], 1, []])
+        else:
+            todo += [c for c in reversed(child.children) if isinstance(c, Node)]
+    rest = _mass([node], linked) - sum(part[3] for part in named)
+    return named + ([["#text", "1", None, rest, [], 1, []]] if rest > 0 else [])
+
+
 def merge(a: list, b: list) -> list:
     """Align two wrappers of one key."""
     if a[0] == "#text":
@@ -327,6 +362,8 @@ def main_text(page: str, region: dict) -> str:
     """The text of the region, block by block."""
     root = parse(page, region.get("names"))
     tops = _regions(root, region)
+    if tops and not region.get("named") and LITTLE * _mass(tops) < _mass([root]):
+        tops = []
     constants = set(region["constants"]) if tops else set()
     done, block = [], []
 

@@ -90,6 +90,31 @@ def test_pages_whose_classes_carry_their_own_id(spark):
     assert got == {i: t for i, t in enumerate(texts)} | {100 + i: t for i, t in enumerate(texts)} | {200: texts[0]}
 
 
+@pytest.mark.parametrize("levels", [10, 45, 200])
+def test_articles_come_out_whole_at_any_depth(spark, levels):
+    texts = [" ".join(f"word{i}x{k}" for k in range(40)) for i in range(6)]
+
+    def nested(tag, i):
+        return (f"<body><div class='strap'>Site strap line and links</div>{'<div>' * levels}<{tag}><p>{texts[i]}</p>"
+                f"<div class='share'>tell all</div><p>end {i}</p></{tag}>{'</div>' * levels}</body>")
+
+    rows = [(i, f"http://deep.net/{i}", nested("article", i)) for i in range(6)]
+    rows += [(10 + i, f"http://main.net/{i}", nested("main", i)) for i in range(6)]
+    rows += [(20 + i, f"http://plain.net/{i}", nested("section", i)) for i in range(6)]     # no name: the heavy, varying part
+    got = {r.page_id: r.text for r in html_wrappers.extract(pages(spark, rows)).collect()}
+    assert got == {10 * host + i: f"{texts[i]}\nend {i}" for host in range(3) for i in range(6)}
+
+
+def test_a_page_of_another_template_is_read_whole(spark):
+    usual = [f"<body><div class=top>menu line</div><div class=text><p>{' '.join(f'w{i}x{k}' for k in range(50))}</p></div></body>"
+             for i in range(8)]
+    odd = f"<body><div class=text>see below</div><table><tr><td>{'another kind of page ' * 20}</td></tr></table></body>"
+    rows = [(i, f"http://o.net/{i}", x) for i, x in enumerate([*usual, odd])]
+    got = {r.page_id: r.text for r in html_wrappers.extract(pages(spark, rows)).collect()}
+    assert got[8] == "see below\n" + ("another kind of page " * 20).strip()
+    assert all(got[i] == " ".join(f"w{i}x{k}" for k in range(50)) for i in range(8))
+
+
 def test_copies_of_a_page_keep_its_text(spark):
     text = "<div><h1>The only title</h1><p>one block of text</p></div>"
     rows = [(i, "http://f.net/1", text) for i in range(5)]
