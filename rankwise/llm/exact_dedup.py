@@ -13,8 +13,8 @@ Two texts are equal when they agree after every run of white space
    text) with one row per group, which adaptive execution splits.
 
 Defined cases: a null text is an empty text.  Null ids sort after all
-others, so such a row stays only if every row of its group has none.  Of
-repeated rows (same id, same text) exactly one stays; each input row gives
+others, so such a row stays only if every row of its group has none.  A very
+long text is hashed and compared whole.  Of repeated rows (same id, same text) exactly one stays; each input row gives
 one result row.  An empty table gives an empty result.  Extra columns are
 not carried.
 """
@@ -34,18 +34,20 @@ def normalised(text: Column) -> Column:
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: one row per input row."""
     base = pick(docs, doc_id=id_col, text=text_col).select("doc_id", normalised(text_of()).alias("norm"))
-    hashed = base.select("doc_id", F.unhex(F.md5("norm")).alias("h"),
-                         F.unhex(F.sha2("norm", 256)).alias("s"), "norm")
-    groups = (hashed.groupBy("h", "norm")
-              .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-              .select("h", F.unhex(F.sha2("norm", 256)).alias("s"), "keep_id", "group_size"))
-    # rows with the same id and text fall together, so that one of them stays
-    members = hashed.groupBy("h", "s", "doc_id").agg(F.count(F.lit(1)).alias("copies"))
+    hashed = base.select("doc_id", F.unhex(F.md5("norm")).alias("h"), F.unhex(F.sha2("norm", 256)).alias("s"), "norm",
+                         F.spark_partition_id().alias("part"))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "part")
+    groups = (hashed.groupBy("h", "norm").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("group_size"))
+              .select("h", F.unhex(F.sha2("norm", 256)).alias("s"), F.col("first.doc_id").alias("keep_id"),
+                      F.col("first.part").alias("keep_part"), "group_size"))
+    # rows with the same id and text fall together within an input partition, so that one of them stays;
+    # their number is bounded by the partition's rows
+    members = hashed.groupBy("h", "s", "doc_id", "part").agg(F.count(F.lit(1)).alias("copies"))
     copy = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy")
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("part") == F.col("keep_part"))
     return (members.join(groups, ["h", "s"])
-            .select("doc_id", "keep_id", "group_size", "s", copy)
-            .select("doc_id", "keep_id", "group_size",
-                    (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
+            .select("doc_id", "keep_id", "group_size", "s", stays.alias("stays"), copy)
+            .select("doc_id", "keep_id", "group_size", (F.col("stays") & (F.col("copy") == 1)).alias("kept"),
                     F.lower(F.hex("s")).alias("text_sha256")))
 
 
