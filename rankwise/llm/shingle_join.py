@@ -346,16 +346,24 @@ def _open_buckets(placed: DataFrame, percent: int) -> tuple[DataFrame, DataFrame
     return strays.join(sizes.select(F.col("of").alias("key"), "strays"), "key"), others
 
 
+def _integer_ids(docs: DataFrame, id_col: str) -> None:
+    if docs.schema[id_col].dataType.typeName() not in ("long", "integer", "short", "byte"):
+        raise TypeError(f"{id_col} must be a whole number: components are named by their smallest id")
+
+
 def shingle_join(docs: DataFrame, size: int = 5, percent: int = 80, small: int = 64, depth: int = 3,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, links to copies and near copies decided exactly."""
+    _integer_ids(docs, id_col)
     rows = pick(docs, doc_id=id_col, text=text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     sets, counts = count_sets(rows, size)
     sketch = docs.sparkSession.sparkContext.broadcast(counts)
     named = rows.filter("doc_id is not null")
     known = sets.filter("doc_id is not null and n_shingles > 0")
-    copies = known.groupBy("sig1", "sig2", "n_shingles").agg(F.min("doc_id").alias("b"), F.count(F.lit(1)).alias("rows"))
-    edges = materialize(known.join(copies.filter("rows > 1"), ["sig1", "sig2", "n_shingles"])
+    # written first, so that the join of a very large group of copies has two plain exchanges and can be split
+    copies = materialize(known.groupBy("sig1", "sig2", "n_shingles").agg(
+        F.min("doc_id").alias("b"), F.count(F.lit(1)).alias("rows")).filter("rows > 1").drop("rows"), "shingle-copies")
+    edges = materialize(known.join(copies, ["sig1", "sig2", "n_shingles"])
                         .select(F.col("doc_id").alias("a"), "b").filter("a <> b").distinct(), "shingle-edges")
     buckets = materialize(shared_buckets(index_prefixes(named, sketch, size, percent)), "shingle-buckets")
     found: DataFrame | None = None
@@ -368,9 +376,17 @@ def shingle_join(docs: DataFrame, size: int = 5, percent: int = 80, small: int =
         strays, others = _open_buckets(buckets.join(found, "id", "left").withColumn(
             "component", F.coalesce("component", "id")), percent)
         few = F.lit(True) if k == depth else F.col("strays") <= small
-        met = strays.filter(few).join(others.select(*[F.col(c).alias(f"y_{c}") for c in others.columns]), (
-            F.col("key") == F.col("y_key")) & (F.col("component") != F.col("y_component")) & _room(
-                F.least("room", "y_room"), F.col("n") + F.col("y_n"), percent))
+
+        def meet(left: DataFrame, right: DataFrame, fits) -> DataFrame:
+            return left.join(right.select(*[F.col(c).alias(f"y_{c}") for c in others.columns]), (
+                F.col("key") == F.col("y_key")) & (F.col("component") != F.col("y_component")) & fits)
+
+        total = F.col("n") + F.col("y_n")
+        met = meet(strays.filter(few), others, _room(F.least("room", "y_room"), total, percent))
+        if k < depth:
+            # sets that may link by k tokens or fewer have no combination of k + 1 to meet in
+            tiny = ~few & _room(F.lit(k), F.col("n") + 1, percent)
+            met = met.unionByName(meet(strays.filter(tiny), others.filter(tiny), _room(F.lit(k), total, percent)))
         cross = met.select(F.least("id", "y_id").alias("a"), F.greatest("id", "y_id").alias("b")).distinct()
         more = compare(cross, known, named, size, percent)
         if not more.isEmpty():
