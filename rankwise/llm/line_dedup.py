@@ -26,11 +26,19 @@ line number); lines are judged on the input.  Shorter and blank lines stay.
    diagonals, after their common prefix, stopping once the band's diagonal
    score passes ``edits``.
 
-Text is shuffled once, by document: it serves both the lines of step 5 and
-the final result.  Defined cases: a null text has one empty line.  Null ids
-come after all others.  Rows with the same id and text are one document:
-their lines are not copies of each other.  An empty table gives an empty
-result; extra columns are not carried.
+Index tables carry a line as one number.  Where rows of a large table are
+wanted by key, a bit table (at most ``FILTER_WORDS`` rows, the bound of its
+broadcast) drops most others before the shuffle: only documents with a line to
+compare, and at the end only those that lose a line, send their text anywhere.
+The joins behind it are exact and of one kind at every size, so a full bit
+table costs shuffle, never results.
+
+Defined cases: a null text has one empty line.  Null ids come after all
+others.  Rows with the same id and text are one document: their lines are not
+copies of each other.  A document is known by 128 bits of its id and text, so
+null ids and repeated ids are told apart.  Very long texts and lines are split
+and compared whole.  An empty table gives an empty result; extra columns are
+not carried.
 """
 
 from __future__ import annotations
@@ -45,7 +53,8 @@ from pyspark.sql import functions as F
 from rankwise.functions.materialize import materialize
 from rankwise.llm.tables import pick
 
-_AT = ["id", "dk", "line"]
+#: rows of a bit table, 64 bits each
+FILTER_WORDS = 1 << 18
 #: segments that crowded lines must share, round by round, when there is more than one edit
 SHARED = (2, 4)
 
@@ -240,98 +249,126 @@ def within(a: Column, b: Column, edits: int) -> Column:
     return _let(common_prefix(a, b, F.least(F.length(a), F.length(b))), after_prefix)
 
 
-def _lines(rows: DataFrame) -> DataFrame:
-    return rows.select("id", "dk", F.posexplode(F.split("text", "\n")).alias("line", "value"))
+def _spot(key: str) -> tuple[Column, Column]:
+    """The row and the bit of a key in a bit table."""
+    h = F.xxhash64(key)
+    return F.pmod(F.shiftrightunsigned(h, 6), F.lit(FILTER_WORDS)), h.bitwiseAND(F.lit(63)).cast("int")
+
+
+def _marked(table: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``table`` with ``maybe``: false only where no row of ``wanted`` has the key."""
+    spot, bit = _spot(key)
+    bits = (wanted.select(spot.alias("spot"), bit.alias("bit"))
+            .groupBy("spot").agg(F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), bit)")).alias("word")))
+    found = table.withColumns({"spot": spot, "bit": bit}).join(F.broadcast(bits), "spot", "left")
+    return found.withColumn("maybe", F.coalesce(F.getbit("word", F.col("bit")) == 1, F.lit(False))).drop("spot", "bit", "word")
+
+
+def _wanted(table: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows of ``table`` with the columns of the row of ``wanted`` that has their key (unique there)."""
+    return _marked(table, key, wanted).filter("maybe").drop("maybe").join(wanted.hint("merge"), key)
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, k (128 bits of id and text), text (never null)."""
+    slim = pick(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
+    name = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
+    return slim.select("doc_id", F.unhex(F.md5(F.concat(F.md5("text"), name))).alias("k"), "text")
+
+
+def _lines(rows: DataFrame, min_chars: int) -> DataFrame:
+    """Every line of at least ``min_chars`` characters that is not blank, with its hash."""
+    lines = rows.select("doc_id", "k", F.posexplode(F.split("text", "\n")).alias("line", "value"))
+    return (lines.filter(F.length("value") >= min_chars).filter(F.col("value").rlike(r"[^\x20\x09-\x0D]"))
+            .withColumn("h", F.unhex(F.md5("value"))))
 
 
 def line_dedup(docs: DataFrame, edits: int = 1, min_chars: int = 20, bucket: int = 128, windows: int = 16,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_lines, n_removed, text (the lines that stay): one row per input row."""
-    slim = pick(docs, doc_id=id_col, text=text_col)
-    last = F.lit((1 << 63) - 1) if slim.schema["doc_id"].dataType.typeName() in ("long", "integer") else F.lit("￿")
-    rows = slim.select(F.coalesce("doc_id", last).alias("id"), F.hash("text").alias("dk"),
-                       F.coalesce("text", F.lit("")).alias("text"), F.col("doc_id").isNull().alias("unnamed"))
-    place = F.struct(*_AT)
-    long_lines = _lines(rows).filter(F.length("value") >= min_chars).filter(F.col("value").rlike(r"[^\x20\x09-\x0D]"))
-    digest = F.unhex(F.md5("value"))
+    rows = _rows(docs, id_col, text_col)
+    # null ids come last: the flag goes before the id
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "k", "line")
     value = F.col("value")
+    long_lines = _lines(rows, min_chars)
     first = materialize(
-        long_lines.groupBy(digest.alias("h")).agg(
+        long_lines.groupBy("h").agg(
             F.count(F.lit(1)).alias("copies"),
-            F.min(F.struct(*_AT, F.array(*own_keys(value, edits)).alias("own"),
+            F.min(F.struct(place.alias("place"), F.array(*own_keys(value, edits)).alias("own"),
                            F.array(*probe_keys(value, edits)).alias("probe"))).alias("f"))
-        .select("h", "copies", "f.*"), "line-first")
+        .select(F.monotonically_increasing_id().alias("n"), "h", "copies", "f.*"), "line-first")
     # copies of an earlier line
-    copies = (long_lines.select(digest.alias("h"), *_AT)
-              .join(first.filter("copies > 1").select("h", F.struct(*_AT).alias("rep")), "h")
-              .filter(place != F.col("rep")).select(*_AT))
+    repeated = first.filter("copies > 1").select("h", F.col("place.k").alias("first_k"), F.col("place.line").alias("first_line"))
+    copies = (_wanted(long_lines.select("h", "k", "line"), "h", repeated)
+              .filter("k <> first_k or line <> first_line").select("k", "line"))
     # index and probe rows of the distinct lines
-    keys = first.select(*_AT, F.explode(F.concat(
+    keys = first.select("n", F.explode(F.concat(
         F.transform("own", lambda k: F.struct(k.alias("key"), F.lit(True).alias("own"))),
         F.transform("probe", lambda k: F.struct(k.alias("key"), F.lit(False).alias("own"))))).alias("k")).select(
-        *_AT, "k.key", "k.own").filter("key is not null")
+        "n", "k.key", "k.own").filter("key is not null")
 
     def shared(index: DataFrame, name: str) -> DataFrame:
         """The rows of keys that several lines have, one of them as owner, with their number."""
         counts = index.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.count_if("own").alias("owners")).filter(
             "members > 1 and owners > 0")
-        return materialize(index.join(counts.select("key", "members"), "key"), name)
-
-    members = shared(keys, "line-keys")
+        return materialize(index.join(counts.select("key", "members").hint("merge"), "key"), name)
+
+    def texts_of(numbers: DataFrame, name: str) -> DataFrame:
+        """n, place, value of the distinct lines of the given numbers (unique there)."""
+        found = materialize(_wanted(first.select("n", "place"), "n", numbers), f"{name}-places")
+        wanted = found.groupBy(F.col("place.k").alias("k")).agg(
+            F.collect_list(F.struct("n", F.col("place.line").alias("line"))).alias("lines"))
+        wanted = materialize(wanted, f"{name}-documents")
+        parts = _wanted(rows.select("doc_id", "k", "text"), "k", wanted).dropDuplicates(["k"])
+        split = parts.select("doc_id", "k", F.split("text", "\n").alias("all"), F.explode("lines").alias("at")).select(
+            F.col("at.n").alias("n"), "doc_id", "k", F.col("at.line").alias("line"), F.get("all", F.col("at.line")).alias("value"))
+        return materialize(split.select("n", place.alias("place"), "value"), name)
 
     def pairs(table: DataFrame) -> DataFrame:
-        """Each owner of a key with the others; two owners once, the earlier as ``a``."""
-        left = table.filter("own").select("key", place.alias("a"))
-        right = table.select("key", place.alias("b"), "own")
+        """Each owner of a key with the others; two owners once, the lower number as ``a``."""
+        left = table.filter("own").select("key", F.col("n").alias("a"))
+        right = table.select("key", F.col("n").alias("b"), "own")
         met = left.join(right, "key").filter("(own and a < b) or (not own and a <> b)")
         return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
+    members = shared(keys, "line-keys")
     candidates = pairs(members.filter(F.col("members") <= bucket))
-    crowd = materialize(members.filter(F.col("members") > bucket).select(*_AT).distinct(), "line-crowds")
-    if edits == 1 and not crowd.isEmpty():
+    crowd = materialize(members.filter(F.col("members") > bucket).select("n").distinct(), "line-crowds")
+    crowded = None if crowd.isEmpty() else texts_of(crowd, "line-crowd-texts").select("n", "value")
+    if edits == 1 and crowded is not None:
         def keyed(own: bool) -> Column:
             return F.transform(F.array(*window_keys(value, windows, 0 if own else 1)), lambda k, w: F.struct(
                 k.alias("key"), F.lit(own).alias("own"), w.alias("w")))
 
-        anew = shared(_texts(rows, crowd).select(*_AT, F.explode(F.concat(keyed(True), keyed(False))).alias("k")).select(
-            *_AT, "k.*"), "line-windows")
+        anew = shared(crowded.select("n", F.explode(F.concat(keyed(True), keyed(False))).alias("k")).select("n", "k.*"),
+                      "line-windows")
         candidates = candidates.unionByName(pairs(anew.filter(F.col("members") <= bucket))).distinct()
-        crowd = materialize(anew.filter(F.col("members") > bucket).select(*_AT, F.col("key").alias("window"), "w",
-                                                                          F.col("own").alias("is_own")), "line-crowds")
-        if not crowd.isEmpty():
-            texts = _texts(rows, crowd.select(*_AT).distinct())
-            anew = crowd.join(texts, _AT).select(*_AT, F.explode(deletion_keys(
-                value, windows, F.col("window"), F.col("w"), F.col("is_own"))).alias("k")).select(*_AT, "k.*")
+        within_window = materialize(anew.filter(F.col("members") > bucket).select(
+            "n", F.col("key").alias("window"), "w", F.col("own").alias("is_own")), "line-crowds")
+        if not within_window.isEmpty():
+            anew = within_window.join(crowded, "n").select("n", F.explode(deletion_keys(
+                value, windows, F.col("window"), F.col("w"), F.col("is_own"))).alias("k")).select("n", "k.*")
             candidates = candidates.unionByName(pairs(shared(anew, "line-deletions"))).distinct()
-    for n in SHARED if edits > 1 else ():
-        if crowd.isEmpty():
-            break
-        anew = shared(_texts(rows, crowd).select(*_AT, F.explode(combination_keys(value, edits, n)).alias("k")).select(
-            *_AT, "k.key", "k.own").filter("key is not null"), "line-segments")
-        few = F.lit(True) if n == SHARED[-1] else F.col("members") <= bucket
+    for count in SHARED if edits > 1 and crowded is not None else ():
+        anew = shared(crowded.select("n", F.explode(combination_keys(value, edits, count)).alias("k")).select(
+            "n", "k.key", "k.own").filter("key is not null"), "line-segments")
+        few = F.lit(True) if count == SHARED[-1] else F.col("members") <= bucket
         candidates = candidates.unionByName(pairs(anew.filter(few))).distinct()
-        crowd = materialize(anew.filter(~few).select(*_AT).distinct(), "line-crowds")
+        crowded = crowded.join(anew.filter(~few).select("n").distinct(), "n", "left_semi")
     candidates = materialize(candidates, "line-pairs")
-    ends = candidates.select("a.*").unionByName(candidates.select("b.*")).distinct()
-    texts = _texts(rows, ends)
-    near = (candidates.join(texts.select(place.alias("a"), F.col("value").alias("ta")), "a")
-            .join(texts.select(place.alias("b"), F.col("value").alias("tb")), "b")
-            .filter(within(F.col("ta"), F.col("tb"), edits)).select("b.*"))
+    ends = materialize(candidates.select(F.col("a").alias("n")).unionAll(candidates.select("b")).distinct(), "line-ends")
+    texts = texts_of(ends, "line-texts")
+    side = lambda c: texts.select(F.col("n").alias(c), F.col("place").alias(f"p{c}"), F.col("value").alias(f"t{c}"))
+    near = (candidates.join(side("a"), "a").join(side("b"), "b").filter(within(F.col("ta"), F.col("tb"), edits))
+            .select(F.greatest("pa", "pb").alias("late")).select("late.k", "late.line"))
     # a distinct line that goes takes all its places with it: the copies go anyway
-    gone = copies.unionByName(near).groupBy("id", "dk").agg(F.collect_set("line").alias("gone"))
+    gone = materialize(copies.unionByName(near).groupBy("k").agg(F.collect_set("line").alias("gone")), "line-gone")
     lines = F.split("text", "\n")
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone")), lambda i: F.get(lines, i))
-    kind = slim.schema["doc_id"].dataType.simpleString()
-    return (rows.join(gone, ["id", "dk"], "left")
-            .select(F.when(~F.col("unnamed"), F.col("id")).cast(kind).alias("doc_id"),
-                    F.size(lines).cast("bigint").alias("n_lines"),
-                    F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"),
-                    F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text")))
-
-
-def _texts(rows: DataFrame, places: DataFrame) -> DataFrame:
-    """id, dk, line, value of the given places, each once."""
-    wanted = places.groupBy("id", "dk").agg(F.collect_set("line").alias("lines"))
-    found = rows.join(wanted, ["id", "dk"]).select("id", "dk", F.split("text", "\n").alias("all"),
-                                                    F.explode("lines").alias("line"))
-    return found.select(*_AT, F.get("all", F.col("line")).alias("value")).dropDuplicates(_AT)
+    marked = _marked(rows, "k", gone.select("k"))
+    whole = marked.filter("not maybe").select("doc_id", "text", F.lit(None).cast("array<int>").alias("gone"))
+    cut = marked.filter("maybe").join(gone.hint("merge"), "k", "left").select("doc_id", "text", "gone")
+    return whole.unionByName(cut).select(
+        "doc_id", F.size(lines).cast("bigint").alias("n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"),
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"))
