@@ -1,10 +1,11 @@
 """Result sinks and the result viewer's two data calls.
 
 Results are written after ``conform`` so stored types follow the contract
-whatever the target.  JDBC writes use ``truncate`` on overwrite so an
-existing table keeps its declared types and keys; on first creation the
-contract's column types are passed as ``createTableColumnTypes``.
-Connection settings come from the caller.
+whatever the target.  A JDBC overwrite goes to a staging table and replaces
+the rows of the result in one transaction, so a failed job leaves the old
+rows, and an existing table keeps its declared types and keys.  A preview over
+JDBC sends its top-n to the database.  Connection settings come from the
+caller.
 """
 
 from __future__ import annotations
@@ -49,12 +50,12 @@ def _jdbc_tables(spark: SparkSession, url: str, properties: dict[str, str] | Non
 
 
 def create_result_table(spark: SparkSession, table: str, url: str, properties: dict[str, str] | None = None,
-                        wide: bool = False) -> None:
-    """Create a result table with the contract's types and primary key."""
-    keys = [c.name for c in CONTRACTS[table] if c.key]
-    columns = [f"{c.name} {sql_type(c.sql, wide)}{' NOT NULL' if c.key else ''}" for c in CONTRACTS[table]]
-    if keys:
-        columns.append(f"PRIMARY KEY ({', '.join(keys)})")
+                        wide: bool = False, keys: bool = True) -> None:
+    """Create a result table with the contract's types and, with ``keys``, its primary key."""
+    key = [c.name for c in CONTRACTS[table] if c.key] if keys else []
+    columns = [f"{c.name} {sql_type(c.sql, wide)}{' NOT NULL' if c.name in key else ''}" for c in CONTRACTS[table]]
+    if key:
+        columns.append(f"PRIMARY KEY ({', '.join(key)})")
     connection = _connection(spark, url, properties)
     try:
         connection.createStatement().execute(f"CREATE TABLE {table} ({', '.join(columns)})")
@@ -62,29 +63,85 @@ def create_result_table(spark: SparkSession, table: str, url: str, properties: d
         connection.close()
 
 
+def _column_names(connection, table: str) -> dict[str, str]:
+    """The columns of a database table, by lower-case name, as SQL has to write them."""
+    quote = connection.getMetaData().getIdentifierQuoteString().strip()
+    ask = connection.createStatement()
+    found = ask.executeQuery(f"SELECT * FROM {table} WHERE 1 = 0").getMetaData()
+    names = [found.getColumnName(i + 1) for i in range(found.getColumnCount())]
+    ask.close()
+    return {n.lower(): f"{quote}{n}{quote}" for n in names}
+
+
+def staging_table(table: str) -> str:
+    return f"{table}_staging"
+
+
+def _swap(spark: SparkSession, table: str, url: str, properties: dict[str, str] | None) -> None:
+    """The staged rows take the place of the table's in one transaction."""
+    stage = staging_table(table)
+    connection = _connection(spark, url, properties)
+    try:
+        connection.setAutoCommit(False)
+        old, new = _column_names(connection, table), _column_names(connection, stage)
+        names = [c.name.lower() for c in CONTRACTS[table]]
+        run = connection.createStatement()
+        try:
+            run.executeUpdate(f"DELETE FROM {table}")
+            run.executeUpdate(f"INSERT INTO {table} ({', '.join(old[n] for n in names)}) "
+                              f"SELECT {', '.join(new[n] for n in names)} FROM {stage}")
+            connection.commit()
+        except Exception:
+            connection.rollback()
+            raise
+        run.executeUpdate(f"DROP TABLE {stage}")
+        connection.commit()
+    finally:
+        connection.rollback()   # nothing is open by now, unless the lines above failed
+        connection.close()
+
+
 def write_result_jdbc(df: DataFrame, table: str, url: str, properties: dict[str, str] | None = None,
                       num_partitions: int = 8, batch_size: int = 10000, wide: bool = False,
                       keys: bool = False) -> None:
-    """Overwrite one result table over JDBC.  ``num_partitions`` caps the
-    number of concurrent connections (Spark coalesces down to it); ``wide``
-    as in ``conform``.  ``keys`` declares the contract's primary key when the
-    table does not exist yet (a result with a NULL key is then refused by the
-    database, as the reference's schema would); later writes keep it, as they
-    truncate."""
+    """Overwrite one result table over JDBC.
+
+    The rows are written to a staging table by at most ``num_partitions``
+    connections and then swapped in: readers see the old rows or the new
+    ones, a job that fails leaves the old ones, and running it again starts
+    with a new staging table.  ``wide`` as in ``conform``.  ``keys`` declares
+    the contract's primary key when the table does not exist yet (a result
+    with a NULL or repeated key is then refused by the database, as the
+    reference's schema would); later writes keep what the table declares.
+    """
     if table not in CONTRACTS:
         raise ValueError(f"unknown result table {table!r}")
     spark = df.sparkSession
-    if keys and table.lower() not in _jdbc_tables(spark, url, properties):
-        create_result_table(spark, table, url, properties, wide)
     w = (conform(df, table, wide).write.format("jdbc")
-         .option("url", url).option("dbtable", table)
-         .option("truncate", "true")
+         .option("url", url).option("dbtable", staging_table(table))
          .option("createTableColumnTypes", column_types_ddl(table, wide))
          .option("numPartitions", str(num_partitions))
          .option("batchsize", str(batch_size)))
     for k, v in (properties or {}).items():
         w = w.option(k, v)
     w.mode("overwrite").save()
+    if table.lower() not in _jdbc_tables(spark, url, properties):
+        create_result_table(spark, table, url, properties, wide, keys)
+    _swap(spark, table, url, properties)
+
+
+def preview_query(spark: SparkSession, table: str, n: int, url: str, properties: dict[str, str] | None = None) -> str:
+    """The first ``n`` rows of a result by its key, NULL last, as the database's SQL (``table`` is a checked name)."""
+    columns = CONTRACTS[table]
+    by = [c.name for c in columns if c.key] or [c.name for c in columns]
+    connection = _connection(spark, url, properties)
+    try:
+        names = _column_names(connection, table)
+    finally:
+        connection.close()
+    order = ", ".join(f"CASE WHEN {names[k]} IS NULL THEN 1 ELSE 0 END, {names[k]}" for k in map(str.lower, by))
+    top = f"LIMIT {int(n)}" if url.startswith(("jdbc:mysql", "jdbc:mariadb", "jdbc:sqlite")) else f"FETCH FIRST {int(n)} ROWS ONLY"
+    return f"SELECT {', '.join(names[c.name.lower()] for c in columns)} FROM {table} ORDER BY {order} {top}"
 
 
 def read_result_jdbc(spark: SparkSession, table: str, url: str,
@@ -135,6 +192,11 @@ def preview(spark: SparkSession, table: str, base: str | None = None, n: int = 1
     result; it is never pasted into SQL unchecked."""
     if not _NAME.match(table) or table not in list_results(spark, base, jdbc_url, properties):
         raise ValueError(f"unknown result table {table!r}")
+    if jdbc_url is not None:    # the database sends n rows, not the table
+        r = spark.read.format("jdbc").option("url", jdbc_url).option("query", preview_query(spark, table, n, jdbc_url, properties))
+        for k, v in (properties or {}).items():
+            r = r.option(k, v)
+        return preview_frame(r.load(), table, n)
     return preview_frame(read_result(spark, table, base, jdbc_url, properties), table, n)
 
 

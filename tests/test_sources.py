@@ -13,7 +13,7 @@ from rankwise.functions.contracts import CONTRACTS, RESULT_SOURCES, check_contra
 from rankwise.plans.export import export_all
 from rankwise.plans.registry import ANALYSES
 from rankwise.sources.ingest import ARTISTS, USERS, normalize, read_raw_csv, rejected_cells
-from rankwise.sources.sinks import (list_results, preview, preview_shape, read_result_jdbc,
+from rankwise.sources.sinks import (list_results, preview, preview_query, preview_shape, read_result_jdbc,
                                     write_result_jdbc, write_result_parquet)
 from rankwise.streaming.ingest_stream import ingest_stream
 
@@ -124,6 +124,75 @@ def test_ingest_counts_rejections_in_its_only_scan(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 4
 
 
+BROKEN_CSV = ('user_id,rank,artist_name,playcount\nu1,1,A,3\nu1,2\nu2,1,B,4,more,cells\n'
+              'u3,1,"one ""name"" over\ntwo lines",5\nu4,1,,6\n')
+
+
+@pytest.mark.parametrize("drop", [False, True])
+def test_records_with_too_few_or_too_many_cells(spark, tmp_path, drop):
+    from rankwise.sources.ingest import BROKEN, ingest_table
+
+    (tmp_path / "bad.csv").write_text(BROKEN_CSV)
+    out, aside = str(tmp_path / "out"), str(tmp_path / "aside")
+    report = ingest_table(spark, str(tmp_path / "bad.csv"), out, ARTISTS, multi_line=True, drop_broken=drop, quarantine=aside)
+    assert report == [("artists", "rank", 0), ("artists", "playcount", 0), ("artists", BROKEN, 2)]
+    got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    whole = [("u1", 1, "A", 3), ("u3", 1, 'one "name" over\ntwo lines', 5), ("u4", 1, None, 6)]
+    assert got == sorted(whole + ([] if drop else [("u1", 2, None, None), ("u2", 1, "B", 4)]))
+    assert sorted(r.record for r in spark.read.parquet(aside).collect()) == ["u1,2", "u2,1,B,4,more,cells"]
+
+
+def test_quoted_line_breaks_of_split_files_are_broken_records(spark, tmp_path):
+    from rankwise.sources.ingest import ingest
+
+    for name in ("user_top_artists.csv", "user_top_tracks.csv", "user_top_albums.csv", "users.csv"):
+        (tmp_path / name).write_text({"user_top_artists.csv": BROKEN_CSV, "users.csv": "user_id,country,total_scrobbles\nu1,ES,1\n"}.get(
+            name, f"user_id,rank,{name[9:14]}_name,artist_name,playcount\nu1,1,x,A,1\n"))
+    report = {(r.table, r.column): r.rejected for r in ingest(spark, str(tmp_path), str(tmp_path / "out")).collect()}
+    # the two short and long records, and both pieces of the record over two lines
+    assert report["artists", "_broken_record"] == 4 and ("users", "_broken_record") not in report
+    assert spark.read.parquet(str(tmp_path / "out" / "quarantine_artists")).count() == 4
+    assert not (tmp_path / "out" / "quarantine_users").exists()
+
+
+DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+
+def test_a_failed_jdbc_write_leaves_the_old_rows(spark):
+    """An in-memory Derby that only this process sees; no server."""
+    url = "jdbc:derby:memory:atomic;create=true"
+    stored = lambda: sorted(tuple(r) for r in read_result_jdbc(spark, "result_1_top_artists", url, DERBY).collect())
+    old = spark.createDataFrame([("A", 3), ("B", 2)], "artist string, participacion long")
+    write_result_jdbc(old, "result_1_top_artists", url, DERBY, keys=True)
+    assert stored() == [("A", 3), ("B", 2)]
+    # a task fails half way
+    failing = spark.range(0, 100, 1, 4).select(F.col("id").cast("string").alias("artist"), F.when(
+        F.col("id") == 99, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("long").alias("participacion"))
+    with pytest.raises(Exception, match="lost"):
+        write_result_jdbc(failing, "result_1_top_artists", url, DERBY)
+    assert stored() == [("A", 3), ("B", 2)]
+    # the database refuses the rows (a repeated key)
+    with pytest.raises(Exception, match="(?i)duplicate key"):
+        write_result_jdbc(old.unionAll(old), "result_1_top_artists", url, DERBY)
+    assert stored() == [("A", 3), ("B", 2)]
+    # the same job again, with rows that fit
+    write_result_jdbc(old.filter("artist = 'B'"), "result_1_top_artists", url, DERBY)
+    assert stored() == [("B", 2)]
+    assert list_results(spark, jdbc_url=url, properties=DERBY) == ["result_1_top_artists"]
+
+
+def test_jdbc_preview_asks_the_database_for_n_rows(spark):
+    url = "jdbc:derby:memory:pushed;create=true"
+    rows = spark.createDataFrame([(f"a{i:03d}", i) for i in range(300)], "artist string, participacion long")
+    write_result_jdbc(rows, "result_1_top_artists", url, DERBY)
+    query = preview_query(spark, "result_1_top_artists", 5, url, DERBY)
+    assert query.endswith("FETCH FIRST 5 ROWS ONLY") and "ORDER BY CASE WHEN" in query
+    shown = preview(spark, "result_1_top_artists", n=5, jdbc_url=url, properties=DERBY)
+    assert query in shown._jdf.queryExecution().executedPlan().toString()
+    assert [r[0] for r in shown.collect()] == [f"a{i:03d}" for i in range(5)]
+    assert preview(spark, "result_1_top_artists", n=400, jdbc_url=url, properties=DERBY).count() == 300
+
+
 def test_wide_results_beyond_int_and_decimal(spark, tmp_path):
     base = (tmp_path / "results").as_uri()          # a URI, not a path
     big = spark.createDataFrame([("A", 3_000_000_000), ("B", 1)], "artist string, participacion long")
