@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankwise.functions.columns import percent
+from rankwise.functions.shared import item_summary
 
 USER = "user_id"
 
@@ -92,8 +93,11 @@ def top1_in_global(artists: DataFrame, item: str = "artist", k: int = 5) -> Data
     match in the reference's join, are left out); the base is the sum of
     rank-1 rows over all items.
     """
-    per_item = artists.groupBy(item).agg(F.count(F.lit(1)).alias("_m"),
-                                         F.count_if(F.col("rank") == 1).alias("_ones"))
+    if (summary := item_summary(artists, item)) is not None:
+        per_item = summary.select(item, F.col("_rows").alias("_m"), F.col("_first_rows").alias("_ones"))
+    else:
+        per_item = artists.groupBy(item).agg(F.count(F.lit(1)).alias("_m"),
+                                             F.count_if(F.col("rank") == 1).alias("_ones"))
     top = (per_item.orderBy(F.col("_m").desc(), F.col(item).asc_nulls_last()).limit(k)
            .agg(F.sum(F.when(F.col(item).isNotNull(), F.col("_ones"))).alias("_hit")))
     base = per_item.agg(F.sum("_ones").alias("_all"))

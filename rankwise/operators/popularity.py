@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankwise.functions.columns import by_count_then_item
+from rankwise.functions.shared import item_summary
 
 USER = "user_id"
 
@@ -31,6 +32,9 @@ def top_items(df: DataFrame, item: str | Sequence[str] = "artist", k: int = 20,
     ``TakeOrderedAndProject``: each task keeps its own top ``k``.
     """
     keys = _keys(item)
+    if len(keys) == 1 and (summary := item_summary(df, keys[0])) is not None:
+        return (summary.select(keys[0], F.col("_users").alias(out))
+                       .orderBy(*by_count_then_item(out, *keys)).limit(k))
     return (df.groupBy(*keys).agg(F.count(USER).alias(out))
               .orderBy(*by_count_then_item(out, *keys)).limit(k))
 
@@ -39,6 +43,9 @@ def rank_holders(df: DataFrame, item: str = "artist", rank: int = 1,
                  out: str = "users") -> DataFrame:
     """#4: users per item at one list position; the ``rank`` filter is pushed
     into the Parquet scan when ``rank`` is an integer column."""
+    if rank == 1 and (summary := item_summary(df, item)) is not None:
+        return (summary.filter("_first_rows > 0").select(item, F.col("_first_users").alias(out))
+                       .orderBy(*by_count_then_item(out, item)))
     return (df.filter(F.col("rank") == rank).groupBy(item).agg(F.count(USER).alias(out))
               .orderBy(*by_count_then_item(out, item)))
 
@@ -53,6 +60,8 @@ def mode_item(df: DataFrame, item: str = "artist", rank: int = 1) -> DataFrame:
 def mention_counts(df: DataFrame, item: str = "artist", out: str = "menciones") -> DataFrame:
     """List rows per item (``count(*)``, so NULL items form one group), in no
     particular order - the input of statistics, which need no sort."""
+    if (summary := item_summary(df, item)) is not None:
+        return summary.select(item, F.col("_rows").alias(out))
     return df.groupBy(item).agg(F.count(F.lit(1)).alias(out))
 
 
@@ -64,7 +73,10 @@ def mentions(df: DataFrame, item: str = "artist", out: str = "menciones") -> Dat
 def avg_position(df: DataFrame, item: str = "artist", min_mentions: int | None = None,
                  out: str = "posicion_media") -> DataFrame:
     """#14: mean list position per item, highest (worst) first."""
-    agg = df.groupBy(item).agg(F.avg("rank").alias(out), F.count(F.lit(1)).alias("_n"))
+    if (summary := item_summary(df, item)) is not None:
+        agg = summary.select(item, F.col("_rank_mean").alias(out), F.col("_rows").alias("_n"))
+    else:
+        agg = df.groupBy(item).agg(F.avg("rank").alias(out), F.count(F.lit(1)).alias("_n"))
     if min_mentions is not None:
         agg = agg.filter(F.col("_n") >= min_mentions)
     return agg.drop("_n").orderBy(*by_count_then_item(out, item))
@@ -110,8 +122,16 @@ def _stacked(tracks: DataFrame, artists: DataFrame, item: str, track: str | None
 def cross_popularity(tracks: DataFrame, artists: DataFrame, item: str = "artist") -> DataFrame:
     """#19: list rows per artist in the track lists vs in the artist lists:
     the stacked rows are counted once, by kind (no join)."""
-    per_item = _stacked(tracks, artists, item).groupBy(item, "_of").agg(
-        F.count_if(F.col("_k") == 1).alias("tracks_count"), F.count_if(F.col("_k") == 2).alias("artists_count"))
+    both = item_summary(tracks, item), item_summary(artists, item)
+    if None not in both:
+        kinds = [s.select(item, F.when(F.col(item).isNull(), F.lit(k)).alias("_of"), F.lit(k).alias("_k"), "_rows")
+                 for k, s in enumerate(both, 1)]
+        count = [F.coalesce(F.sum(F.when(F.col("_k") == k, F.col("_rows"))), F.lit(0)) for k in (1, 2)]
+        per_item = kinds[0].unionByName(kinds[1]).groupBy(item, "_of").agg(
+            count[0].alias("tracks_count"), count[1].alias("artists_count"))
+    else:
+        per_item = _stacked(tracks, artists, item).groupBy(item, "_of").agg(
+            F.count_if(F.col("_k") == 1).alias("tracks_count"), F.count_if(F.col("_k") == 2).alias("artists_count"))
     res = per_item.select(item, "tracks_count", "artists_count",
                           (F.col("tracks_count") - F.col("artists_count")).alias("diferencia"))
     return res.orderBy(*by_count_then_item("diferencia", item))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Row
 
 from rankwise.functions.contracts import RESULT_SOURCES, check_contract
 from rankwise.functions.materialize import workspace
+from rankwise.functions.shared import sharing
 from rankwise.plans.domain import Views, write_views
 from rankwise.plans.registry import ANALYSES
 
@@ -27,11 +28,12 @@ def export_all(views, sink: Sink, tables: list[str] | None = None,
     from the star-schema sources are first written once (``write_views``), so
     the 24 results read the ranked tables instead of 24 derivations: to
     ``stage_dir``, which stays, or to the job's workspace, which like all
-    other intermediate tables is removed at the end.
+    other intermediate tables is removed at the end.  Counts of a list by an
+    item that several results need are taken once (``sharing``).
     """
     spark = views.artists.sparkSession
     done: dict[str, Row | None] = {}
-    with workspace(spark) as work:
+    with workspace(spark) as work, sharing():
         if isinstance(views, Views):
             views = write_views(views, stage_dir or os.path.join(work, "views"))
         for table in tables or list(RESULT_SOURCES):

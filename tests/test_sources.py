@@ -232,6 +232,42 @@ def test_export_reports_and_leaves_no_intermediates(spark, golden, tmp_path):
     assert done["result_19_cross_popularity"]["null_keys"] == 2 and done["result_22_extreme_users"]["rows"] == 1
 
 
+def test_full_run_counts_each_list_once_per_item(spark, raw_dir, tmp_path):
+    """24 equal results from fewer reads of the ranked lists."""
+    from rankwise.functions.contracts import RESULT_SOURCES
+    from rankwise.functions.materialize import workspace
+    from rankwise.functions.shared import sharing
+    from rankwise.plans.domain import list_views
+    from rankwise.sources.ingest import ingest
+    from rankwise.sources.tables import load_ranked
+
+    out = str(tmp_path / "processed")
+    ingest(spark, raw_dir, out)
+    views = list_views(load_ranked(spark, out))
+    reads = {}
+
+    def lists_read(df):
+        return {os.path.basename(os.path.dirname(f)) for f in df.inputFiles()} & {"artists", "tracks", "albums"}
+
+    alone = {}
+    for table, name in RESULT_SOURCES.items():
+        df = ANALYSES[name](views)
+        alone[table] = sorted(map(str, df.collect()))
+        reads[table] = lists_read(df)
+    together, shared = {}, {}
+
+    def sink(df, table):
+        together[table] = sorted(map(str, df.collect()))
+        shared[table] = lists_read(df)
+
+    export_all(views, sink)
+    assert together == alone and len(together) == 24
+    # the summaries themselves: artists by artist, tracks by track and by artist, albums by album
+    assert sum(map(len, shared.values())) + 4 <= sum(map(len, reads.values())) - 6
+    with workspace(spark), sharing():
+        assert ANALYSES["q05_mentions"](views).inputFiles() == ANALYSES["q14_avg_position"](views).inputFiles()
+
+
 def test_cli_ingest_then_export_meets_contract(spark, raw_dir, tmp_path):
     from rankwise.__main__ import main
 
