@@ -34,8 +34,13 @@ def workspace(spark: SparkSession, folder: str | None = None) -> Iterator[str]:
         yield path
     finally:
         _OPEN.pop()
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        drop_folder(spark, path)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a written table that nothing reads any more, wherever Spark wrote it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -3,41 +3,56 @@
 The reference expanded every user's whole list into all 2- and
 3-combinations with a Python UDF (disabled there, see SURVEY 2.10), which
 emits sum(C(list length, size)) rows.  Here a basket is the set of distinct
-non-NULL items of a user.  One plan serves any number of items:
+non-NULL items of a user; rows without a user form one basket, as a grouping
+by user makes of them.  Baskets and the support of every item are written
+once, and every later step is planned from these tables:
 
-1. The ``head`` items of highest support are counted first.  A user's basket
-   over them is two 64-bit words (``bit_or``, a partial aggregate, so a user
+1. The ``head`` items of highest support are counted first.  A basket over
+   them is two 64-bit words (``bit_or``, a partial aggregate, so a user
    holding a third of all rows costs one small row per map task); an Arrow
    pass adds X^T X of the 0/1 rows.  The k-th best count there is a lower
    bound L of the k-th best count overall.
 2. Only items with support >= L can be in a better tuple (every tuple is at
-   most as frequent as its items), so only those go on.  They get a block and
-   a bit by hash; a user's basket is one word per block it touches, and
-   pairs are counted per pair of blocks: a basket of n items in b blocks
-   makes at most b * (b + 1) / 2 rows, not n * (n - 1) / 2.
-3. Triples are built from pairs that reach L themselves, and only for users
-   who hold an item outside the head.
-
-Steps 2 and 3 find nothing to do when the head holds all items; the plan is
-the same.  ``min_support`` leaves out tuples of fewer users.
+   most as frequent as its items).  If the head holds them all, it has the
+   answer.  Else they are numbered by rising support and a basket becomes a
+   sorted array of numbers; a long one is cut into slices of its first item,
+   which go to different tasks.
+3. A task adds up the pairs of its slices whose rarer item is outside the
+   head; Spark sums these counts by pair.
+4. Triples are counted the same way, from pairs that reach L.  These pairs
+   are known to the tasks by a bit table of fixed size: a wrong bit makes a
+   triple counted in vain, never a wrong count, as a pair is left out for all
+   baskets or for none.  The triples of the most frequent pairs come first
+   and raise L before all others are counted.
+
+``min_support`` leaves out tuples of fewer users.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankwise.functions.materialize import materialize
+
 USER = "user_id"
 HEAD_ITEMS = 128           # two 64-bit words per user
+FIRST_PAIRS = 2_000        # pairs whose triples raise the bound
 _BITS = 64
-_FILL = 48                 # items per block aimed at; a fuller block spills into the next word
 _EXACT_ROWS = 1 << 20      # rows per float32 product: its sums stay far below 2**24
+_HEAD_ID = 1 << 62         # ids from here on are the head's
+_SLICE = 256               # first items of a slice
+_HELD = 1 << 21            # tuples a task holds before it adds them up
+_TABLE_BITS = 26           # bits of a pair table: 8 MB
 
 
 def baskets(df: DataFrame, item: str = "artist") -> DataFrame:
-    """Distinct (user, item) rows, NULL items dropped."""
+    """Distinct (user, item) rows, NULL items dropped; the user may be NULL."""
     return df.filter(F.col(item).isNotNull()).select(USER, F.col(item).alias("item")).distinct()
 
 
@@ -49,6 +64,8 @@ def _best(counts: DataFrame, size: int, k: int) -> DataFrame:
     return counts.orderBy(F.col("cnt").desc(), *[F.col(n).asc() for n in _names(size)]).limit(k)
 
 
+# -- the head: dense products -------------------------------------------------
+
 def _bits_of(words: np.ndarray) -> np.ndarray:
     """Rows of 64-bit words -> rows of 0/1 floats."""
     raw = np.ascontiguousarray(words.astype(np.int64))
@@ -62,6 +79,15 @@ def _products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
+def _count_pairs(batches):
+    """Co-occurrence of two head items over masks (w0, w1)."""
+    for pdf in batches:
+        x = _bits_of(pdf[["w0", "w1"]].to_numpy())
+        c = np.triu(_products(x, x), 1)
+        i, j = np.nonzero(c)
+        yield pd.DataFrame(np.stack([i, j, c[i, j]], axis=1).astype(np.int64), columns=["b1", "b2", "cnt"])
+
+
 def _count_triples(batches):
     """Co-occurrence of three head items over masks (w0, w1)."""
     for pdf in batches:
@@ -77,51 +103,197 @@ def _count_triples(batches):
         yield pd.DataFrame(table.astype(np.int64), columns=["b1", "b2", "b3", "cnt"])
 
 
-def _count_block_pairs(batches):
-    """Co-occurrence over rows (x, y, wx, wy): words of two blocks of one user."""
-    for pdf in batches:
-        found = []
-        for (x, y), part in pdf.groupby(["x", "y"], sort=False):
-            c = _products(_bits_of(part[["wx"]].to_numpy()), _bits_of(part[["wy"]].to_numpy()))
-            i, j = np.nonzero(np.triu(c, 1) if x == y else c)
-            found.append(np.stack([np.full(len(i), x), i, np.full(len(i), y), j, c[i, j]], axis=1))
-        table = np.concatenate(found) if found else np.zeros((0, 5), np.int64)
-        yield pd.DataFrame(table.astype(np.int64), columns=["x", "i", "y", "j", "cnt"])
-
-
-def _masks(b: DataFrame, ids: DataFrame) -> DataFrame:
-    """user, block, w: a user's basket within each block."""
-    bit = F.expr("shiftleft(CAST(1 AS BIGINT), bit)")
-    return b.join(ids, "item").groupBy(USER, "block").agg(F.bit_or(bit).alias("w"))
-
-
-def _pairs(masks: DataFrame, ids: DataFrame, wanted) -> DataFrame:
-    """item_1 < item_2, cnt over the block pairs that ``wanted`` (x, y) allows."""
-    x = masks.select(USER, F.col("block").alias("x"), F.col("w").alias("wx"))
-    y = masks.select(USER, F.col("block").alias("y"), F.col("w").alias("wy"))
-    rows = x.join(y, USER).filter((F.col("x") <= F.col("y")) & wanted).select("x", "y", "wx", "wy")
-    counts = (rows.mapInPandas(_count_block_pairs, "x long, i long, y long, j long, cnt long")
-              .groupBy("x", "i", "y", "j").agg(F.sum("cnt").alias("cnt")))
-    one = ids.select(F.col("block").alias("x"), F.col("bit").cast("long").alias("i"), F.col("item").alias("a"))
-    two = ids.select(F.col("block").alias("y"), F.col("bit").cast("long").alias("j"), F.col("item").alias("b"))
-    return (counts.join(one, ["x", "i"]).join(two, ["y", "j"])
-            .select(F.least("a", "b").alias("item_1"), F.greatest("a", "b").alias("item_2"), "cnt"))
-
-
-def _head_triples(masks: DataFrame, ids: DataFrame) -> DataFrame:
-    """item_1 < item_2 < item_3, cnt over the head's two words."""
-    words = masks.groupBy(USER).agg(*[
-        F.coalesce(F.max(F.when(F.col("block") == block, F.col("w"))), F.lit(0).cast("bigint")).alias(name)
-        for block, name in ((-2, "w0"), (-1, "w1"))])
-    held = words.filter(F.bit_count("w0") + F.bit_count("w1") >= 3).select("w0", "w1")
-    counts = (held.mapInPandas(_count_triples, "b1 long, b2 long, b3 long, cnt long")
-              .groupBy("b1", "b2", "b3").agg(F.sum("cnt").alias("cnt")))
-    place = ((F.col("block") + 2) * _BITS + F.col("bit")).cast("long")
-    for c in ("b1", "b2", "b3"):
+def head_masks(b: DataFrame, top: DataFrame) -> DataFrame:
+    """w0, w1: each basket over the head, from ``top`` (item, place)."""
+    def word(number: int) -> Column:
+        bit = F.expr("shiftleft(CAST(1 AS BIGINT), CAST(place % 64 AS INT))")
+        return F.coalesce(F.bit_or(F.when(F.floor(F.col("place") / _BITS) == number, bit)), F.lit(0).cast("bigint"))
+
+    return (b.join(F.broadcast(top), "item").groupBy(USER).agg(word(0).alias("w0"), word(1).alias("w1"))
+            .filter(F.bit_count("w0") + F.bit_count("w1") >= 2).select("w0", "w1"))
+
+
+def _head_counts(masks: DataFrame, top: DataFrame, size: int) -> DataFrame:
+    places = [f"b{i + 1}" for i in range(size)]
+    counts = (masks.mapInPandas(_count_pairs if size == 2 else _count_triples, ", ".join(f"{p} long" for p in places) + ", cnt long")
+              .groupBy(*places).agg(F.sum("cnt").alias("cnt")))
+    for p in places:
         # HEAD_ITEMS rows
-        counts = counts.join(F.broadcast(ids.select(place.alias(c), F.col("item").alias(f"n_{c}"))), c)
-    items = F.array_sort(F.array("n_b1", "n_b2", "n_b3"))
-    return counts.select(*[items[i].alias(n) for i, n in enumerate(_names(3))], "cnt")
+        counts = counts.join(F.broadcast(top.select(F.col("place").alias(p), F.col("item").alias(f"n_{p}"))), p)
+    items = F.array_sort(F.array(*[f"n_{p}" for p in places]))
+    return counts.select(*[items[i].alias(n) for i, n in enumerate(_names(size))], "cnt")
+
+
+# -- the rest: sorted arrays of item numbers ------------------------------------
+
+def _added(tuples: list[np.ndarray], rest: int) -> pa.RecordBatch:
+    """Distinct columns of the tuples with their number; ``rest``: items outside the head."""
+    table = np.concatenate(tuples, axis=1)
+    base = rest + HEAD_ITEMS
+    if base ** len(table) < 1 << 63:    # one number per tuple
+        key = np.zeros(table.shape[1], dtype=np.int64)
+        for column in table:
+            key = key * base + np.where(column >= _HEAD_ID, column - _HEAD_ID + rest, column)
+        key, counts = np.unique(key, return_counts=True)
+        parts = []
+        for _ in table:
+            key, part = np.divmod(key, base)
+            parts.append(np.where(part >= rest, part - rest + _HEAD_ID, part))
+        return pa.RecordBatch.from_arrays([*[pa.array(c) for c in parts[::-1]], pa.array(counts)],
+                                          [*"xyz"[:len(table)], "cnt"])
+    order = np.lexsort(table[::-1])
+    table = table[:, order]
+    new = np.ones(table.shape[1], dtype=bool)
+    new[1:] = (table[:, 1:] != table[:, :-1]).any(axis=0)
+    first = np.flatnonzero(new)
+    counts = np.diff(np.append(first, table.shape[1]))
+    return pa.RecordBatch.from_arrays([*[pa.array(c[first]) for c in table], pa.array(counts)],
+                                      [*"xyz"[:len(table)], "cnt"])
+
+
+def _bit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The place of a pair in a bit table."""
+    x, y = np.atleast_1d(x), np.atleast_1d(y)
+    h = (x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (y.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - _TABLE_BITS)
+
+
+def _has(table: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    at = _bit(x, y)
+    return (table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 != 0
+
+
+def _first_items(items: np.ndarray, start: int) -> range:
+    """Places of the first items of a slice: those outside the head."""
+    return range(start, min(start + _SLICE, int(np.searchsorted(items, _HEAD_ID))))
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int]]:
+    for batch in batches:
+        column = batch.column("items")
+        ends, values = column.offsets.to_numpy(), column.values.to_numpy()
+        for a, b, start in zip(ends[:-1], ends[1:], batch.column("start").to_pylist()):
+            yield values[a:b], start
+
+
+def pairs_of(items: np.ndarray, start: int) -> np.ndarray:
+    """(x, y) for each first item x of the slice and every later item y of the basket."""
+    firsts = _first_items(items, start)
+    n = len(items)
+    if not len(firsts):
+        return np.zeros((2, 0), dtype=np.int64)
+    repeats = n - 1 - np.arange(firsts.start, firsts.stop)
+    x = np.repeat(np.arange(firsts.start, firsts.stop), repeats)
+    y = np.arange(len(x)) - np.repeat(np.cumsum(repeats) - repeats, repeats) + x + 1
+    return np.stack([items[x], items[y]])
+
+
+def triples_of(items: np.ndarray, start: int, table: np.ndarray, first: np.ndarray | None) -> Iterator[np.ndarray]:
+    """(x, y, z), x of the slice, all of whose pairs have their bit in ``table``; with ``first``: those
+    with a pair (x, y) that has its bit there."""
+    for i in _first_items(items, start):
+        later = items[i + 1:]
+        later = later[_has(table, items[i], later)]
+        if len(later) < 2:
+            continue
+        if first is None:
+            y, z = np.triu_indices(len(later), 1)
+        else:
+            lead = np.flatnonzero(_has(first, items[i], later))
+            y, z = np.repeat(lead, len(later)), np.tile(np.arange(len(later)), len(lead))
+            # a pair of leading items is found from each of them: it counts from the lower one
+            leads = np.zeros(len(later), dtype=bool)
+            leads[lead] = True
+            keep = (y < z) | ((z < y) & ~leads[z])
+            y, z = np.minimum(y[keep], z[keep]), np.maximum(y[keep], z[keep])
+        y, z = later[y], later[z]
+        both = _has(table, y, z)
+        if both.any():
+            yield np.stack([np.full(int(both.sum()), items[i]), y[both], z[both]])
+
+
+def _summed(rows: DataFrame, tuples, size: int, rest: int) -> DataFrame:
+    """x, y(, z), cnt of the tuples that ``tuples(items, start)`` gives for every slice."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for items, start in _slices(batches):
+            for part in tuples(items, start):
+                held.append(part)
+                n += part.shape[1]
+                if n >= _HELD:
+                    yield _added(held, rest)
+                    held, n = [], 0
+        if n:
+            yield _added(held, rest)
+
+    names = list("xyz"[:size])
+    return (rows.mapInArrow(run, ", ".join(f"{c} long" for c in names) + ", cnt long")
+            .groupBy(*names).agg(F.sum("cnt").alias("cnt")))
+
+
+def _bit_table(pairs: DataFrame) -> np.ndarray:
+    """The bits of the pairs (x, y), of fixed size: words are joined in Spark, 64 bits each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(_bit(batch.column("x").to_numpy(), batch.column("y").to_numpy()))
+            word = np.uint64(1) << (at & np.uint64(63))
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array(word.view(np.int64))],
+                                             ["spot", "word"])
+
+    rows = pairs.select("x", "y").mapInArrow(run, "spot long, word long").groupBy("spot").agg(
+        F.bit_or("word").alias("word")).toArrow()
+    table = np.zeros(1 << (_TABLE_BITS - 6), dtype=np.int64)
+    table[rows.column("spot").to_numpy()] = rows.column("word").to_numpy()
+    return table.view(np.uint8)
+
+
+def _numbered(rest: DataFrame, top: DataFrame) -> tuple[DataFrame, int]:
+    """(item, id): the rest from 0 by rising support, the head from _HEAD_ID; and the number of the rest.
+
+    The sort is by range; each of its slices is numbered on its own and moved
+    behind those before it, of which the driver gets one count each.
+    """
+    spread = materialize(rest.orderBy("sup", "item").select(
+        "item", F.monotonically_increasing_id().alias("at")), "itemset-order").select(
+        "item", F.shiftright("at", 33).alias("slice"), F.col("at").bitwiseAND(F.lit((1 << 33) - 1)).alias("at"))
+    sizes = {r["slice"]: r["count"] for r in spread.groupBy("slice").count().collect()}
+    before, total = [], 0
+    for k in sorted(sizes):
+        before.append((k, total))
+        total += sizes[k]
+    offsets = rest.sparkSession.createDataFrame(before, "slice long, before long")
+    numbered = spread.join(F.broadcast(offsets), "slice").select("item", (F.col("before") + F.col("at")).alias("id"))
+    ids = numbered.unionByName(top.select("item", (F.col("place") + _HEAD_ID).alias("id")))
+    return materialize(ids, "itemset-ids"), total
+
+
+def _rest_rows(b: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """items (sorted numbers), start: the slices of baskets of at least ``size`` items, one of them outside the head."""
+    items = b.join(ids, "item").groupBy(USER).agg(F.array_sort(F.collect_list("id")).alias("items"))
+    items = materialize(items.filter((F.size("items") >= size) & (F.col("items")[0] < _HEAD_ID)).select("items"),
+                        "itemset-baskets")
+    short = F.size("items") <= _SLICE
+    starts = F.explode(F.sequence(F.lit(0), F.size("items") - 1, F.lit(_SLICE)))
+    slices = items.filter(short).select("items", F.lit(0).alias("start")).unionByName(
+        items.filter(~short).select("items", starts.alias("start")))
+    # few bytes, much work: a fixed number of tasks, which is not coalesced by size
+    spark = b.sparkSession
+    tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return slices.repartition(tasks, "start", F.xxhash64("items"))
+
+
+def _named(counts: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    for c in "xyz"[:size]:
+        counts = counts.join(ids.select(F.col("id").alias(c), F.col("item").alias(f"n_{c}")), c)
+    items = F.array_sort(F.array(*[f"n_{c}" for c in "xyz"[:size]]))
+    return counts.select(*[items[i].alias(n) for i, n in enumerate(_names(size))], "cnt")
+
+
+def _bound(counts: DataFrame, k: int, least: int) -> int:
+    """The k-th best count, or ``least`` if there are fewer."""
+    top = counts.select("cnt").orderBy(F.col("cnt").desc()).limit(k)
+    row = top.agg(F.count(F.lit(1)).alias("n"), F.min("cnt").alias("cnt")).first()
+    return max(least, row["cnt"]) if row["n"] >= k else least
 
 
 def _expand(b: DataFrame, size: int) -> DataFrame:
@@ -129,27 +301,11 @@ def _expand(b: DataFrame, size: int) -> DataFrame:
     names = _names(size)
     out = b.select(USER, F.col("item").alias(names[0]))
     for before, name in zip(names, names[1:]):
-        out = out.join(b.select(USER, F.col("item").alias(name)), USER).filter(F.col(before) < F.col(name))
+        right = b.select(F.col(USER).alias("u"), F.col("item").alias(name))
+        out = out.join(right, F.col(USER).eqNullSafe(F.col("u")) & (F.col(before) < F.col(name))).drop("u")
     return out.groupBy(*names).agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def _rest_triples(b: DataFrame, rest: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Triples with an item of ``rest`` whose three pairs are all in ``pairs``."""
-    user_of_rest = b.join(rest.select("item"), "item", "left_semi").select(USER).distinct()
-    kept = b.join(user_of_rest, USER, "left_semi")
-    of = lambda n: kept.select(USER, F.col("item").alias(n))
-    p12 = pairs.select("item_1", "item_2")
-    p23 = pairs.select(F.col("item_1").alias("item_2"), F.col("item_2").alias("item_3"))
-    p13 = pairs.select("item_1", F.col("item_2").alias("item_3"))
-    two = of("item_1").join(p12, "item_1").join(of("item_2"), [USER, "item_2"])
-    three = two.join(p23, "item_2").join(of("item_3"), [USER, "item_3"]).join(p13, ["item_1", "item_3"], "left_semi")
-    flags = [rest.select(F.col("item").alias(n), F.lit(True).alias(f"r_{n}")) for n in _names(3)]
-    for flag, name in zip(flags, _names(3)):
-        three = three.join(flag, name, "left")
-    has_rest = F.coalesce(*[F.col(f"r_{n}") for n in _names(3)], F.lit(False))
-    return three.filter(has_rest).groupBy(*_names(3)).agg(F.count(F.lit(1)).alias("cnt"))
-
-
 def frequent_itemsets(df: DataFrame, item: str = "artist", size: int = 2, k: int = 50,
                       prune: bool = True, head: int = HEAD_ITEMS, min_support: int = 1) -> DataFrame:
     """The ``k`` item ``size``-sets held by most users, ties by the items.
@@ -157,42 +313,40 @@ def frequent_itemsets(df: DataFrame, item: str = "artist", size: int = 2, k: int
     Columns ``item_1 .. item_<size>, cnt`` with ``item_1 < item_2 < ...``;
     sets of fewer than ``min_support`` users are left out (1: none).
     ``prune=False`` expands every basket with joins (the plain definition,
-    kept for checks).
+    kept for checks).  Baskets, supports and counts are written when this is
+    called.
     """
     if size not in (2, 3) or not size <= head <= HEAD_ITEMS:
         raise ValueError(f"size must be 2 or 3, head {size} to {HEAD_ITEMS}")
-    b = baskets(df, item)
-    frequent = F.col("cnt") >= min_support
     if not prune:
-        return _best(_expand(b, size).filter(frequent), size, k)
-    support = b.groupBy("item").agg(F.count(F.lit(1)).alias("sup"))
-    by_support = [F.col("sup").desc(), F.col("item").asc()]
-    place = F.row_number().over(Window.orderBy(*by_support)) - 1    # over ``head`` rows
-    top = support.orderBy(*by_support).limit(head).withColumn("place", place).select(
-        "item", (F.floor(F.col("place") / _BITS) - 2).cast("long").alias("block"), (F.col("place") % _BITS).alias("bit"))
-    head_masks = _masks(b, F.broadcast(top))
-    first = _pairs(head_masks, top, F.lit(True)) if size == 2 else _head_triples(head_masks, top)
-    first = first.filter(frequent)
-    # the k-th best count of the head, one row
-    bound = _best(first, size, k).agg(F.greatest(F.lit(min_support), F.when(
-        F.count(F.lit(1)) >= k, F.min("cnt")).otherwise(F.lit(0))).alias("least"))
-    rest = (support.crossJoin(F.broadcast(bound)).filter(F.col("sup") >= F.col("least"))
-            .join(F.broadcast(top.select("item")), "item", "left_anti"))
-    blocks = rest.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / _FILL)).alias("blocks"))
-    hashed = F.pmod(F.xxhash64("item"), F.col("blocks"))
-    in_block = F.row_number().over(Window.partitionBy("hashed").orderBy("item")) - 1     # about _FILL rows each
-    rest_ids = (rest.select("item").crossJoin(F.broadcast(blocks)).withColumn("hashed", hashed)
-                .withColumn("n", in_block)
-                .select("item", (F.col("hashed") * 1024 + F.floor(F.col("n") / _BITS)).cast("long").alias("block"),
-                        (F.col("n") % _BITS).alias("bit")))
-    # head items ride along where they can still pair with one of the rest
-    ids = top.unionByName(rest_ids)
-    beyond = F.col("y") >= 0
-    holders = b.join(rest_ids.select("item"), "item", "left_semi").select(USER).distinct()
-    masks = _masks(b.join(holders, USER, "left_semi"), ids)
-    others = _pairs(masks, ids, beyond).filter(frequent)
+        return _best(_expand(baskets(df, item), size).filter(F.col("cnt") >= min_support), size, k)
+    b = materialize(baskets(df, item), "itemset-rows")
+    support = materialize(b.groupBy("item").agg(F.count(F.lit(1)).alias("sup")), "itemset-support")
+    # at most ``head`` rows
+    best_items = support.orderBy(F.col("sup").desc(), F.col("item").asc()).limit(head).collect()
+    kind = support.schema["item"].dataType.simpleString()
+    top = df.sparkSession.createDataFrame([(r["item"], n) for n, r in enumerate(best_items)], f"item {kind}, place long")
+    masks = head_masks(b, top)
+    counts = materialize(_head_counts(masks, top, size), "itemset-head")
+    least = _bound(counts, k, max(1, min_support))
+    first = counts.filter(F.col("cnt") >= min_support)
+    rest = support.filter(F.col("sup") >= least).join(F.broadcast(top.select("item")), "item", "left_anti")
+    if len(best_items) < head or rest.isEmpty():
+        return _best(first, size, k)
+    ids, n_rest = _numbered(rest, top)
+    rows = _rest_rows(b, ids, size)
+    pairs = _summed(rows, lambda items, start: [pairs_of(items, start)], 2, n_rest).filter(F.col("cnt") >= least)
     if size == 2:
-        return _best(first.unionByName(others), size, k)
-    reach = others.unionByName(_pairs(head_masks, top, F.lit(True)))
-    reach = reach.crossJoin(F.broadcast(bound)).filter(F.col("cnt") >= F.col("least")).select("item_1", "item_2")
-    return _best(first.unionByName(_rest_triples(b, rest_ids, reach).filter(frequent)), size, k)
+        return _best(first.unionByName(_named(pairs, ids, 2)), 2, k)
+    pairs = materialize(pairs, "itemset-pairs")
+    # head pairs are not told apart: their bits are all set
+    in_head = top.select((F.col("place") + _HEAD_ID).alias("x")).join(top.select((F.col("place") + _HEAD_ID).alias("y")),
+                                                                      F.col("x") < F.col("y"))
+    table = _bit_table(pairs.select("x", "y").unionByName(in_head))
+    leading = _bit_table(pairs.orderBy(F.col("cnt").desc(), "x", "y").limit(FIRST_PAIRS))
+    early = _summed(rows, lambda items, start: triples_of(items, start, table, leading), 3, n_rest)
+    raised = _bound(early.select("cnt").unionByName(counts.select("cnt")), k, least)
+    if raised > least:
+        table = _bit_table(pairs.filter(F.col("cnt") >= raised).select("x", "y").unionByName(in_head))
+    others = _summed(rows, lambda items, start: triples_of(items, start, table, None), 3, n_rest).filter(F.col("cnt") >= raised)
+    return _best(first.unionByName(_named(others, ids, 3)), 3, k)

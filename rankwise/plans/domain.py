@@ -73,8 +73,8 @@ class Views:
     @cached_property
     def track_rows(self) -> DataFrame:
         """Track lists without the position column: for analyses that never
-        read ``rank`` (the range numbering is an Arrow pass Catalyst cannot
-        prune, unlike a window)."""
+        read ``rank`` (the range numbering writes its slices, so unlike a
+        window Catalyst cannot prune it)."""
         return track_rows(self._t)
 
     @cached_property

@@ -65,9 +65,9 @@ def _concentrated(n: int) -> str:
 
 
 def _itemsets(table: str, item: str, size: int, k: int) -> str:
-    """Top itemsets by plain self-joins of the baskets."""
+    """Top itemsets by plain self-joins of the baskets; rows without a user are one basket."""
     names = [f"item_{i + 1}" for i in range(size)]
-    joins = "".join(f" JOIN b x{i} ON x{i}.user_id = x0.user_id AND x{i - 1}.item < x{i}.item" for i in range(1, size))
+    joins = "".join(f" JOIN b x{i} ON x{i}.user_id IS NOT DISTINCT FROM x0.user_id AND x{i - 1}.item < x{i}.item" for i in range(1, size))
     return (f", b AS (SELECT DISTINCT user_id, {item} AS item FROM {table} WHERE {item} IS NOT NULL) SELECT "
             + ", ".join(f"x{i}.item AS {n}" for i, n in enumerate(names)) + f", count(*) AS cnt FROM b x0{joins}"
             + f" GROUP BY ALL ORDER BY cnt DESC, {', '.join(names)} LIMIT {k}")
@@ -128,7 +128,11 @@ BODIES: dict[str, str] = {
     "q10_concentrated_top2": _concentrated(2),
     "q11_artist_pairs": _itemsets("artists", "artist", 2, 50),
     "q11_album_pairs": _itemsets("albums", "album", 2, 50),
+    "q11_track_pairs": _itemsets("tracks", "track", 2, 50),
+    "q11_null_users": UNNAMED + _itemsets("named", "track", 2, 50),
     "q12_artist_triples": _itemsets("artists", "artist", 3, 20),
+    "q12_album_triples": _itemsets("albums", "album", 3, 20),
+    "q12_null_users": UNNAMED + _itemsets("named", "artist", 3, 20),
     "q13_overlap": (", ta AS (SELECT user_id, artist AS a FROM artists WHERE rank = 1),"
                     " tt AS (SELECT user_id, artist AS t FROM tracks WHERE rank = 1),"
                     " s AS (SELECT (SELECT count(*) FROM ta JOIN tt USING (user_id) WHERE a = t) AS o,"

@@ -68,9 +68,14 @@ ANALYSES: dict[str, Analysis] = {
     "q10_concentrated_users": lambda v: L.concentrated_users(v.track_head(CONCENTRATION_HEAD), CONCENTRATION_HEAD),
     "q10_concentrated_top2": lambda v: L.concentrated_users(v.track_head(2), 2),
     "q11_artist_pairs": lambda v: I.frequent_itemsets(v.artists, "artist", 2, PAIRS_K),
-    # far more items than one block of the itemset plan holds
+    # far more items than the head of the itemset plan holds
     "q11_album_pairs": lambda v: I.frequent_itemsets(v.albums, "album", 2, PAIRS_K),
+    "q11_track_pairs": lambda v: I.frequent_itemsets(v.track_rows, "track", 2, PAIRS_K),
     "q12_artist_triples": lambda v: I.frequent_itemsets(v.artists, "artist", 3, TRIPLES_K),
+    "q12_album_triples": lambda v: I.frequent_itemsets(v.albums, "album", 3, TRIPLES_K),
+    # rows without a user: one basket
+    "q11_null_users": lambda v: I.frequent_itemsets(v.unnamed_users().track_rows, "track", 2, PAIRS_K),
+    "q12_null_users": lambda v: I.frequent_itemsets(v.unnamed_users().track_rows, "artist", 3, TRIPLES_K),
     "q13_overlap": lambda v: L.top_overlap(v.artists, v.track_head(1), "artist"),
     "q14_avg_position": lambda v: P.avg_position(v.artists, "artist"),
     # full track ranks (range numbering)

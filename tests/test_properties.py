@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+from collections import Counter, defaultdict
+from itertools import combinations
 
 import pytest
 from pyspark.sql import Window
@@ -185,15 +187,43 @@ def test_itemset_min_support(spark):
 
 
 def test_itemsets_of_more_blocks_and_a_hot_user(spark):
-    """300 items, one user holding all of them: its basket is a few words, not 44,850 pairs."""
+    """600 items, one user holding all of them: its basket is a few slices on several tasks."""
     rnd = random.Random(15)
-    data = [(f"u{u}", p, f"i{rnd.randrange(300):03d}", 1) for u in range(60) for p in range(1, 9)]
-    data += [("hot", p + 1, f"i{p:03d}", 1) for p in range(300)]
+    data = [(f"u{u}", p, f"i{rnd.randrange(600):03d}", 1) for u in range(60) for p in range(1, 9)]
+    data += [("hot", p + 1, f"i{p:03d}", 1) for p in range(600)]
     df = spark.createDataFrame(data, "user_id string, rank int, artist string, playcount bigint")
     a = [tuple(r) for r in I.frequent_itemsets(df, "artist", 2, 40).collect()]
     assert a == [tuple(r) for r in I.frequent_itemsets(df, "artist", 2, 40, prune=False).collect()]
-    assert I._masks(I.baskets(df), I.baskets(df).select("item").distinct().withColumn(
-        "block", F.pmod(F.xxhash64("item"), F.lit(8))).withColumn("bit", F.lit(0))).filter("user_id = 'hot'").count() == 8
+    ids = I.baskets(df).select("item").distinct().withColumn("id", F.xxhash64("item").bitwiseAND(F.lit((1 << 60) - 1)))
+    slices = I._rest_rows(I.baskets(df), ids, 2).filter(F.size("items") == 600)
+    assert sorted(r.start for r in slices.collect()) == [0, I._SLICE, 2 * I._SLICE]
+    assert slices.select(F.spark_partition_id().alias("task")).distinct().count() > 1
+
+
+@pytest.mark.parametrize("head", [3, 5, 128])
+def test_rows_without_a_user_are_one_basket(spark, head):
+    rnd = random.Random(head)
+    data = [(rnd.choice([None, None, *[f"u{u}" for u in range(30)]]), 1, f"i{rnd.randrange(12):02d}", 1) for _ in range(220)]
+    data += [(None, 1, c, 1) for c in "ABC"] + [("u1", 1, c, 1) for c in "AB"] + [("u2", 1, c, 1) for c in "ABC"]
+    df = spark.createDataFrame(data, "user_id string, rank int, artist string, playcount bigint")
+    held = defaultdict(set)
+    for user, _, artist, _ in data:
+        held[user].add(artist)
+    for size, k in ((2, 30), (3, 40)):
+        counts = Counter(t for items in held.values() for t in combinations(sorted(items), size))
+        want = sorted(((*t, n) for t, n in counts.items()), key=lambda r: (-r[-1], r[:-1]))[:k]
+        assert [tuple(r) for r in I.frequent_itemsets(df, "artist", size, k, head=head).collect()] == want
+        assert [tuple(r) for r in I.frequent_itemsets(df, "artist", size, k, prune=False).collect()] == want
+
+
+@pytest.mark.parametrize("first_pairs", [0, 3, 2000])
+def test_triples_of_leading_pairs_are_counted_once(spark, first_pairs, monkeypatch):
+    monkeypatch.setattr(I, "FIRST_PAIRS", first_pairs)
+    rnd = random.Random(21)
+    data = [(f"u{u}", 1, f"i{int(rnd.paretovariate(0.6)) % 40:02d}", 1) for u in range(120) for _ in range(12)]
+    df = spark.createDataFrame(data, "user_id string, rank int, artist string, playcount bigint")
+    a = [tuple(r) for r in I.frequent_itemsets(df, "artist", 3, 25, head=4).collect()]
+    assert a == [tuple(r) for r in I.frequent_itemsets(df, "artist", 3, 25, prune=False).collect()]
 
 
 def test_range_positions_keep_large_ids_and_nulls(spark):
