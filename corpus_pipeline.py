@@ -2,7 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir), works on all its predecessor kept and
 returns what stays; all but the last return the columns of ``documents``.
-``run`` writes every stage as Parquet to the shared folder and reads it again.
+``run`` writes every stage as Parquet to the shared folder and reads it again;
+a stage and its intermediate tables go once the next one is written, so only
+the last stage's table is left.
+
+Defined cases: documents with a null text count as empty texts, repeated rows
+(same id, same text) become one in the second stage, null ids are never near
+duplicates, extra columns are carried up to the last stage, whatever their
+names, and an empty table gives an empty result.  Long texts are read whole.
 """
 
 from __future__ import annotations
@@ -12,6 +19,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from rankwise.functions.materialize import drop_folder, workspace
 from rankwise.llm import bpe, exact_dedup, mixing, quality_gam, shingle_join
 from rankwise.llm.queries import VOCABULARY
 from rankwise.llm.tables import scan
@@ -52,9 +60,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows, one per copy that the mix takes."""
-    docs = scan(spark, sf_dir, "documents")
+    docs, before = scan(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = checkpoint_path(spark, f"rankwise-pipeline-{name.replace(' ', '-')}-{uuid.uuid4().hex}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with workspace(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before is not None:
+            drop_folder(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
