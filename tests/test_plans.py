@@ -50,6 +50,13 @@ def test_python_only_in_itemset_kernel(plans):
     assert users <= {n for n in plans if n.startswith(("q11_", "q12_"))}
 
 
+def test_itemset_plans_start_from_written_tables(spark):
+    """Baskets are derived once: no later step scans the purchase lines again."""
+    for name in ("q11_artist_pairs", "q11_album_pairs", "q12_artist_triples", "q12_null_users"):
+        files = E.queries()[name](spark, SF).inputFiles()
+        assert files and not any("lineitem" in f or "orders" in f for f in files), name
+
+
 def test_scans_read_only_needed_columns(plans):
     for name, p in plans.items():
         for schema in re.findall(r"ReadSchema: struct<([^>]*)>", p):
