@@ -32,8 +32,9 @@ hash each, grouped by that hash with a map-side sum.
 
 Defined cases: a null text is empty; shorter texts lose nothing.  Null ids
 come after all others.  Rows with the same id and text are copies of each
-other for ``keep="none"``, and one document for ``keep="first"``.  Extra
-columns are not carried.
+other for ``keep="none"``, and one document for ``keep="first"``.  A very
+long text is cut into chunks that share their windows.  An empty table gives
+an empty result; extra columns are not carried.
 """
 
 from __future__ import annotations
@@ -51,6 +52,8 @@ from rankwise.llm.blocks import blocks, covered
 from rankwise.llm.hashing import gram_hashes, prefix_sums
 from rankwise.llm.tables import pick
 
+#: columns that name a row
+KEY = ["unnamed", "id", "dk"]
 #: bytes of windows looked at together; places in a chunk fit the low bits of a key
 _PLACE_BITS = 21
 _CHUNK = (1 << _PLACE_BITS) - 1
@@ -85,7 +88,7 @@ def segments(data: np.ndarray, length: int, gram: int, valid: np.ndarray | None
 
 
 def _segment_rows(batch: pa.RecordBatch, length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """anchor, seg, id, dk, start, n, off of every segment of a batch of (id, dk, text)."""
+    """anchor, seg, KEY, start, n, off of every segment of a batch of (KEY, text)."""
     for row, stop, data, offsets in blocks(batch.column("text"), _CHUNK // 2):
         for c0 in range(0, max(1, len(data) - length + 1), _CHUNK - length):
             # a longer single row is looked at in chunks that overlap by a window
@@ -106,9 +109,9 @@ def _segment_rows(batch: pa.RecordBatch, length: int, gram: int) -> Iterator[pa.
             owner = np.searchsorted(offsets, first + c0, side="right") - 1
             rows = pa.array(owner + row)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor), pa.array(seg), batch.column("id").take(rows), batch.column("dk").take(rows),
+                [pa.array(anchor), pa.array(seg), *[batch.column(c).take(rows) for c in KEY],
                  pa.array(first + c0 - offsets[owner]), pa.array(count.astype(np.int32)), pa.array(off.astype(np.int32))],
-                ["anchor", "seg", "id", "dk", "start", "n", "off"])
+                ["anchor", "seg", *KEY, "start", "n", "off"])
 
 
 def matched(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -149,7 +152,7 @@ def _runs(flags: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _match_groups(length: int, keep: str, block_bytes: int):
-    """Task body over rows (anchor, id, dk, start, n, copies, bytes) sorted by anchor, id, dk, start."""
+    """Task body over rows (anchor, KEY, start, n, copies, bytes) sorted by anchor, KEY, start."""
     def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         held: list[pa.RecordBatch] = []
         size = 0
@@ -187,54 +190,63 @@ def _match_groups(length: int, keep: str, block_bytes: int):
             rows = pa.array(owner)
             begin = table.column("start").to_numpy()[owner] + within[first]
             yield pa.RecordBatch.from_arrays(
-                [table.column("id").combine_chunks().take(rows), table.column("dk").combine_chunks().take(rows),
-                 pa.array(begin), pa.array(count.astype(np.int32))], ["id", "dk", "start", "n"])
+                [*[table.column(c).combine_chunks().take(rows) for c in KEY],
+                 pa.array(begin), pa.array(count.astype(np.int32))], [*KEY, "start", "n"])
 
     return run
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, id and dk (a key of the row that is never null), text (never null)."""
+    """doc_id, KEY (never null), text (never null).
+
+    A row is known by its id and a 64-bit hash of its text; rows without an
+    id, which may be very many, by two such hashes, and come after all others.
+    """
     slim = pick(docs, doc_id=id_col, text=text_col)
-    last = F.lit((1 << 63) - 1) if slim.schema["doc_id"].dataType.typeName() in ("long", "integer") else F.lit("￿")
-    return slim.select("doc_id", F.coalesce("doc_id", last).alias("id"),
-                       F.hash("text").alias("dk"), F.coalesce("text", F.lit("")).alias("text"))
+    whole = slim.schema["doc_id"].dataType.typeName() in ("long", "integer", "short", "byte")
+    kind = "bigint" if whole else "string"
+    unnamed = F.col("doc_id").isNull()
+    return slim.withColumn("text", F.coalesce("text", F.lit(""))).select(
+        "doc_id", unnamed.alias("unnamed"),
+        F.when(unnamed, F.xxhash64(F.lit(1), "text").cast(kind)).otherwise(F.col("doc_id").cast(kind)).alias("id"),
+        F.xxhash64("text").alias("dk"), "text")
 
 
 def spans(rows: DataFrame, length: int, gram: int, keep: str, max_group: int, block_bytes: int = 4 << 20) -> DataFrame:
-    """id, dk, start, n: the runs of n windows from start on that are to go."""
+    """KEY, start, n: the runs of n windows from start on that are to go."""
     kind = rows.schema["id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from _segment_rows(batch, length, gram)
 
-    found = rows.select("id", "dk", "text").mapInArrow(
-        cut, f"anchor long, seg long, id {kind}, dk int, start long, n int, off int")
-    repeated = (found.groupBy("anchor").agg(F.count(F.lit(1)).alias("all"), F.min("seg").alias("lo"), F.max("seg").alias("hi"))
-                .filter("all >= 2").select("anchor", (F.col("lo") != F.col("hi")).alias("varied")))
-    shared = materialize(found.join(repeated, "anchor"), "suffix-segments")
-    place = F.struct("id", "dk", "start", "n", "off")
+    known = f"unnamed boolean, id {kind}, dk long"
+    found = rows.select(*KEY, "text").mapInArrow(cut, f"anchor long, seg long, {known}, start long, n int, off int")
+    # written first, so that the join of a hot anchor has two plain exchanges and can be split
+    repeated = materialize(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("all"), F.min("seg").alias("lo"), F.max("seg").alias("hi"))
+                .filter("all >= 2").select("anchor", (F.col("lo") != F.col("hi")).alias("varied")), "suffix-anchors")
+    shared = materialize(found.join(repeated.hint("merge"), "anchor"), "suffix-segments")
+    place = F.struct(*KEY, "start", "n", "off")
     distinct = materialize(shared.groupBy("anchor", "seg", "varied").agg(F.count(F.lit(1)).alias("copies"),
                                                                         F.min(place).alias("rep")), "suffix-distinct")
     # windows of segments that are copies of each other
     copied = shared.join(distinct.filter("copies > 1").select("anchor", "seg", "rep"), ["anchor", "seg"])
     if keep == "first":
         copied = copied.filter(place != F.col("rep"))
-    copied = copied.select("id", "dk", "start", "n")
+    copied = copied.select(*KEY, "start", "n")
     # the bytes of the distinct segments of varied anchors, fetched once per document
     varied = distinct.filter("varied").select("anchor", "copies", "rep.*")
     crowd = materialize(varied.groupBy("anchor").agg(F.count(F.lit(1)).alias("group")).filter(F.col("group") > max_group),
                         "suffix-crowds")
     wanted = (varied.join(crowd.withColumn("crowded", F.lit(True)), "anchor", "left")
-              .groupBy("id", "dk").agg(F.collect_list(F.struct(
+              .groupBy(*KEY).agg(F.collect_list(F.struct(
                   "anchor", "start", "n", F.col("copies").cast("long").alias("copies"),
                   F.coalesce("crowded", F.lit(False)).alias("crowded"))).alias("parts")))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["anchor", "start", "n", "copies", "crowded"]
         for batch in batches:
-            ids, dks, columns, raw = [], [], {c: [] for c in names}, []
+            ids, columns, raw = [], {c: [] for c in names}, []
             for i, (text, parts) in enumerate(zip(batch.column("text").to_pylist(), batch.column("parts").to_pylist())):
                 text = text.encode()
                 for part in parts:
@@ -245,28 +257,28 @@ def spans(rows: DataFrame, length: int, gram: int, keep: str, max_group: int, bl
             rows_ = pa.array(ids, pa.int64())
             types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(rows_), batch.column("dk").take(rows_),
+                [*[batch.column(c).take(rows_) for c in KEY],
                  *[pa.array(columns[c], t) for c, t in zip(names, types)], pa.array(raw, pa.binary())],
-                ["id", "dk", *names, "bytes"])
+                [*KEY, *names, "bytes"])
 
-    texts = rows.select("id", "dk", "text").join(wanted, ["id", "dk"]).select("id", "dk", "text", "parts").mapInArrow(
-        fetch, f"id {kind}, dk int, anchor long, start long, n int, copies long, crowded boolean, bytes binary")
-    out = f"id {kind}, dk int, start long, n int"
+    texts = rows.select(*KEY, "text").join(wanted, KEY).select(*KEY, "text", "parts").mapInArrow(
+        fetch, f"{known}, anchor long, start long, n int, copies long, crowded boolean, bytes binary")
+    out = f"{known}, start long, n int"
     if crowd.isEmpty():
         plain, compared = texts, None
     else:
-        texts = materialize(texts.dropDuplicates(["id", "dk", "start", "n"]), "suffix-texts")
+        texts = materialize(texts.dropDuplicates([*KEY, "start", "n"]), "suffix-texts")
         plain = texts.filter("not crowded")
-        compared = _by_hash(texts.filter("crowded"), length, keep, kind)
-    grouped = (plain.select("anchor", "id", "dk", "start", "n", "copies", "bytes")
-               .dropDuplicates(["anchor", "id", "dk", "start"])     # rows of one id and text come twice
-               .repartition("anchor").sortWithinPartitions("anchor", "id", "dk", "start")
+        compared = _by_hash(texts.filter("crowded"), length, keep, known)
+    grouped = (plain.select("anchor", *KEY, "start", "n", "copies", "bytes")
+               .dropDuplicates(["anchor", *KEY, "start"])     # rows of one id and text come twice
+               .repartition("anchor").sortWithinPartitions("anchor", *KEY, "start")
                .mapInArrow(_match_groups(length, keep, block_bytes), out))
     result = copied.unionByName(grouped)
     return result.unionByName(compared) if compared is not None else result
 
 
-def _by_hash(texts: DataFrame, length: int, keep: str, kind: str) -> DataFrame:
+def _by_hash(texts: DataFrame, length: int, keep: str, known: str) -> DataFrame:
     """The same answer for crowded anchors: one 128-bit hash per window, summed by hash."""
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -274,25 +286,25 @@ def _by_hash(texts: DataFrame, length: int, keep: str, kind: str) -> DataFrame:
                 raw, n = batch.column("bytes")[i].as_py(), batch.column("n")[i].as_py()
                 at = pa.array(np.full(n, i))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(at), batch.column("dk").take(at), batch.column("copies").take(at),
+                    [*[batch.column(c).take(at) for c in KEY], batch.column("copies").take(at),
                      pa.array(batch.column("start")[i].as_py() + np.arange(n)),
                      pa.array([xxhash.xxh3_128_digest(raw[k:k + length]) for k in range(n)], pa.binary())],
-                    ["id", "dk", "copies", "start", "h"])
+                    [*KEY, "copies", "start", "h"])
 
-    windows = texts.select("id", "dk", "start", "n", "copies", "bytes").mapInArrow(
-        hashed, f"id {kind}, dk int, copies long, start long, h binary")
-    place = F.struct("id", "dk", "start")
+    windows = texts.select(*KEY, "start", "n", "copies", "bytes").mapInArrow(
+        hashed, f"{known}, copies long, start long, h binary")
+    place = F.struct(*KEY, "start")
     counts = (windows.groupBy("h").agg(F.count(F.lit(1)).alias("entries"), F.min(place).alias("rep"))
               .filter("entries > 1"))
     hits = windows.join(counts, "h").filter(place != F.col("rep") if keep == "first" else F.col("copies") == 1)
-    return hits.select("id", "dk", "start", F.lit(1).alias("n"))
+    return hits.select(*KEY, "start", F.lit(1).alias("n"))
 
 
 def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = 32, keep: str = "first", max_group: int = 20_000,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes): one row per input row."""
     rows = keyed(docs, id_col, text_col)
-    gone = spans(rows, length, min(gram, length), keep, max_group).groupBy("id", "dk").agg(
+    gone = spans(rows, length, min(gram, length), keep, max_group).groupBy(*KEY).agg(
         F.collect_list(F.struct("start", "n")).alias("gone"))
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
 
@@ -317,8 +329,6 @@ def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = 32, keep: str =
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     # the id itself is found again from its key, so that the text's exchange is the one used above
-    joined = rows.select("id", "dk", "text").join(gone, ["id", "dk"], "left").select("id", "text", "gone")
-    last = rows.select("id").schema["id"].dataType
-    null_key = F.lit((1 << 63) - 1) if last.typeName() == "long" else F.lit("￿")
-    return joined.select(F.nullif("id", null_key).cast(types["doc_id"]).alias("doc_id"), "text", "gone").mapInArrow(
+    joined = rows.select(*KEY, "text").join(gone, KEY, "left")
+    return joined.select(F.when(~F.col("unnamed"), F.col("id")).cast(types["doc_id"]).alias("doc_id"), "text", "gone").mapInArrow(
         strip, f"doc_id {types['doc_id']}, n_bytes long, n_removed long, n_spans long, kept binary")

@@ -47,7 +47,8 @@ def test_suffix_dedup(spark, keep, length, gram, crowd):
 def test_windows_of_a_long_row_are_each_seen_once(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "_CHUNK", 200)
     text = "".join(random.Random(1).choice("ab") for _ in range(3000))
-    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2], pa.int32()), pa.array([text])], ["id", "dk", "text"])
+    batch = pa.RecordBatch.from_arrays([pa.array([False]), pa.array([1]), pa.array([2]), pa.array([text])],
+                                       [*suffix_dedup.KEY, "text"])
     rows = pa.Table.from_batches(list(suffix_dedup._segment_rows(batch, 20, 6))).to_pylist()
     assert sorted(r["start"] + k for r in rows for k in range(r["n"])) == list(range(3000 - 20 + 1))
 
@@ -56,7 +57,8 @@ def test_windows_of_a_long_row_are_each_seen_once(monkeypatch):
 def test_windows_of_a_row_that_ends_with_a_chunk_are_each_seen_once(monkeypatch, n):
     monkeypatch.setattr(suffix_dedup, "_CHUNK", 200)
     text = "".join(random.Random(n).choice("ab") for _ in range(n))
-    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2], pa.int32()), pa.array([text])], ["id", "dk", "text"])
+    batch = pa.RecordBatch.from_arrays([pa.array([False]), pa.array([1]), pa.array([2]), pa.array([text])],
+                                       [*suffix_dedup.KEY, "text"])
     rows = pa.Table.from_batches(list(suffix_dedup._segment_rows(batch, 20, 6))).to_pylist()
     assert sorted(r["start"] + k for r in rows for k in range(r["n"])) == list(range(n - 20 + 1))
 
@@ -125,6 +127,31 @@ def test_line_dedup(spark, edits, bucket):
     assert null_last(got) == null_last(naive_lines(rows, edits, 8))
 
 
+def texts_of_equal_short_hash(spark, ending):
+    """Two texts that a 32-bit hash takes for one."""
+    texts = spark.range(300_000).select(F.concat(F.lit("this document has the number "), F.col("id").cast("string"),
+                                                 F.lit(ending)).alias("text"))
+    found = texts.groupBy(F.hash("text")).agg(F.collect_list("text").alias("texts")).filter("size(texts) > 1").first()
+    return found["texts"][:2]
+
+
+def test_rows_without_id_are_told_apart_by_their_whole_text(spark):
+    shared = "a passage that both of the documents have in common, word for word"
+    one, two = texts_of_equal_short_hash(spark, "\n" + shared)
+    top = (1 << 63) - 1     # an id like any other
+    rows = [(None, one, "a"), (None, two, "a"), (top, "the text of the last possible id", "a"), (5, None, "a")]
+    got = line_dedup.line_dedup(frame(spark, rows), 1, 20).collect()
+    assert sorted(r.n_removed for r in got) == [0, 0, 0, 1]
+    assert sorted(len(r.text.split("\n")) for r in got if r.doc_id is None) == [1, 2]
+    assert sorted((r.doc_id for r in got if r.doc_id is not None)) == [5, top]
+    for keep in ("first", "none"):
+        got = suffix_dedup.suffix_dedup(frame(spark, rows), 40, 8, keep).collect()
+        size = len(shared) + (0 if one[-len(shared) - 2] != two[-len(shared) - 2] else 1) + 1
+        lost = sorted(r.n_removed for r in got if r.doc_id is None)
+        assert (lost[0] == 0) == (keep == "first") and size <= lost[1] < size + 29
+        assert {r.doc_id: r.n_removed for r in got if r.doc_id is not None} == {5: 0, top: 0}
+
+
 def pairs_compared(monkeypatch):
     """How many pairs each later run of line_dedup verifies."""
     told, write = [], line_dedup.materialize
@@ -206,6 +233,23 @@ def test_shingle_join(spark, small, depth):
     assert null_last(tuple(r) for r in out.collect()) == null_last(naive_components(rows))
 
 
+@pytest.mark.parametrize("percent,small", [(30, 1), (50, 1), (50, 64)])
+def test_shingle_join_loses_no_link_of_small_sets(spark, percent, small):
+    """Sets that link by one common token, in buckets that are open for combinations of more."""
+    rnd = random.Random(8)
+    rows = [(i, f"a b c d e x{i}", "a") for i in range(1, 101)] + [(500, "a b c d e", "a")]
+    rows += [(1000 + i, " ".join(rnd.choice("pq") for _ in range(rnd.randrange(5, 9))) + rnd.choice([" y", " z", f" {i}"]), "a")
+             for i in range(70)]
+    got = [tuple(r) for r in shingle_join.shingle_join(frame(spark, rows), 5, percent, small).collect()]
+    assert null_last(got) == null_last(naive_components(rows, percent))
+
+
+def test_shingle_join_takes_whole_number_ids_only(spark):
+    with pytest.raises(TypeError, match="whole number"):
+        shingle_join.shingle_join(spark.createDataFrame([("x", "a b c")], "doc_id string, text string"))
+    assert shingle_join.shingle_join(frame(spark, [])).collect() == []
+
+
 def test_prefix_index_streams_over_batches():
     rnd = random.Random(1)
     rows = sorted({(rnd.randrange(30), rnd.randrange(40)) for _ in range(200)} | {(99, i) for i in range(50)})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 from collections import Counter
 
@@ -15,6 +16,7 @@ from test_llm_text_ops import naive_exact, naive_targets
 import corpus_pipeline
 from rankwise.llm import bpe, quality_gam, queries
 from rankwise.llm.tables import scan
+from rankwise.session import ensure_checkpoint_dir
 
 
 @pytest.fixture(scope="module")
@@ -73,6 +75,27 @@ def test_stages(spark, folder, tmp_path):
         docs = out
 
 
+def test_run_leaves_only_the_last_stage(spark, folder):
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(base))
+    out = corpus_pipeline.run(spark, folder)
+    left = set(os.listdir(base)) - before
+    assert len(left) == 1 and "byte-level-BPE" in left.pop()
+    assert out.count() > 0      # and it can be read
+
+
+def test_empty_tables(spark, tmp_path):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    for name, query in queries.queries().items():
+        out = query(spark, str(tmp_path))
+        assert set(CONTRACT[name]) <= set(out.columns) and out.collect() == [], name
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def _beside(scored, rows):
     """Each scored row with a text and source of its id (rows of one id have one text here)."""
     of = {}
@@ -92,6 +115,9 @@ CONTRACT = {
     "op8_html_wrappers": ["page_id", "url", "text", "n_chars"],
     "op9_exact_dedup": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
     "op10_shingle_join": ["doc_id", "n_shingles", "component_id"],
+    "op11_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+    "op12_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
+    "op13_gated_lm": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
 }
 
 
