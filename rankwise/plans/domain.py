@@ -102,6 +102,11 @@ class Views:
         return artists.groupBy("user_id").agg(F.count(F.lit(1)).alias("num_artistas"),
                                               F.sum("_t").alias("num_canciones"), F.sum("_a").alias("num_albums"))
 
+    def item_slices(self, slices: int) -> DataFrame:
+        """slice (of the users), artist, track, album: one row per purchase line, in one pass."""
+        return _plays(self._t).select(F.pmod(F.xxhash64("user_id"), F.lit(slices)).alias("slice"), F.col("p_brand").alias("artist"),
+                                      F.col("p_partkey").alias("track"), "album")
+
     def unique_items(self) -> DataFrame:
         """#8 in one pass over the purchase lines (NULL items not counted):
         the lines are first reduced, map side, to the distinct parts."""
@@ -233,6 +238,13 @@ class ListViews:
         return list_lengths({"num_artistas": self.artists, "num_canciones": self.tracks,
                              "num_albums": self.albums})
 
+    def item_slices(self, slices: int) -> DataFrame:
+        """slice (of the users), artist, track, album: the rows of the three lists."""
+        part = F.pmod(F.xxhash64("user_id"), F.lit(slices)).alias("slice")
+        artists, tracks, albums = (df.select(part, c) for df, c in ((self.artists, "artist"), (self.tracks, "track"),
+                                                                    (self.albums, "album")))
+        return artists.unionByName(tracks, allowMissingColumns=True).unionByName(albums, allowMissingColumns=True)
+
     def unique_items(self) -> DataFrame:
         from rankwise.operators.distribution import unique_counts
         return unique_counts(self.artists, self.tracks, self.albums)

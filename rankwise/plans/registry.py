@@ -11,14 +11,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rankwise.functions.columns import round_doubles
 from rankwise.functions.contracts import conform
+from rankwise.functions.materialize import materialize
 from rankwise.operators import distribution as D
 from rankwise.operators import itemsets as I
 from rankwise.operators import lists as L
 from rankwise.operators import popularity as P
 from rankwise.operators import quality as Q
+from rankwise.operators import sketches as S
 from rankwise.plans.domain import Views
 from rankwise.sources.ingest import ingested
 from rankwise.sources.sinks import preview_frame
@@ -40,6 +43,19 @@ MIN_SCROBBLES = 1
 PREVIEW_ROWS = 100
 
 
+SKETCH_SLICES = 16
+
+
+def unique_by_sketch(v: Views) -> DataFrame:
+    """#8 beside its estimate from stored sketches, one per slice of the users, merged."""
+    names = {"artist": "artistas", "track": "canciones", "album": "albums"}
+    stored = materialize(S.distinct_sketches(v.item_slices(SKETCH_SLICES), list(names), "slice"), "item-sketches")
+    exact = {"artist": "artistas_unicos", "track": "canciones_unicas", "album": "albums_unicos"}
+    both = v.unique_items().crossJoin(S.distinct_estimates(stored, names))     # one row each
+    near = [(F.abs(F.col(names[c]) - F.col(exact[c])) <= S.ERROR * F.col(exact[c])).alias(f"{names[c]}_cerca") for c in names]
+    return both.select(*exact.values(), *near)
+
+
 ANALYSES: dict[str, Analysis] = {
     "q01_top_artists": lambda v: P.top_items(v.artists, "artist", TOP_K),
     "q02_top_tracks": lambda v: P.top_items(v.track_rows, "track", TOP_K),
@@ -63,6 +79,7 @@ ANALYSES: dict[str, Analysis] = {
     "q07_user_albums": lambda v: D.items_per_user(v.albums, "num_albums"),
     "q07_stats": lambda v: D.list_length_stats(v.list_lengths()),
     "q08_unique_counts": lambda v: v.unique_items(),
+    "q08_unique_sketch": unique_by_sketch,
     "q09_top3_duplicates": lambda v: L.duplicate_top_lists(v.artists, "artist", HEAD_LIST),
     "q09_dup_count": lambda v: L.duplicate_list_count(v.artists, "artist", HEAD_LIST),
     "q10_concentrated_users": lambda v: L.concentrated_users(v.track_head(CONCENTRATION_HEAD), CONCENTRATION_HEAD),

@@ -15,6 +15,7 @@ from rankwise.operators import distribution as D
 from rankwise.operators import itemsets as I
 from rankwise.operators import lists as L
 from rankwise.operators import popularity as P
+from rankwise.operators import sketches as S
 
 
 def _random_lists(spark, seed, users=40, items=12, hot_user_rows=0, null_every=0):
@@ -256,3 +257,16 @@ def test_exact_quantiles(spark, n):
     df = df.unionAll(df.limit(0)).unionAll(spark.sql("SELECT CAST(NULL AS BIGINT)"))
     got = D.exact_quantiles(df, "x", (0.01, 0.5, 0.99)).first()
     assert [got[0], got[1], got[2]] == [float(max(1, -(-int(n * q * 100) // 10000)) - 1) for q in (1, 50, 99)]
+
+
+def test_distinct_counts_merge_from_stored_sketches(spark):
+    """Two halves sketched apart give the count of the whole, within the stated error."""
+    df = spark.range(60_000).select((F.col("id") % 2).alias("half"), (F.col("id") % 20_011).alias("many"),
+                                    F.when(F.col("id") % 7 > 0, F.concat(F.lit("i"), F.col("id") % 7)).alias("few"),
+                                    F.lit(None).cast("string").alias("none"))
+    halves = [S.distinct_sketches(df.filter(F.col("half") == h), ["many", "few", "none"], "half") for h in (0, 1)]
+    r = S.distinct_estimates(halves[0].unionByName(halves[1]), {"many": "m", "few": "f", "none": "n"}).first()
+    assert abs(r.m - 20_011) <= S.ERROR * 20_011 and (r.f, r.n) == (6, 0)
+    # a slice alone, and no slice at all
+    assert S.distinct_estimates(halves[0], {"few": "f"}).first().f == 6
+    assert S.distinct_estimates(halves[0].filter("false"), {"many": "m"}).first().m == 0
