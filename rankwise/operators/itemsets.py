@@ -18,12 +18,20 @@ once, and every later step is planned from these tables:
    sorted array of numbers; a long one is cut into slices of its first item,
    which go to different tasks.
 3. A task adds up the pairs of its slices whose rarer item is outside the
-   head; Spark sums these counts by pair.
+   head, as packed numbers; each group of rarer items is summed up in one
+   task, from the sorted parts of all others.  Only pairs that reach L become
+   rows.
 4. Triples are counted the same way, from pairs that reach L.  These pairs
    are known to the tasks by a bit table of fixed size: a wrong bit makes a
    triple counted in vain, never a wrong count, as a pair is left out for all
    baskets or for none.  The triples of the most frequent pairs come first
    and raise L before all others are counted.
+5. The longest baskets (thousands of items, whose tuples grow with the square
+   or cube), up to L of them, are not expanded: each adds one to a tuple at
+   most.  The numbers of the items say which of them hold an item, and that is
+   added to the counts of the others' tuples.  A tuple that no other basket
+   holds reaches L only if all L baskets hold it; of those the first k by
+   their items are enough.
 
 ``min_support`` leaves out tuples of fewer users.
 """
@@ -47,7 +55,11 @@ _BITS = 64
 _EXACT_ROWS = 1 << 20      # rows per float32 product: its sums stay far below 2**24
 _HEAD_ID = 1 << 62         # ids from here on are the head's
 _SLICE = 256               # first items of a slice
+_STEP = 1 << 18            # tuples made at a time
 _HELD = 1 << 21            # tuples a task holds before it adds them up
+_LONG = 1 << 12            # items of a long basket, more than
+_ASIDE = 8                 # long baskets set aside, at most
+_ASIDE_K = 1_000           # best tuples asked for with a basket more aside, at most
 _TABLE_BITS = 26           # bits of a pair table: 8 MB
 
 
@@ -126,31 +138,6 @@ def _head_counts(masks: DataFrame, top: DataFrame, size: int) -> DataFrame:
 
 # -- the rest: sorted arrays of item numbers ------------------------------------
 
-def _added(tuples: list[np.ndarray], rest: int) -> pa.RecordBatch:
-    """Distinct columns of the tuples with their number; ``rest``: items outside the head."""
-    table = np.concatenate(tuples, axis=1)
-    base = rest + HEAD_ITEMS
-    if base ** len(table) < 1 << 63:    # one number per tuple
-        key = np.zeros(table.shape[1], dtype=np.int64)
-        for column in table:
-            key = key * base + np.where(column >= _HEAD_ID, column - _HEAD_ID + rest, column)
-        key, counts = np.unique(key, return_counts=True)
-        parts = []
-        for _ in table:
-            key, part = np.divmod(key, base)
-            parts.append(np.where(part >= rest, part - rest + _HEAD_ID, part))
-        return pa.RecordBatch.from_arrays([*[pa.array(c) for c in parts[::-1]], pa.array(counts)],
-                                          [*"xyz"[:len(table)], "cnt"])
-    order = np.lexsort(table[::-1])
-    table = table[:, order]
-    new = np.ones(table.shape[1], dtype=bool)
-    new[1:] = (table[:, 1:] != table[:, :-1]).any(axis=0)
-    first = np.flatnonzero(new)
-    counts = np.diff(np.append(first, table.shape[1]))
-    return pa.RecordBatch.from_arrays([*[pa.array(c[first]) for c in table], pa.array(counts)],
-                                      [*"xyz"[:len(table)], "cnt"])
-
-
 def _bit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """The place of a pair in a bit table."""
     x, y = np.atleast_1d(x), np.atleast_1d(y)
@@ -163,72 +150,229 @@ def _has(table: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 != 0
 
 
-def _first_items(items: np.ndarray, start: int) -> range:
-    """Places of the first items of a slice: those outside the head."""
-    return range(start, min(start + _SLICE, int(np.searchsorted(items, _HEAD_ID))))
+def _chunks(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Cuts of a list whose sizes add up to about ``most`` each, one at least."""
+    ends, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right"))
+        yield slice(at, max(to, at + 1))
+        at = max(to, at + 1)
+
 
+def _spread(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each index as often as its size says, and the number of the repeat."""
+    index = np.repeat(np.arange(len(sizes)), sizes)
+    return index, np.arange(len(index)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int]]:
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """values: the baskets of a batch end to end; places of the slices' first items, those outside the head,
+    and how many items of its basket come after each."""
     for batch in batches:
         column = batch.column("items")
         ends, values = column.offsets.to_numpy(), column.values.to_numpy()
-        for a, b, start in zip(ends[:-1], ends[1:], batch.column("start").to_pylist()):
-            yield values[a:b], start
-
-
-def pairs_of(items: np.ndarray, start: int) -> np.ndarray:
-    """(x, y) for each first item x of the slice and every later item y of the basket."""
-    firsts = _first_items(items, start)
-    n = len(items)
-    if not len(firsts):
-        return np.zeros((2, 0), dtype=np.int64)
-    repeats = n - 1 - np.arange(firsts.start, firsts.stop)
-    x = np.repeat(np.arange(firsts.start, firsts.stop), repeats)
-    y = np.arange(len(x)) - np.repeat(np.cumsum(repeats) - repeats, repeats) + x + 1
-    return np.stack([items[x], items[y]])
-
-
-def triples_of(items: np.ndarray, start: int, table: np.ndarray, first: np.ndarray | None) -> Iterator[np.ndarray]:
-    """(x, y, z), x of the slice, all of whose pairs have their bit in ``table``; with ``first``: those
-    with a pair (x, y) that has its bit there."""
-    for i in _first_items(items, start):
-        later = items[i + 1:]
-        later = later[_has(table, items[i], later)]
-        if len(later) < 2:
-            continue
+        start = ends[:-1] + batch.column("start").to_numpy()
+        which, at = _spread(np.minimum(start + _SLICE, ends[1:]) - start)
+        place = start[which] + at
+        after = ends[1:][which] - 1 - place
+        keep = (values[place] < _HEAD_ID) & (after > 0)
+        yield values, place[keep], after[keep]
+
+
+def pairs_of(values: np.ndarray, place: np.ndarray, after: np.ndarray) -> Iterator[np.ndarray]:
+    """(x, y) for each first item x and every later item y of its basket."""
+    for cut in _chunks(after, _STEP):
+        which, at = _spread(after[cut])
+        x = place[cut][which]
+        yield np.stack([values[x], values[x + 1 + at]])
+
+
+def triples_of(values: np.ndarray, place: np.ndarray, after: np.ndarray, table: np.ndarray,
+               first: np.ndarray | None) -> Iterator[np.ndarray]:
+    """(x, y, z), x a first item, all of whose pairs have their bit in ``table``; with ``first``: those
+    with a pair (x, y) or (x, z) that has its bit there."""
+    for cut in _chunks(after, _STEP):
+        which, at = _spread(after[cut])
+        y = values[place[cut][which] + 1 + at]
+        x = values[place[cut]][which]
+        known = np.flatnonzero(_has(table, x, y))
+        x, y, which = x[known], y[known], which[known]
+        end = np.searchsorted(which, which, side="right")       # of the rows of the same first item
         if first is None:
-            y, z = np.triu_indices(len(later), 1)
+            left, begin = np.arange(len(x)), np.arange(1, len(x) + 1)
         else:
-            lead = np.flatnonzero(_has(first, items[i], later))
-            y, z = np.repeat(lead, len(later)), np.tile(np.arange(len(later)), len(lead))
-            # a pair of leading items is found from each of them: it counts from the lower one
-            leads = np.zeros(len(later), dtype=bool)
-            leads[lead] = True
-            keep = (y < z) | ((z < y) & ~leads[z])
-            y, z = np.minimum(y[keep], z[keep]), np.maximum(y[keep], z[keep])
-        y, z = later[y], later[z]
-        both = _has(table, y, z)
-        if both.any():
-            yield np.stack([np.full(int(both.sum()), items[i]), y[both], z[both]])
-
-
-def _summed(rows: DataFrame, tuples, size: int, rest: int) -> DataFrame:
-    """x, y(, z), cnt of the tuples that ``tuples(items, start)`` gives for every slice."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for items, start in _slices(batches):
-            for part in tuples(items, start):
-                held.append(part)
-                n += part.shape[1]
+            leads = _has(first, x, y)
+            left = np.flatnonzero(leads)
+            begin = np.searchsorted(which, which[left], side="left")
+        for part in _chunks(end[left] - begin, _STEP):
+            of, nth = _spread(end[left][part] - begin[part])
+            i, j = left[part][of], begin[part][of] + nth
+            if first is not None:
+                # a pair of leading items is found from each of them: it counts from the lower one
+                keep = (i < j) | ((j < i) & ~leads[j])
+                i, j = np.minimum(i[keep], j[keep]), np.maximum(i[keep], j[keep])
+            both = np.flatnonzero(_has(table, y[i], y[j]))
+            if len(both):
+                yield np.stack([x[i[both]], y[i[both]], y[j[both]]])
+
+
+class _Packed:
+    """Tuples as one number each, dealt to groups by their first item.
+
+    The numbers of a group are a range: sorted numbers are sorted by group.
+    """
+
+    def __init__(self, size: int, rest: int, head: int, groups: int):
+        self.size, self.rest, self.base, self.groups = size, rest, rest + head, groups
+        self.span = -(-self.base // groups)
+
+    def fits(self) -> bool:
+        return self.span * self.groups * self.base ** (self.size - 1) < 1 << 63
+
+    def width(self) -> int:
+        return self.span * self.base ** (self.size - 1)
+
+    def keys(self, table: np.ndarray) -> np.ndarray:
+        table = np.where(table >= _HEAD_ID, table - _HEAD_ID + self.rest, table)
+        key = table[0] % self.groups * self.span + table[0] // self.groups
+        for column in table[1:]:
+            key = key * self.base + column
+        return key
+
+    def tuples(self, key: np.ndarray) -> list[np.ndarray]:
+        parts = []
+        for _ in range(self.size - 1):
+            key, part = np.divmod(key, self.base)
+            parts.append(part)
+        parts.append(key % self.span * self.groups + key // self.span)
+        return [np.where(p >= self.rest, p - self.rest + _HEAD_ID, p) for p in parts[::-1]]
+
+
+def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers, sorted, with their summed counts."""
+    key, count = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(count[order], first) if len(key) else count
+
+
+_GROUP_ROW = "g long, low long, steps binary, counts binary"
+
+
+def _group_rows(key: np.ndarray, count: np.ndarray, packed: _Packed) -> pa.RecordBatch:
+    """A row for each group: its lowest number, the steps between its numbers, their counts (none: all 1)."""
+    group = key // packed.width()
+    cuts = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(key))
+    steps, counts = [], []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        step, c = np.diff(key[a:b], prepend=key[a]), count[a:b]
+        steps.append((b"4" if step.max() < 1 << 32 else b"8") + step.astype(
+            np.uint32 if step.max() < 1 << 32 else np.int64).tobytes())
+        counts.append(b"" if (c == 1).all() else c.astype(np.int64).tobytes())
+    return pa.RecordBatch.from_arrays([pa.array(group[cuts[:-1]]), pa.array(key[cuts[:-1]]), pa.array(steps, pa.binary()),
+                                       pa.array(counts, pa.binary())], ["g", "low", "steps", "counts"])
+
+
+def _read_group_row(low: int, steps: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    step = np.frombuffer(steps, np.uint32 if steps[:1] == b"4" else np.int64, offset=1)
+    key = np.cumsum(step, dtype=np.int64) + low
+    return key, np.frombuffer(counts, np.int64) if counts else np.ones(len(key), np.int64)
+
+
+def _summed(rows: DataFrame, tuples, size: int, rest: int, head: int, groups: int, bits: int = 0,
+            least: int = 1, best: int | None = None) -> DataFrame:
+    """x, y(, z), cnt of the tuples that ``tuples`` gives for every batch, of ``least`` users or more.
+
+    A task adds up its tuples as packed numbers and sends each group of first
+    items its sorted part; a group is added up in one task, so no tuple is a
+    row before its count is known to reach ``least``.  The lowest ``bits``
+    bits of an item's number say which baskets set aside hold it.  With
+    ``best`` a group keeps what is as good as its ``best``-th tuple, ties
+    included: nothing else of it can be among that many of all groups.
+    """
+    names, packed = list("xyz"[:size]), _Packed(size, rest, head, groups)
+    schema = ", ".join(f"{c} long" for c in names) + ", cnt long"
+    if not packed.fits():
+        # too many items for one number: rows of the tuples
+        def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in _slices(batches):
+                for table in tuples(*batch):
+                    yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in table], pa.array(np.ones(table.shape[1], np.int64))],
+                                                     [*names, "cnt"])
+
+        sums = rows.mapInArrow(plain, schema).groupBy(*names).agg(F.sum("cnt").alias("cnt"))
+        both = F.lit((1 << bits) - 1)
+        for c in names:
+            both = both.bitwiseAND(F.col(c))
+        return sums.withColumn("cnt", F.col("cnt") + F.bit_count(both)).filter(F.col("cnt") >= least)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, sums = [], 0, (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+        def add() -> None:
+            nonlocal held, n, sums
+            key, count = np.unique(np.concatenate(held), return_counts=True)
+            sums = _merged([sums[0], key], [sums[1], count]) if len(sums[0]) else (key, count)
+            held, n = [], 0
+
+        for batch in _slices(batches):
+            for table in tuples(*batch):
+                held.append(packed.keys(table))
+                n += len(held[-1])
                 if n >= _HELD:
-                    yield _added(held, rest)
-                    held, n = [], 0
+                    add()
+                if len(sums[0]) >= _HELD // 2:
+                    yield _group_rows(*sums, packed)
+                    sums = (sums[0][:0], sums[1][:0])
         if n:
-            yield _added(held, rest)
+            add()
+        if len(sums[0]):
+            yield _group_rows(*sums, packed)
+
+    def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, now = [], [], None
+
+        def found() -> pa.RecordBatch:
+            key, count = _merged(keys, counts)
+            if bits:
+                parts = packed.tuples(key)
+                both = np.full(len(key), (1 << bits) - 1, np.int64)
+                for part in parts:
+                    both &= part
+                count = count + np.bitwise_count(both)
+            enough = least
+            if best is not None and len(count) > best:
+                enough = max(least, int(np.partition(count, len(count) - best)[len(count) - best]))
+            keep = count >= enough
+            return pa.RecordBatch.from_arrays([*[pa.array(c) for c in packed.tuples(key[keep])], pa.array(count[keep].astype(np.int64))],
+                                              [*names, "cnt"])
+
+        for batch in batches:
+            for g, low, steps, count in zip(*[batch.column(c) for c in ("g", "low", "steps", "counts")]):
+                if now != g.as_py() and keys:
+                    yield found()
+                    keys, counts = [], []
+                now = g.as_py()
+                for held, part in zip((keys, counts), _read_group_row(low.as_py(), steps.as_py(), count.as_py())):
+                    held.append(part)
+        if keys:
+            yield found()
+
+    parts = max(min(groups, _tasks(rows.sparkSession)), groups // 8)
+    return (rows.mapInArrow(send, _GROUP_ROW).repartition(parts, "g").sortWithinPartitions("g")
+            .mapInArrow(receive, schema))
+
+
+def _tasks(spark) -> int:
+    return max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
-    names = list("xyz"[:size])
-    return (rows.mapInArrow(run, ", ".join(f"{c} long" for c in names) + ", cnt long")
-            .groupBy(*names).agg(F.sum("cnt").alias("cnt")))
+
+def _groups(rows: DataFrame) -> int:
+    """Groups of about ``_HELD`` pairs each; odd, so that no bit of a number decides alone."""
+    n = F.size("items").cast("double")
+    pairs = rows.filter(F.col("start") == 0).agg(F.coalesce(F.sum(n * (n - 1) / 2), F.lit(0.0)).alias("n")).first()["n"]
+    return max(_tasks(rows.sparkSession), int(pairs) // _HELD) | 1
 
 
 def _bit_table(pairs: DataFrame) -> np.ndarray:
@@ -277,9 +421,7 @@ def _rest_rows(b: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     slices = items.filter(short).select("items", F.lit(0).alias("start")).unionByName(
         items.filter(~short).select("items", starts.alias("start")))
     # few bytes, much work: a fixed number of tasks, which is not coalesced by size
-    spark = b.sparkSession
-    tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return slices.repartition(tasks, "start", F.xxhash64("items"))
+    return slices.repartition(_tasks(b.sparkSession), "start", F.xxhash64("items"))
 
 
 def _named(counts: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -296,6 +438,41 @@ def _bound(counts: DataFrame, k: int, least: int) -> int:
     return max(least, row["cnt"]) if row["n"] >= k else least
 
 
+def _set_aside(b: DataFrame, least: int, k: int) -> list:
+    """Users (one may be NULL) of the longest baskets, no more than ``least``: a tuple in one of these
+    only is then below ``least``, or in all of them."""
+    most = min(_ASIDE, least if k <= _ASIDE_K else least - 1)
+    sizes = b.groupBy(USER).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > _LONG)
+    return [r[0] for r in sizes.orderBy(F.col("n").desc(), F.col(USER)).limit(most).select(USER).collect()]
+
+
+def _marks(b: DataFrame, aside: list) -> tuple[DataFrame, DataFrame]:
+    """(item, mark): a bit for each basket set aside that holds the item; and the other baskets."""
+    mark = F.lit(0).cast("long")
+    for n, user in enumerate(aside):
+        mark = F.when(F.col(USER).eqNullSafe(F.lit(user)), F.lit(1 << n).cast("long")).otherwise(mark)
+    marks = b.select("item", mark.alias("mark")).filter("mark > 0").groupBy("item").agg(F.bit_or("mark").alias("mark"))
+    return materialize(marks, "itemset-marks"), b.filter(mark == 0)
+
+
+def _common(marks: DataFrame, bits: int, size: int, k: int) -> DataFrame:
+    """The first ``k`` tuples, by their items, that all baskets set aside hold, counted there only.
+
+    They are made of the first k + size - 1 items.
+    """
+    items = marks.filter(F.col("mark") == (1 << bits) - 1).select("item").orderBy("item").limit(k + size - 1)
+    names, out = _names(size), None
+    for name in names:
+        right = items.select(F.col("item").alias(name))
+        out = right if out is None else out.join(F.broadcast(right), F.col(names[names.index(name) - 1]) < F.col(name))
+    return out.orderBy(*names).limit(k).withColumn("cnt", F.lit(bits).cast("long"))
+
+
+def _most(counts: DataFrame, size: int, bits: int) -> DataFrame:
+    """Of a tuple counted in the baskets set aside only and in all baskets, the latter."""
+    return counts.groupBy(*_names(size)).agg(F.max("cnt").alias("cnt")) if bits else counts
+
+
 def _expand(b: DataFrame, size: int) -> DataFrame:
     """The plain definition: every strictly increasing tuple of every basket, counted."""
     names = _names(size)
@@ -334,19 +511,33 @@ def frequent_itemsets(df: DataFrame, item: str = "artist", size: int = 2, k: int
     if len(best_items) < head or rest.isEmpty():
         return _best(first, size, k)
     ids, n_rest = _numbered(rest, top)
+    n_head = HEAD_ITEMS
+    aside = _set_aside(b, least, k)
+    bits = len(aside)
+    if bits:
+        marks, b = _marks(b, aside)
+        pure = _common(marks, bits, size, k) if bits >= least else None
+        # the lowest bits of a number: which baskets set aside hold the item
+        of_id = F.coalesce("mark", F.lit(0).cast("long")) + F.when(
+            F.col("id") < _HEAD_ID, F.shiftleft("id", bits)).otherwise(F.shiftleft(F.col("id") - _HEAD_ID, bits) + _HEAD_ID)
+        ids = materialize(ids.join(marks, "item", "left").select("item", of_id.alias("id")), "itemset-marked")
+        n_rest, n_head = n_rest << bits, n_head << bits
+        if pure is not None:
+            first = first.unionByName(pure)
     rows = _rest_rows(b, ids, size)
-    pairs = _summed(rows, lambda items, start: [pairs_of(items, start)], 2, n_rest).filter(F.col("cnt") >= least)
+    groups = _groups(rows)
+    pairs = _summed(rows, pairs_of, 2, n_rest, n_head, groups, bits, least, k if size == 2 else None)
     if size == 2:
-        return _best(first.unionByName(_named(pairs, ids, 2)), 2, k)
+        return _best(_most(first.unionByName(_named(pairs, ids, 2)), 2, bits), 2, k)
     pairs = materialize(pairs, "itemset-pairs")
     # head pairs are not told apart: their bits are all set
-    in_head = top.select((F.col("place") + _HEAD_ID).alias("x")).join(top.select((F.col("place") + _HEAD_ID).alias("y")),
-                                                                      F.col("x") < F.col("y"))
+    head_ids = ids.filter(F.col("id") >= _HEAD_ID)
+    in_head = head_ids.select(F.col("id").alias("x")).join(head_ids.select(F.col("id").alias("y")), F.col("x") < F.col("y"))
     table = _bit_table(pairs.select("x", "y").unionByName(in_head))
     leading = _bit_table(pairs.orderBy(F.col("cnt").desc(), "x", "y").limit(FIRST_PAIRS))
-    early = _summed(rows, lambda items, start: triples_of(items, start, table, leading), 3, n_rest)
+    early = _summed(rows, lambda *batch: triples_of(*batch, table, leading), 3, n_rest, n_head, groups, bits, least, k)
     raised = _bound(early.select("cnt").unionByName(counts.select("cnt")), k, least)
     if raised > least:
         table = _bit_table(pairs.filter(F.col("cnt") >= raised).select("x", "y").unionByName(in_head))
-    others = _summed(rows, lambda items, start: triples_of(items, start, table, None), 3, n_rest).filter(F.col("cnt") >= raised)
-    return _best(first.unionByName(_named(others, ids, 3)), 3, k)
+    others = _summed(rows, lambda *batch: triples_of(*batch, table, None), 3, n_rest, n_head, groups, bits, raised, k)
+    return _best(_most(first.unionByName(_named(others, ids, 3)), 3, bits), 3, k)
