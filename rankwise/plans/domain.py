@@ -43,6 +43,8 @@ from rankwise.sources.tables import Tables
 SCROBBLE_EVENT = "purchase"
 SCROBBLE_SINCE = "2024-01-25 00:00:00"
 
+LINES_PER_TASK = 1 << 18    # purchase lines that a task of the list lengths counts, about
+
 
 class Views:
     """The four ranked views, each built on first use (building a plan costs
@@ -94,8 +96,12 @@ class Views:
         lengths are counted level by level (track within album within artist;
         NULL items form groups, as in the views).  One line-sized shuffle on
         (user, artist) serves the three inner levels, a hot user is spread by
-        artist, and no line is copied per count."""
-        by_artist = _plays(self._t).select("user_id", "p_brand", "album", "p_partkey").repartition("user_id", "p_brand")
+        artist, and no line is copied per count.  The levels are counted in
+        one stage, with a table of groups each: its tasks are as many as the
+        lines ask for, so their memory does not grow with the input."""
+        spark = self._t.spark
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-self._t.lineitem.count() // LINES_PER_TASK))
+        by_artist = _plays(self._t).select("user_id", "p_brand", "album", "p_partkey").repartition(tasks, "user_id", "p_brand")
         tracks = by_artist.groupBy("user_id", "p_brand", "album", "p_partkey").agg(F.lit(1).alias("_one"))
         albums = tracks.groupBy("user_id", "p_brand", "album").agg(F.count(F.lit(1)).alias("_t"))
         artists = albums.groupBy("user_id", "p_brand").agg(F.sum("_t").alias("_t"), F.count(F.lit(1)).alias("_a"))
