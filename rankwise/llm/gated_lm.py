@@ -15,7 +15,7 @@
    by round: each task takes the parameters of the round before, learns from
    its rows by truncated backpropagation (lanes of running text, the state
    carried from window to window and cleared at a document's start; the
-   gradient is taken in one window of ``learn_every``), and the tasks'
+   gradient is taken in every window), and the tasks'
    parameters are averaged, weighted by their tokens.  Parameters are sums
    over tasks in Spark; the driver gets one set of them, a fixed number.
 4. Scoring carries the state through all windows of a document, documents of
@@ -197,8 +197,8 @@ def gradient(shape: Shape, p: dict[str, np.ndarray], read: np.ndarray, wanted: n
 class Learner:
     """Parameters of one task, moved by Adam steps."""
 
-    def __init__(self, shape: Shape, flat: np.ndarray, learn_every: int):
-        self.shape, self.flat, self.every = shape, flat.copy(), learn_every
+    def __init__(self, shape: Shape, flat: np.ndarray):
+        self.shape, self.flat = shape, flat.copy()
         self.mean, self.square = np.zeros_like(flat), np.zeros_like(flat)
         self.grad = np.zeros_like(flat)
         self.steps, self.learned = 0, 0
@@ -223,14 +223,10 @@ class Learner:
         fresh = read == 0
         p, g = self.shape.views(self.flat), self.shape.views(self.grad)
         h = np.zeros((lanes, self.shape.hidden), np.float32)
-        for number, t in enumerate(range(0, length, self.shape.window)):
+        for t in range(0, length, self.shape.window):
             cut = slice(t, t + self.shape.window)
-            if number % self.every:
-                for x, new in zip(read[cut], fresh[cut]):
-                    h = _unit(p, x, h * (~new)[:, None])[0]
-            else:
-                h, _ = gradient(self.shape, p, read[cut], wanted[cut], fresh[cut], h, g)
-                self.step(wanted[cut].size)
+            h, _ = gradient(self.shape, p, read[cut], wanted[cut], fresh[cut], h, g)
+            self.step(wanted[cut].size)
 
 
 def log_likelihoods(shape: Shape, flat: np.ndarray, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -386,13 +382,13 @@ def _symbols(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(packed), dtype=np.uint16), sizes
 
 
-def train(encoded: DataFrame, shape: Shape, flat: np.ndarray, rounds: int, learn_every: int) -> np.ndarray:
+def train(encoded: DataFrame, shape: Shape, flat: np.ndarray, rounds: int) -> np.ndarray:
     """Parameters after ``rounds`` averages; each training row (``n``, ``ids``) is learned from in one round."""
     for number in range(rounds):
         begin = flat
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            learner, held, size = Learner(shape, begin, learn_every), [], 0
+            learner, held, size = Learner(shape, begin), [], 0
             for batch in batches:
                 # slices of some hundred rows bound what is held
                 for at in range(0, batch.num_rows, 256):
@@ -432,16 +428,21 @@ def train(encoded: DataFrame, shape: Shape, flat: np.ndarray, rounds: int, learn
     return flat
 
 
-def lm_scores(docs: DataFrame, shape: Shape = Shape(), dictionary: int = 1 << 16, rounds: int = 2, learn_every: int = 4,
+def lm_scores(docs: DataFrame, shape: Shape = Shape(), dictionary: int = 1 << 16, rounds: int = 2, learn_every: int = 1,
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per input row."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per input row.
+
+    Every window is learned from: ``learn_every`` can only be 1.
+    """
+    if learn_every != 1:
+        raise ValueError("every window is learned from")
     slim = pick(docs, doc_id=id_col, text=text_col).withColumn("held_out", held_out(F.col("doc_id")))
     kind = slim.schema["doc_id"].dataType.simpleString()
     counts = materialize(_counts(slim.filter("not held_out").select("text")), "lm-counts")
     known = _words(counts, shape, dictionary)
     encoded = materialize(_encode(slim, known).withColumn("n", F.monotonically_increasing_id()), "lm-symbols")
     flat = start(shape, known.counts[:shape.head], known.other_counts)
-    flat = train(encoded.filter("not held_out").select("n", "ids"), shape, flat, rounds, learn_every)
+    flat = train(encoded.filter("not held_out").select("n", "ids"), shape, flat, rounds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
