@@ -38,15 +38,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankwise.functions.materialize import materialize
-from rankwise.llm.blocks import blocks
+from rankwise.llm.blocks import IS_SPACE, blocks, words_of
 from rankwise.llm.tables import pick
 
 END = b""           # no word is empty
-_FLUSH = 1 << 18    # distinct words a counting task holds
+_LOWER = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
+_FLUSH = 1 << 18    # distinct words a counting task holds; twice as many with those not yet summed
 _CHUNK = 1 << 20    # symbols a training task holds
 _AVERAGE = 1 << 10  # parameters in a row of the average
 _WINDOWS = 1 << 8   # windows a training stream is cut into, at least
@@ -108,16 +110,31 @@ def start(shape: Shape, head_counts: np.ndarray, other_counts: np.ndarray) -> np
     return flat
 
 
-def _unit(p: dict[str, np.ndarray], symbols: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-    """One step of the recurrent unit: new state, update and reset gates, candidate, state's share of it."""
-    k = h.shape[1]
-    given, carried = p["input"][symbols], h @ p["state"]
-    gates = np.tanh(0.5 * (given[:, :2 * k] + carried[:, :2 * k]))
+def _by_gate(weights: np.ndarray) -> np.ndarray:
+    """Columns of the update gate, the reset gate and the candidate as three arrays, each one stretch of memory."""
+    return np.ascontiguousarray(weights.reshape(len(weights), 3, -1).transpose(1, 0, 2))
+
+
+def _unit(state: np.ndarray, given: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One step of the recurrent unit: new state, update and reset gates, candidate, state's share of it.
+
+    ``given``, what the symbols put in, is by gate.
+    """
+    carried = _by_gate(h @ state)
+    gates, own = carried[:2], carried[2]
+    gates += given[:2]
+    gates *= 0.5
+    np.tanh(gates, out=gates)
     gates += 1
     gates *= 0.5
-    z, r, own = gates[:, :k], gates[:, k:], carried[:, 2 * k:]
-    n = np.tanh(given[:, 2 * k:] + r * own)
-    return n + z * (h - n), z, r, n, own
+    z, r = gates
+    n = r * own
+    n += given[2]
+    np.tanh(n, out=n)
+    new = h - n
+    new *= z
+    new += n
+    return new, z, r, n, own
 
 
 def _softmax(logits: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -147,50 +164,69 @@ def _output(shape: Shape, p: dict[str, np.ndarray], h: np.ndarray, wanted: np.nd
         grad["class_bias"] += share.sum(axis=0)
         dh = share @ p["class"].T
     at = np.flatnonzero(known)
-    at = at[np.argsort(of_class[at], kind="stable")]
+    at = at[np.argsort(of_class[at].astype(np.uint16), kind="stable")]
     cuts = np.searchsorted(of_class[at], np.arange(shape.classes + 1))
+    near, place, logp, d_near = h[at], wanted[at] % shape.members, np.empty(len(at)), np.empty((len(at), h.shape[1]), h.dtype)
     for c in np.flatnonzero(np.diff(cuts)):
-        rows = at[cuts[c]:cuts[c + 1]]
-        own, word = h[rows], wanted[rows] - c * shape.members
-        logp, share, total = _softmax(own @ p["word"][c] + p["word_bias"][c], word)
-        found[rows] += logp
+        cut = slice(cuts[c], cuts[c + 1])
+        logits = near[cut] @ p["word"][c]
+        logits += p["word_bias"][c]
+        logp[cut], share, total = _softmax(logits, place[cut])
         if grad is not None:
             share /= total
-            share[np.arange(len(rows)), word] -= 1
-            grad["word"][c] += own.T @ share
+            share[np.arange(len(share)), place[cut]] -= 1
+            grad["word"][c] += near[cut].T @ share
             grad["word_bias"][c] += share.sum(axis=0)
-            dh[rows] += share @ p["word"][c].T
+            np.matmul(share, p["word"][c].T, out=d_near[cut])
+    found[at] += logp
+    if grad is not None:
+        dh[at] += d_near
     return found, dh
 
 
 def gradient(shape: Shape, p: dict[str, np.ndarray], read: np.ndarray, wanted: np.ndarray, fresh: np.ndarray,
              h: np.ndarray, grad: dict[str, np.ndarray]) -> tuple[np.ndarray, float]:
     """Adds the gradient of one window (time x lanes) by backpropagation through it; the state after it, and its loss."""
-    k, steps = shape.hidden, []
+    k, steps, live = shape.hidden, [], (~fresh)[:, :, None]
+    given = _by_gate(p["input"]).take(read, axis=1)
     for t in range(len(read)):
-        before = h * (~fresh[t])[:, None]
-        h, z, r, n, own = _unit(p, read[t], before)
+        before = h * live[t]
+        h, z, r, n, own = _unit(p["state"], given[:, t], before)
         steps.append((before, z, r, n, own, h))
     states = np.concatenate([s[-1] for s in steps])
     found, dh_out = _output(shape, p, states, wanted.ravel(), grad)
     dh_out = dh_out.reshape(len(read), -1, k)
     carry = np.zeros_like(h)
-    d_given, d_carried = np.empty((*read.shape, 3 * k), np.float32), np.empty((*read.shape, 3 * k), np.float32)
+    d_new, d_carried = np.empty((*read.shape, k), np.float32), np.empty((*read.shape, 3 * k), np.float32)
     for t in range(len(read) - 1, -1, -1):
         before, z, r, n, own, _ = steps[t]
-        d = dh_out[t] + carry
-        d_n = d * (1 - z) * (1 - n * n)
-        d_given[t, :, :k] = d * (before - n) * z * (1 - z)
-        d_given[t, :, k:2 * k] = d_n * own * r * (1 - r)
-        d_given[t, :, 2 * k:] = d_n
-        d_carried[t, :, :2 * k] = d_given[t, :, :2 * k]
-        d_carried[t, :, 2 * k:] = d_n * r
-        carry = (d * z + d_carried[t] @ p["state"].T) * (~fresh[t])[:, None]
-    grad["state"] += np.concatenate([s[0] for s in steps]).T @ d_carried.reshape(-1, 3 * k)
-    flat, d_flat = read.ravel(), d_given.reshape(-1, 3 * k)
-    order = np.argsort(flat, kind="stable")
-    first = np.flatnonzero(np.append(True, np.diff(flat[order]) != 0))
-    grad["input"][flat[order][first]] += np.add.reduceat(d_flat[order], first)
+        d, d_n, kept = dh_out[t] + carry, d_new[t], 1 - z
+        np.multiply(d, kept, out=d_n)
+        slope = n * n
+        np.subtract(1, slope, out=slope)
+        d_n *= slope
+        np.subtract(before, n, out=slope)
+        slope *= d
+        slope *= z
+        np.multiply(slope, kept, out=d_carried[t, :, :k])
+        np.multiply(d_n, own, out=slope)
+        slope *= r
+        np.subtract(1, r, out=kept)
+        np.multiply(slope, kept, out=d_carried[t, :, k:2 * k])
+        np.multiply(d_n, r, out=d_carried[t, :, 2 * k:])
+        d *= z
+        d += d_carried[t] @ p["state"].T
+        d *= live[t]
+        carry = d
+    d_carried = d_carried.reshape(-1, 3 * k)
+    grad["state"] += np.concatenate([s[0] for s in steps]).T @ d_carried
+    flat = read.ravel()
+    order = np.argsort(flat.astype(np.uint16), kind="stable")
+    ordered = flat[order]
+    first = np.flatnonzero(np.append(True, np.diff(ordered) != 0))
+    d_given = d_carried[order]
+    d_given[:, 2 * k:] = d_new.reshape(-1, k)[order]
+    grad["input"][ordered[first]] += np.add.reduceat(d_given, first)
     return h, -float(found.sum())
 
 
@@ -200,17 +236,28 @@ class Learner:
     def __init__(self, shape: Shape, flat: np.ndarray):
         self.shape, self.flat = shape, flat.copy()
         self.mean, self.square = np.zeros_like(flat), np.zeros_like(flat)
-        self.grad = np.zeros_like(flat)
+        self.grad, self.room = np.zeros_like(flat), np.empty_like(flat)
         self.steps, self.learned = 0, 0
 
     def step(self, tokens: int) -> None:
         self.steps += 1
-        g = self.grad / tokens
-        self.mean += 0.1 * (g - self.mean)
-        self.square += 0.01 * (g * g - self.square)
+        g, to = self.grad, self.room
+        g /= tokens
+        np.subtract(g, self.mean, out=to)
+        to *= 0.1
+        self.mean += to
+        g *= g
+        g -= self.square
+        g *= 0.01
+        self.square += g
         up, down = 1 - 0.9 ** self.steps, 1 - 0.99 ** self.steps
-        self.flat -= (self.shape.rate / up) * self.mean / (np.sqrt(self.square / down) + 1e-6)
-        self.grad[:] = 0
+        np.divide(self.square, down, out=g)
+        np.sqrt(g, out=g)
+        g += 1e-6
+        np.multiply(self.mean, self.shape.rate / up, out=to)
+        to /= g
+        self.flat -= to
+        g[:] = 0
         self.learned += tokens
 
     def learn(self, stream: np.ndarray) -> None:
@@ -242,6 +289,7 @@ def log_likelihoods(shape: Shape, flat: np.ndarray, symbols: np.ndarray, sizes:
 def _lanes(shape: Shape, p: dict[str, np.ndarray], symbols: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     out, t = np.zeros(len(sizes)), 0
     h, last = np.zeros((len(sizes), shape.hidden), np.float32), np.zeros(len(sizes), np.int64)
+    given = _by_gate(p["input"])
     while t < sizes[0]:
         live = int(np.searchsorted(-sizes, -t, side="left"))     # documents of more than t symbols
         width = int(min(sizes[0] - t, max(8, _TOKENS // live)))
@@ -250,7 +298,7 @@ def _lanes(shape: Shape, p: dict[str, np.ndarray], symbols: np.ndarray, first: n
         wanted = symbols[np.where(inside, first[:live] + at, 0)].astype(np.int64)
         h, last, states = h[:live], last[:live], []
         for x in wanted:
-            h = _unit(p, last, h)[0]
+            h = _unit(p["state"], given.take(last, axis=1), h)[0]
             states.append(h)
             last = x
         spots = np.flatnonzero(inside.ravel())
@@ -260,37 +308,49 @@ def _lanes(shape: Shape, p: dict[str, np.ndarray], symbols: np.ndarray, first: n
     return out
 
 
-def _counts(train: DataFrame) -> DataFrame:
-    """word (binary, lower case; the end token is empty), c: the training tokens counted."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())],
-                                              ["word", "c"])
+def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of a block in lower case; their bytes end to end, their offsets in these, and the words before each row's end."""
+    starts, stops, before = words_of(data, offsets)
+    at = np.zeros(len(starts) + 1, dtype=np.int32)
+    np.cumsum(stops - starts, out=at[1:])
+    packed = _LOWER[data[~IS_SPACE[data]]]
+    return pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(packed)]), packed, at, before
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """word, c: the tokens of the texts, summed as far as a task holds them."""
+    held: list[pa.Table] = []
+    size = 0
+    for batch in batches:
+        for row, stop, data, offsets in blocks(batch.column("text")):
+            found = pc.value_counts(_tokens(data, offsets)[0])
+            words, c = found.field("values"), found.field("counts")
+            held += [pa.table({"word": words, "c": c}),
+                     pa.table({"word": pa.array([END], pa.binary()), "c": pa.array([stop - row], pa.int64())})]
+            size += len(words)
+            if size > 2 * _FLUSH:
+                held = [_summed(held)]
+                size = held[0].num_rows
+                if size > _FLUSH:
+                    yield from held[0].to_batches()
+                    held, size = [], 0
+    if held:
+        yield from _summed(held).to_batches()
+
+
+def _summed(parts: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("c", "sum")]).select(["word", "c_sum"]).rename_columns(["word", "c"])
 
-        found: Counter[bytes] = Counter()
-        for batch in batches:
-            for _, _, data, offsets in blocks(batch.column("text")):
-                for a, b in zip(offsets[:-1], offsets[1:]):
-                    found.update(data[a:b].tobytes().lower().split())
-                found[END] += len(offsets) - 1
-                if len(found) > _FLUSH:
-                    yield rows()
-                    found = Counter()
-        if found:
-            yield rows()
 
-    return train.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+def _counts(train: DataFrame) -> DataFrame:
+    """word (binary, lower case; the end token is empty), c: the training tokens counted."""
+    return train.mapInArrow(_counted, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def _other_class(word: bytes, others: int) -> int:
     return zlib.crc32(word[:1] + word[-1:]) % others
 
 
-class _Codes(dict):
-    def __missing__(self, word: bytes) -> int:
-        return -1
-
-
 @dataclass
 class Words:
     """The words that every task knows: counts, symbols; totals of the other classes."""
@@ -339,37 +399,47 @@ def _words(counts: DataFrame, shape: Shape, dictionary: int, longest: int = 64)
 _ENCODED = ["ids", "n_tokens", "n_known", "base_sum", "other_sum", "rest"]
 
 
+def _encoded(known: Words, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_encode``, block by block: words stay in arrow arrays, all documents of a block at once."""
+    shape, symbol, dictionary = known.shape, known.symbols(), pa.array(known.words, pa.binary())
+    room = known.other_counts + known.other_words + 1      # one for an unseen word
+    base, other = np.log10(known.counts + 1.0), np.zeros(len(known.words))
+    far = symbol[shape.head:len(known.words)] - shape.head
+    other[shape.head:] = base[shape.head:] - np.log10(room[far])
+    ends = [bytes([x]) for x in range(256)]
+    class_of = np.array([[_other_class(a + b, shape.others) for b in ends] for a in ends])      # by first and last byte
+    for batch in batches:
+        for row, stop, data, offsets in blocks(batch.column("text")):
+            words, packed, at, before = _tokens(data, offsets)
+            n, n_words = stop - row, np.diff(before)
+            firsts = before[:-1] + np.arange(n)       # of each document's tokens, its end token included
+            code = np.zeros(len(words) + n, dtype=np.int64)      # the end token has code 0
+            place = np.arange(len(words)) + np.repeat(np.arange(n), n_words)
+            code[place] = pc.fill_null(pc.index_in(words, value_set=dictionary), -1).to_numpy()
+            rest = np.flatnonzero(code[place] < 0)
+            lost = place[rest]
+            far = class_of[packed[at[:-1][rest]], packed[at[1:][rest] - 1]]
+            ids, in_base, in_other = symbol[code], base[code], other[code]
+            ids[lost] = shape.head + far
+            in_base[lost], in_other[lost] = 0.0, -np.log10(room[far])
+            met = known.counts[code] > 0
+            met[lost] = False
+            sizes = np.append(firsts, len(code)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").slice(row, n), batch.column("held_out").slice(row, n),
+                 pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(2 * sizes), pa.py_buffer(ids)]),
+                 pa.array(n_words + 1), pa.array(np.add.reduceat(met, firsts, dtype=np.int64)),
+                 pa.array(np.add.reduceat(in_base, firsts)), pa.array(np.add.reduceat(in_other, firsts)),
+                 pa.ListArray.from_arrays(pa.array(np.searchsorted(rest, before).astype(np.int32)), words.take(pa.array(rest)))],
+                ["doc_id", "held_out", *_ENCODED])
+
+
 def _encode(docs: DataFrame, known: Words) -> DataFrame:
     """doc_id, symbols and what the dictionary says of a text; ``rest``: its words outside the dictionary."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    shape = known.shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = _Codes((w, i) for i, w in enumerate(known.words)).__getitem__
-        symbol = known.symbols()
-        room = known.other_counts + known.other_words + 1      # one for an unseen word
-        base, other = np.log10(known.counts + 1.0), np.zeros(len(known.words))
-        far = symbol[shape.head:len(known.words)] - shape.head
-        other[shape.head:] = base[shape.head:] - np.log10(room[far])
-        for batch in batches:
-            for row, stop, data, offsets in blocks(batch.column("text")):
-                out: list[tuple] = []
-                for a, b in zip(offsets[:-1], offsets[1:]):
-                    words = data[a:b].tobytes().lower().split()
-                    words.append(END)
-                    codes = np.fromiter(map(code, words), np.int64, len(words))
-                    ids = symbol[codes]
-                    near = codes[codes >= 0]
-                    rest = [words[i] for i in np.flatnonzero(codes < 0)]
-                    far = np.array([_other_class(w, shape.others) for w in rest], dtype=np.int64)
-                    ids[codes < 0] = shape.head + far
-                    out.append((ids.tobytes(), len(words), int((known.counts[near] > 0).sum()), float(base[near].sum()),
-                                float(other[near].sum() - np.log10(room[far]).sum()), rest))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(row, stop - row), batch.column("held_out").slice(row, stop - row),
-                     *[pa.array(v, t) for v, t in zip(zip(*out), (pa.binary(), pa.int64(), pa.int64(), pa.float64(),
-                                                                  pa.float64(), pa.list_(pa.binary())))]],
-                    ["doc_id", "held_out", *_ENCODED])
+        return _encoded(known, batches)
 
     return docs.mapInArrow(run, f"doc_id {kind}, held_out boolean, ids binary, n_tokens long, n_known long, "
                                 "base_sum double, other_sum double, rest array<binary>")
